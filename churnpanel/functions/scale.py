@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 SALTS = 16
 
 
-def scalars(df: DataFrame, **aggs: Column) -> dict[str, Column]:
-    """Global aggregates of ``df`` as columns usable in any other frame.
-
-    They become one uncorrelated scalar subquery: a single row by construction,
-    computed with map-side partial aggregation, with no join at all."""
-    one = df.agg(F.struct(*[c.alias(n) for n, c in aggs.items()]).alias("s")).scalar()
-    return {n: one.getField(n) for n in aggs}
+def with_scalars(
+    df: DataFrame, source: DataFrame, name: str, **aggs: Column
+) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` plus one struct column ``name`` of global aggregates of ``source``,
+    and the aggregates as columns.  Drop ``name`` when done.
+
+    The struct is one uncorrelated scalar subquery: a single row by construction,
+    computed with map-side partial aggregation, and no join at all.  It appears
+    once in the plan, however often its fields are used."""
+    one = source.agg(F.struct(*[c.alias(n) for n, c in aggs.items()]).alias("s")).scalar()
+    return df.withColumn(name, one), {n: F.col(name).getField(n) for n in aggs}
 
 
 def salted_join(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnpanel.functions.exprs import ratio, sum0
-from churnpanel.functions.scale import scalars
+from churnpanel.functions.scale import with_scalars
 from churnpanel.functions.exprs import unit_scale
 from churnpanel.schema import ACTIVITY_MEASURES, KEYS
 
@@ -51,8 +51,8 @@ def server_code_mean(activity: DataFrame, codes) -> DataFrame:
 def activity_index(daily: DataFrame) -> DataFrame:
     """Sum of five activity measures, each scaled to [0, 1] over all account-days."""
     parts = ["game_money_change", "private_shop", "fishing", "enchant_count", "playtime"]
-    bounds = scalars(
-        daily,
+    rows, bounds = with_scalars(
+        daily, daily, "_bounds",
         **{f"lo_{c}": F.min(c) for c in parts},
         **{f"hi_{c}": F.max(c) for c in parts},
     )
@@ -60,7 +60,7 @@ def activity_index(daily: DataFrame) -> DataFrame:
     total = scaled[0]
     for s in scaled[1:]:
         total = total + s
-    return daily.select(*KEYS, total.alias("activity_index"))
+    return rows.select(*KEYS, total.alias("activity_index"))
 
 
 def death_rate(daily: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnpanel.functions.exprs import count_if, fixed_bin, sum0, sum_if
-from churnpanel.functions.scale import salted_join, scalars
+from churnpanel.functions.scale import salted_join, with_scalars
 from churnpanel.schema import KEYS
 
 
@@ -56,10 +56,12 @@ def class_cohort(
 
 
 def _top_bin(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
-    b = scalars(df, **{f"lo_{c}": F.min(c) for c in columns}, **{f"hi_{c}": F.max(c) for c in columns})
+    df, b = with_scalars(
+        df, df, "_b", **{f"lo_{c}": F.min(c) for c in columns}, **{f"hi_{c}": F.max(c) for c in columns}
+    )
     for c in columns:
         df = df.where(fixed_bin(c, b[f"lo_{c}"], b[f"hi_{c}"], bins) == bins - 1)
-    return df
+    return df.drop("_b")
 
 
 def top_bin_cohort(activity: DataFrame, label: DataFrame, bins: int = 3) -> DataFrame:

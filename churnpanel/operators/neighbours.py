@@ -20,10 +20,10 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnpanel.functions.scale import scalars
+from churnpanel.functions.scale import materialize, with_scalars
 
 SHELL_ROWS = 20000
 
@@ -52,17 +52,17 @@ def knn(
     include_self: bool = True, shell_rows: int = SHELL_ROWS,
 ) -> DataFrame:
     """(acc_id, n_id, dist, label): the k nearest training rows of every query."""
-    mean = scalars(train, **{f"m{i}": F.avg(c) for i, c in enumerate(features)})
-
-    def to_mean() -> Column:
-        total = F.lit(0.0)
-        for i, c in enumerate(features):
-            total = total + F.pow(F.col(c) - mean[f"m{i}"], F.lit(2.0))
-        return F.sqrt(total)
+    means = {f"m{i}": F.avg(c) for i, c in enumerate(features)}
 
     def placed(df: DataFrame, *more: str) -> DataFrame:
+        """``df`` with ``p``, the distance of each row to the training mean."""
         cols = [F.col(c).cast("double").alias(c) for c in features]
-        return df.select("acc_id", *more, *cols).withColumn("p", to_mean())
+        rows, mean = with_scalars(df.select("acc_id", *more, *cols), train, "_mean", **means)
+        total = F.lit(0.0)
+        for i, c in enumerate(features):
+            gap = F.col(c) - mean[f"m{i}"]
+            total = total + gap * gap
+        return rows.withColumn("p", F.sqrt(total)).drop("_mean")
 
     keep = k if include_self else k + 1
     copies = Window.partitionBy(*features).orderBy("acc_id")
@@ -79,15 +79,16 @@ def knn(
         cut = Bucketizer(splits=bounds, inputCol=source, outputCol=target)
         return cut.transform(df).withColumn(target, F.col(target).cast("int"))
 
-    refs = in_shell(refs, "p", "shell")
-    asked = in_shell(placed(query), "p", "shell")
+    # read once per round from here on, instead of being placed again
+    refs = materialize(in_shell(refs, "p", "shell"), "shells")
+    asked = materialize(in_shell(placed(query), "p", "shell"), "queries")
 
     schema = "acc_id bigint, n_id bigint, dist double, label int"
 
     def compare(_, q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
             return pd.DataFrame({"acc_id": [], "n_id": [], "dist": [], "label": []})
-        r = r.sort_values("acc_id")
+        r = r.rename(columns=lambda c: c.removeprefix("r_")).sort_values("acc_id")
         q_ids, r_ids = q["acc_id"].to_numpy(), r["acc_id"].to_numpy()
         at, d = _nearest(q[features].to_numpy(float), q_ids, r[features].to_numpy(float), r_ids,
                          min(k, len(r)), include_self)
@@ -109,9 +110,11 @@ def knn(
             "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         )
         cols = ["shell", "part", "acc_id", *features]
+        # own names on the reference side: both sides may come from one frame
+        named = r.select(*[F.col(c).alias(f"r_{c}") for c in [*cols, label]])
         return (
             q.select(*cols).groupBy("shell", "part")
-            .cogroup(r.select(*cols, label).groupBy("shell", "part"))
+            .cogroup(named.groupBy("r_shell", "r_part"))
             .applyInPandas(compare, schema)
         )
 

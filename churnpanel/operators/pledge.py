@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnpanel.functions.exprs import ratio, sum0
-from churnpanel.functions.scale import salted_join, scalars
+from churnpanel.functions.scale import salted_join, with_scalars
 from churnpanel.schema import KEYS, PLEDGE_MEASURES, PLEDGE_RENAME, PLEDGE_SCORES
 
 
@@ -19,8 +19,13 @@ def pledge_scores(pledge: DataFrame, size: str = "rows") -> DataFrame:
         sum0("pledge_combat_cnt").alias("combats"),
         n.alias("pledge_num_people"),
     )
-    top = scalars(groups, play=F.max("play_rate"), combats=F.max("combats"))
-    return groups.select(
+    # ``people`` is asked for only so that both uses of ``groups`` read the same
+    # columns: Spark then runs the group aggregation once and reuses its shuffle
+    rows, top = with_scalars(
+        groups, groups, "_top", play=F.max("play_rate"), combats=F.max("combats"),
+        people=F.max("pledge_num_people"),
+    )
+    return rows.select(
         "pledge_id",
         ratio("play_rate", top["play"]).alias("avg_play_rate_per_pledge"),
         ratio("combats", top["combats"]).alias("total_combat_cnt_per_pledge"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnpanel.functions.exprs import count_if, fixed_bin, sum_if
 from churnpanel.functions.ranks import exact_quantiles
-from churnpanel.functions.scale import salted_join, scalars
+from churnpanel.functions.scale import salted_join, with_scalars
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -152,8 +152,8 @@ def spend_concentration(label: DataFrame, thresholds=tuple(range(1, 20))) -> Dat
 def histogram(df: DataFrame, columns: list[str], bins: int = 40) -> DataFrame:
     """Equal-width bin counts for each column: (feature, bin, lower, n)."""
     cols = {c: F.col(c).cast("double") for c in columns}
-    bounds = scalars(
-        df, **{f"lo_{i}": F.min(x) for i, x in enumerate(cols.values())},
+    df, bounds = with_scalars(
+        df, df, "_bounds", **{f"lo_{i}": F.min(x) for i, x in enumerate(cols.values())},
         **{f"hi_{i}": F.max(x) for i, x in enumerate(cols.values())},
     )
     cells = F.explode(F.array(*[

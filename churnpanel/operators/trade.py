@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from churnpanel.functions.exprs import count_if, evening_flag, sum0, sum_if, time_bin
 from churnpanel.functions.ranks import exact_median
-from churnpanel.functions.scale import scalars
+from churnpanel.functions.scale import with_scalars
 from churnpanel.schema import ITEM_TYPES, KEYS, MONEY_ITEM, TRADE_DAILY_COLUMNS
 
 SIDES = ("sell", "get")
@@ -27,15 +27,17 @@ def trade_normalize(
 ) -> DataFrame:
     """Undo the provider's scaling (divide by the column minimum), move the amount
     of a money row into its price, and drop unpriced rows (type 1, not money)."""
-    low = scalars(trade, amount=F.min("item_amount"), price=F.min("item_price"))
+    rows = trade.where((F.col("type") != 1) | (F.col("item_type") == money)) if drop_unpriced else trade
+    rows, low = with_scalars(
+        rows, trade, "_low", amount=F.min("item_amount"), price=F.min("item_price")
+    )
     amount = F.col("item_amount") / low["amount"]
     price = F.col("item_price") / low["price"]
     is_money = F.col("item_type") == money
-    rows = trade.where((F.col("type") != 1) | is_money) if drop_unpriced else trade
     return rows.withColumns({
         "item_price": F.when(is_money, amount).otherwise(price),
         "item_amount": F.when(is_money, F.lit(1.0)).otherwise(amount),
-    })
+    }).drop("_low")
 
 
 def trade_gross(
@@ -44,15 +46,17 @@ def trade_gross(
     """Normalised rows, missing prices filled with the item type's mean price, and
     the gross price.  The means are one row with a column per item type."""
     rows = trade_normalize(trade, money, drop_unpriced=False)
-    means = scalars(
-        rows, **{f"m{i}": F.avg(F.when(F.col("item_type") == t, F.col("item_price")))
-                 for i, t in enumerate(items)}
+    rows, means = with_scalars(
+        rows, rows, "_means",
+        **{f"m{i}": F.avg(F.when(F.col("item_type") == t, F.col("item_price")))
+           for i, t in enumerate(items)},
     )
     own_mean = F.coalesce(
         *[F.when(F.col("item_type") == t, means[f"m{i}"]) for i, t in enumerate(items)]
     )
     filled = rows.withColumn("item_price", F.coalesce("item_price", own_mean))
-    return filled.withColumn("total_item_price", F.col("item_amount") * F.col("item_price"))
+    gross = filled.withColumn("total_item_price", F.col("item_amount") * F.col("item_price"))
+    return gross.drop("_means")
 
 
 def trade_ledger(

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIGITS = 6
+# Decimal places kept: general doubles, large sums of price ratios (whose sixth
+# decimal is at the edge of double precision), and small exact decimals.
+DIGITS = {"d": 6, "m": 3, "e": 10}
 
 
 def columns(spec: str) -> list[tuple[str, str]]:
@@ -25,7 +27,8 @@ def shape_frame(df: DataFrame, spec: str) -> DataFrame:
     kinds = {
         "l": lambda c: F.col(c).cast("bigint"),
         "s": lambda c: F.col(c).cast("string"),
-        "d": lambda c: F.round(F.col(c).cast("double"), DIGITS) + F.lit(0.0),
+        **{k: (lambda c, n=n: F.round(F.col(c).cast("double"), n) + F.lit(0.0))
+           for k, n in DIGITS.items()},
     }
     return df.select(*[kinds[k](c).alias(c) for c, k in columns(spec)])
 
@@ -34,7 +37,7 @@ def shape_sql(body: str, spec: str) -> str:
     kinds = {
         "l": 'cast("{c}" as bigint) as "{c}"',
         "s": 'cast("{c}" as varchar) as "{c}"',
-        "d": f'round(cast("{{c}}" as double), {DIGITS}) + 0.0 as "{{c}}"',
+        **{k: f'round(cast("{{c}}" as double), {n}) + 0.0 as "{{c}}"' for k, n in DIGITS.items()},
     }
     picks = ", ".join(kinds[k].format(c=c) for c, k in columns(spec))
     return f"select {picks} from ({body}) as result"

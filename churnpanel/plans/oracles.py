@@ -261,8 +261,8 @@ def _vote(refs: str, asked: str, features: list[str], label: str, keys: str = ""
         select acc_id{key_list}, label, row_number() over (partition by acc_id{key_list} order by n desc, label) as pick
         from (select acc_id{key_list}, label, count(*) as n from (
             select q.acc_id{q_keys}, r."{label}" as label, row_number() over (
-                partition by q.acc_id{q_keys} order by round(sqrt({gaps}), 9), r.acc_id) as at
-            from {asked} q join {refs} r on {on or 'true'}) where at <= 5
+                partition by q.acc_id{q_keys} order by round(sqrt({gaps}), 9), r.acc_id) as pos
+            from {asked} q join {refs} r on {on or 'true'}) where pos <= 5
           group by acc_id{key_list}, label)) where pick = 1"""
 
 

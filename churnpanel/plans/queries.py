@@ -26,7 +26,7 @@ from churnpanel.sources.adapters import ITEMS, MONEY, Inputs
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 # parameters of the registered queries over the driver's tables
 LOOKUP_ACCOUNT = 7
-HUB_DEGREE = 500
+HUB_DEGREE = 620
 SLICE = (100, 50)
 
 BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {}

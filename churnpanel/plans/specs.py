@@ -1,4 +1,4 @@
-"""Columns of every registered query (l = integer, d = double, s = string)."""
+"""Columns of every registered query (l = integer, d/m/e = double, s = string)."""
 
 from __future__ import annotations
 
@@ -11,8 +11,12 @@ from churnpanel.sources.adapters import ITEMS
 ITEM_NAMES = [t.lower() for t in ITEMS]
 
 
+_MONEY = ("item_price", "item_amount", "_amount_", "_count_", "tot_get_money", "tot_trade_amount")
+
+
 def _d(*names) -> str:
-    return "d " + " ".join(names)
+    """Doubles; sums of price ratios keep fewer decimals."""
+    return "; ".join(f"{'m' if any(m in n for m in _MONEY) else 'd'} {n}" for n in names)
 
 
 ACTIVITY = [*ACTIVITY_MEASURES, "total_exp", "fishing_prop", "qexp_per_playtime",
@@ -77,18 +81,18 @@ SPECS: dict[str, str] = {
     "time_bins": "s time; l bin4 bin4_none bin24 n",
     "evening_flag": "s time; l evening n",
     "trade_normalize": "l day type source_acc_id target_acc_id; s item_type; d item_amount item_price",
-    "trade_gross": "l day type source_acc_id target_acc_id; s item_type; d item_amount item_price total_item_price",
+    "trade_gross": "l day type source_acc_id target_acc_id; s item_type; m item_amount item_price total_item_price",
     "trade_ledger": DAY + "l type time_bin; s side item_type; d item_amount item_price",
     "trade_counts": "l acc_id count_sell count_get total_trade_count",
     "trade_counts_legacy": "l acc_id count_sell count_get total_trade_count",
     "trade_item_pivot": DAY + _d(*ITEM_PIVOT),
     "trade_daily": DAY + _d(*TRADE_DAILY_COLUMNS),
     "trade_daily_v1": DAY + _d(*V1),
-    "trade_daily_v0": DAY + "d total_item_price; l time_bin_0 time_bin_1 time_bin_2 time_bin_3 type_0 type_1",
-    "trade_type_mean": DAY + "d type time_bin total_item_price",
+    "trade_daily_v0": DAY + "m total_item_price; l time_bin_0 time_bin_1 time_bin_2 time_bin_3 type_0 type_1",
+    "trade_type_mean": DAY + "d type time_bin; m total_item_price",
     "both_sided_days": DAY + "l n_sell n_get",
     "item_price_mean": "s item_type; d mean_price",
-    "account_trade_value": "l acc_id; d money_amount all_amount all_price",
+    "account_trade_value": "l acc_id; m money_amount all_amount all_price",
     # panel
     "panel_join": PANEL_SPEC,
     "panel_join_union": PANEL_SPEC,
@@ -118,7 +122,7 @@ SPECS: dict[str, str] = {
     "route_by_group": "l acc_id day sur_group; d a_playtime tot_exp",
     "score_keycheck": "l acc_id in_pred in_actual",
     "score_profit": "d score",
-    "score_per_account": "l acc_id; d cost gamma t_k profit",
+    "score_per_account": "l acc_id; e cost gamma t_k profit",
     "score_by_group": "l amo_group sur_group n; d profit",
     "metric_accuracy": "l n n_predicted_labels; d accuracy",
     "metric_regression": "d mse r2",
