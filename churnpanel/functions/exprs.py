@@ -1,4 +1,7 @@
-"""Column expressions.  All of them stay inside whole-stage code generation."""
+"""Column expressions.  All of them stay inside whole-stage code generation.
+
+Wide plans repeat a few expressions for many columns; given column names and
+conditions as SQL text, those are sent to the JVM in one call each."""
 
 from __future__ import annotations
 
@@ -14,15 +17,17 @@ def col(c) -> Column:
 
 def sum0(c) -> Column:
     """Sum that gives 0, not NULL, for a group without values."""
-    return F.coalesce(F.sum(col(c)).cast("double"), F.lit(0.0))
+    if isinstance(c, str):
+        return F.expr(f"coalesce(cast(sum(`{c}`) as double), 0D)")
+    return F.coalesce(F.sum(c).cast("double"), F.lit(0.0))
 
 
-def sum_if(cond: Column, c) -> Column:
-    return sum0(F.when(cond, col(c)))
+def sum_if(cond: str, c: str) -> Column:
+    return F.expr(f"coalesce(cast(sum(case when {cond} then {c} end) as double), 0D)")
 
 
-def count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0)).cast("bigint")
+def count_if(cond: str) -> Column:
+    return F.expr(f"count_if({cond})")
 
 
 def ratio(num, den) -> Column:
@@ -72,13 +77,14 @@ def key_hash(key, seed: int = 0, modulus: int = 1000003) -> Column:
     return F.pmod(reduced * 7919 + seed, F.lit(modulus))
 
 
-def unit_scale(x, lo, hi) -> Column:
-    """(x - lo) / (hi - lo); a constant column gives 0."""
-    return F.coalesce(ratio(col(x) - lo, hi - lo), F.lit(0.0))
+def unit_scale(x: str, lo: str, hi: str) -> str:
+    """(x - lo) / (hi - lo) as SQL text; a constant column gives 0."""
+    return f"coalesce(cast({x} - {lo} as double) / nullif(cast({hi} - {lo} as double), 0D), 0D)"
 
 
-def fixed_bin(x, lo, hi, bins: int) -> Column:
-    """Equal-width bin number in [0, bins); the maximum falls in the last bin."""
-    width = (hi - lo) / bins
-    raw = F.coalesce(F.floor(ratio(col(x) - lo, width)), F.lit(0))
-    return F.least(raw, F.lit(bins - 1)).cast("int")
+def fixed_bin(x: str, lo: str, hi: str, bins: int) -> str:
+    """Equal-width bin number in [0, bins) as SQL text; the maximum falls in the
+    last bin."""
+    width = f"(({hi} - {lo}) / {bins})"
+    raw = f"coalesce(floor(({x} - {lo}) / nullif({width}, 0D)), 0)"
+    return f"cast(least({raw}, {bins - 1}) as int)"

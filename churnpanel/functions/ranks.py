@@ -17,7 +17,7 @@ RANGES = 64
 
 def _cut_points(df: DataFrame, columns: list[str], ranges: int) -> list[list[float]]:
     """At most ``ranges`` cut points per column: a summary of fixed size."""
-    probs = [i / ranges for i in range(1, ranges)]
+    probs = [i / ranges for i in range(1, max(ranges, 2))]
     found = df.stat.approxQuantile(columns, probs, 1.0 / (4 * ranges))
     return [[float("-inf"), *(sorted(set(q)) or [0.0]), float("inf")] for q in found]
 

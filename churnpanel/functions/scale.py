@@ -6,23 +6,24 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALTS = 16
 
 
 def with_scalars(
-    df: DataFrame, source: DataFrame, name: str, **aggs: Column
-) -> tuple[DataFrame, dict[str, Column]]:
-    """``df`` plus one struct column ``name`` of global aggregates of ``source``,
-    and the aggregates as columns.  Drop ``name`` when done.
+    df: DataFrame, source: DataFrame, name: str, **aggs: str
+) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` plus one struct column ``name`` of global aggregates of ``source``
+    (given as SQL text), and the names of its fields.  Drop ``name`` when done.
 
     The struct is one uncorrelated scalar subquery: a single row by construction,
     computed with map-side partial aggregation, and no join at all.  It appears
     once in the plan, however often its fields are used."""
-    one = source.agg(F.struct(*[c.alias(n) for n, c in aggs.items()]).alias("s")).scalar()
-    return df.withColumn(name, one), {n: F.col(name).getField(n) for n in aggs}
+    fields = ", ".join(f"'{n}', {agg}" for n, agg in aggs.items())
+    one = source.agg(F.expr(f"named_struct({fields})").alias("s")).scalar()
+    return df.withColumn(name, one), {n: f"{name}.{n}" for n in aggs}
 
 
 def salted_join(

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnpanel.functions.exprs import ratio, sum0
+from churnpanel.functions.exprs import ratio, sum0, unit_scale
 from churnpanel.functions.scale import with_scalars
-from churnpanel.functions.exprs import unit_scale
 from churnpanel.schema import ACTIVITY_MEASURES, KEYS
 
 
@@ -53,14 +52,11 @@ def activity_index(daily: DataFrame) -> DataFrame:
     parts = ["game_money_change", "private_shop", "fishing", "enchant_count", "playtime"]
     rows, bounds = with_scalars(
         daily, daily, "_bounds",
-        **{f"lo_{c}": F.min(c) for c in parts},
-        **{f"hi_{c}": F.max(c) for c in parts},
+        **{f"lo_{c}": f"min({c})" for c in parts},
+        **{f"hi_{c}": f"max({c})" for c in parts},
     )
     scaled = [unit_scale(c, bounds[f"lo_{c}"], bounds[f"hi_{c}"]) for c in parts]
-    total = scaled[0]
-    for s in scaled[1:]:
-        total = total + s
-    return rows.select(*KEYS, total.alias("activity_index"))
+    return rows.select(*KEYS, F.expr(" + ".join(scaled)).alias("activity_index"))
 
 
 def death_rate(daily: DataFrame) -> DataFrame:

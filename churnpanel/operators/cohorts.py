@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnpanel.functions.exprs import count_if, fixed_bin, sum0, sum_if
+from churnpanel.functions.exprs import count_if, fixed_bin, sum0
 from churnpanel.functions.scale import salted_join, with_scalars
 from churnpanel.schema import KEYS
 
@@ -49,7 +49,7 @@ def class_cohort(
     return accounts.join(label, "acc_id").groupBy("class").agg(
         F.count(F.lit(1)).alias("n_accounts"),
         F.avg("amount_spent").alias("mean_spent"),
-        count_if(low).alias("n_low"),
+        count_if(f"level <= {max_level}").alias("n_low"),
         F.avg(F.when(low, F.col("amount_spent"))).alias("mean_spent_low"),
         F.avg(F.when(low, F.col("days"))).alias("mean_days_low"),
     )
@@ -57,10 +57,11 @@ def class_cohort(
 
 def _top_bin(df: DataFrame, columns: list[str], bins: int) -> DataFrame:
     df, b = with_scalars(
-        df, df, "_b", **{f"lo_{c}": F.min(c) for c in columns}, **{f"hi_{c}": F.max(c) for c in columns}
+        df, df, "_b", **{f"lo_{c}": f"min({c})" for c in columns},
+        **{f"hi_{c}": f"max({c})" for c in columns},
     )
     for c in columns:
-        df = df.where(fixed_bin(c, b[f"lo_{c}"], b[f"hi_{c}"], bins) == bins - 1)
+        df = df.where(f"{fixed_bin(c, b[f'lo_{c}'], b[f'hi_{c}'], bins)} = {bins - 1}")
     return df.drop("_b")
 
 
@@ -111,5 +112,5 @@ def combat_trade_day(combat: DataFrame, ledger: DataFrame, payment_day: DataFram
         F.count(F.lit(1)).alias("n_days"),
         sum0("amount_spent").alias("tot_spent"),
         F.avg(F.coalesce("amount_spent", F.lit(0.0))).alias("mean_spent"),
-        sum_if(F.col("amount_spent") > 0, F.lit(1)).cast("bigint").alias("n_paid_days"),
+        count_if("amount_spent > 0").alias("n_paid_days"),
     )

@@ -87,7 +87,7 @@ def server_levels(combat: DataFrame) -> DataFrame:
 
 def combat_class_pivot(combat: DataFrame, classes: list[int] = CLASSES) -> DataFrame:
     return combat.groupBy(*KEYS).agg(
-        *[count_if(F.col("class") == c).alias(f"class_{c}") for c in classes]
+        *[count_if(f"class = {c}").alias(f"class_{c}") for c in classes]
     )
 
 

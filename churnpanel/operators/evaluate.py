@@ -108,7 +108,7 @@ def score_profit(
     profit = t["gamma"] * t["t_k"] * F.col("a_spent") - t["cost"]
     total = pairs.agg(
         F.sum(profit).alias("score"),
-        count_if(F.col("in_pred").isNull() | F.col("in_actual").isNull()).alias("unmatched"),
+        count_if("in_pred is null or in_actual is null").alias("unmatched"),
     )
     failed = F.raise_error(F.lit("account ids of prediction and actual label do not match"))
     return total.select(
@@ -131,7 +131,7 @@ def metric_accuracy(pred: DataFrame, actual: DataFrame, column: str = "survival_
     )
     # first per predicted value, so the distinct count needs no second shuffle of rows
     per_value = pairs.groupBy("p").agg(
-        F.count(F.lit(1)).alias("n"), count_if(F.col("p") == F.col("a")).alias("hits")
+        F.count(F.lit(1)).alias("n"), count_if("p = a").alias("hits")
     )
     return per_value.agg(
         (F.sum("hits") / F.sum("n")).alias("accuracy"),

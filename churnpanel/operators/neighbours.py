@@ -52,17 +52,14 @@ def knn(
     include_self: bool = True, shell_rows: int = SHELL_ROWS,
 ) -> DataFrame:
     """(acc_id, n_id, dist, label): the k nearest training rows of every query."""
-    means = {f"m{i}": F.avg(c) for i, c in enumerate(features)}
+    means = {f"m{i}": f"avg({c})" for i, c in enumerate(features)}
 
     def placed(df: DataFrame, *more: str) -> DataFrame:
         """``df`` with ``p``, the distance of each row to the training mean."""
         cols = [F.col(c).cast("double").alias(c) for c in features]
         rows, mean = with_scalars(df.select("acc_id", *more, *cols), train, "_mean", **means)
-        total = F.lit(0.0)
-        for i, c in enumerate(features):
-            gap = F.col(c) - mean[f"m{i}"]
-            total = total + gap * gap
-        return rows.withColumn("p", F.sqrt(total)).drop("_mean")
+        gaps = " + ".join(f"pow({c} - {mean[f'm{i}']}, 2)" for i, c in enumerate(features))
+        return rows.withColumn("p", F.expr(f"sqrt({gaps})")).drop("_mean")
 
     keep = k if include_self else k + 1
     copies = Window.partitionBy(*features).orderBy("acc_id")

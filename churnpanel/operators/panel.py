@@ -55,16 +55,15 @@ def rename_prefix(panel: DataFrame) -> DataFrame:
 def panel_impute(panel: DataFrame, mean_cols: list[str] = MEAN_FILL) -> DataFrame:
     """Fill NULLs: the account's own mean for ``mean_cols`` (0 if it has none), 0
     elsewhere.  The window holds one calendar per account."""
-    account = Window.partitionBy("acc_id")
     filled = []
     for c in panel.columns:
         if c in KEYS:
-            filled.append(F.col(c))
+            filled.append(c)
         elif c in mean_cols:
-            filled.append(F.coalesce(c, F.avg(c).over(account), F.lit(0.0)).alias(c))
+            filled.append(f"coalesce({c}, avg({c}) over (partition by acc_id), 0D) as {c}")
         else:
-            filled.append(F.coalesce(c, F.lit(0)).alias(c))
-    return panel.select(*filled)
+            filled.append(f"coalesce({c}, 0) as {c}")
+    return panel.selectExpr(*filled)
 
 
 def presence_flags(panel: DataFrame) -> DataFrame:

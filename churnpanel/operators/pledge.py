@@ -22,8 +22,8 @@ def pledge_scores(pledge: DataFrame, size: str = "rows") -> DataFrame:
     # ``people`` is asked for only so that both uses of ``groups`` read the same
     # columns: Spark then runs the group aggregation once and reuses its shuffle
     rows, top = with_scalars(
-        groups, groups, "_top", play=F.max("play_rate"), combats=F.max("combats"),
-        people=F.max("pledge_num_people"),
+        groups, groups, "_top", play="max(play_rate)", combats="max(combats)",
+        people="max(pledge_num_people)",
     )
     return rows.select(
         "pledge_id",

@@ -63,8 +63,8 @@ def char_totals(*tables: DataFrame) -> DataFrame:
         chars.select(F.lit("char").alias("kind"), F.col("char_id").alias("id")),
     ]).distinct()
     return ids.agg(
-        count_if(F.col("kind") == "acc").alias("n_accounts"),
-        count_if(F.col("kind") == "char").alias("n_chars"),
+        count_if("kind = 'acc'").alias("n_accounts"),
+        count_if("kind = 'char'").alias("n_chars"),
     )
 
 
@@ -96,11 +96,11 @@ def null_profile(trade: DataFrame) -> DataFrame:
     cols = [c for c in trade.columns if c != "item_type"]
     per_item = trade.groupBy("item_type").agg(
         F.count(F.lit(1)).alias("_rows"),
-        *[count_if(F.col(c).isNull()).alias(c) for c in cols],
+        *[count_if(f"`{c}` is null").alias(c) for c in cols],
     )
     columns = per_item.agg(
         F.sum("_rows").alias("_rows"),
-        sum_if(F.col("item_type").isNull(), "_rows").cast("bigint").alias("item_type"),
+        sum_if("item_type is null", "_rows").cast("bigint").alias("item_type"),
         *[F.sum(c).alias(c) for c in cols],
     ).select(_rows([
         F.struct(F.lit("column").alias("scope"), F.lit(c).alias("name"),
@@ -131,12 +131,12 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 def spend_concentration(label: DataFrame, thresholds=tuple(range(1, 20))) -> DataFrame:
     """Revenue above and below every threshold.  One pass: the thresholds become
     columns of one aggregate, then rows."""
-    x = F.col("amount_spent")
+    x = "amount_spent"
     wide = label.agg(
         F.sum(x).alias("total"), F.count(x).alias("n"),
-        *[sum_if(x > t, x).alias(f"up_{i}") for i, t in enumerate(thresholds)],
-        *[sum_if(x < t, x).alias(f"down_{i}") for i, t in enumerate(thresholds)],
-        *[count_if(x > t).alias(f"count_{i}") for i, t in enumerate(thresholds)],
+        *[sum_if(f"{x} > {t}D", x).alias(f"up_{i}") for i, t in enumerate(thresholds)],
+        *[sum_if(f"{x} < {t}D", x).alias(f"down_{i}") for i, t in enumerate(thresholds)],
+        *[count_if(f"{x} > {t}D").alias(f"count_{i}") for i, t in enumerate(thresholds)],
     )
     return wide.select(_rows([
         F.struct(
@@ -151,19 +151,17 @@ def spend_concentration(label: DataFrame, thresholds=tuple(range(1, 20))) -> Dat
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 40) -> DataFrame:
     """Equal-width bin counts for each column: (feature, bin, lower, n)."""
-    cols = {c: F.col(c).cast("double") for c in columns}
-    df, bounds = with_scalars(
-        df, df, "_bounds", **{f"lo_{i}": F.min(x) for i, x in enumerate(cols.values())},
-        **{f"hi_{i}": F.max(x) for i, x in enumerate(cols.values())},
+    cols = [f"cast({c} as double)" for c in columns]
+    df, b = with_scalars(
+        df, df, "_bounds", **{f"lo_{i}": f"min({x})" for i, x in enumerate(cols)},
+        **{f"hi_{i}": f"max({x})" for i, x in enumerate(cols)},
     )
-    cells = F.explode(F.array(*[
-        F.struct(
-            F.lit(c).alias("feature"), x.alias("value"),
-            fixed_bin(x, bounds[f"lo_{i}"], bounds[f"hi_{i}"], bins).alias("bin"),
-            (bounds[f"lo_{i}"]).alias("lo"), (bounds[f"hi_{i}"]).alias("hi"),
-        ) for i, (c, x) in enumerate(cols.items())
-    ])).alias("c")
-    rows = df.select(cells).select("c.*").where(F.col("value").isNotNull())
+    cells = ", ".join(
+        f"struct('{c}' as feature, {x} as value, {b[f'lo_{i}']} as lo, {b[f'hi_{i}']} as hi, "
+        f"{fixed_bin(x, b[f'lo_{i}'], b[f'hi_{i}'], bins)} as bin)"
+        for i, (c, x) in enumerate(zip(columns, cols))
+    )
+    rows = df.selectExpr(f"inline(array({cells}))").where(F.col("value").isNotNull())
     return rows.groupBy("feature", "bin").agg(
         F.first("lo").alias("lo"), F.first("hi").alias("hi"), F.count(F.lit(1)).alias("n")
     ).select(
@@ -180,6 +178,6 @@ def spend_by_survival(label: DataFrame) -> DataFrame:
 
 
 def zero_share(df: DataFrame, column: str = "amount_spent") -> DataFrame:
-    zero = count_if(F.col(column) == 0)
+    zero = count_if(f"{column} = 0")
     n = F.count(F.lit(1))
     return df.agg(zero.alias("n_zero"), n.alias("n"), (zero / F.nullif(n, F.lit(0))).alias("zero_share"))

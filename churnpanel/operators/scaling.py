@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnpanel.functions.exprs import key_hash, ratio, unit_scale
+from churnpanel.functions.exprs import key_hash, unit_scale
 from churnpanel.functions.scale import with_scalars
 
 
@@ -14,11 +14,13 @@ def minmax_scale(df: DataFrame, columns: list[str], fit_on: DataFrame | None = N
     constant column gives 0.  Fit on training data, apply to any other."""
     rows, b = with_scalars(
         df, fit_on if fit_on is not None else df, "_b",
-        **{f"lo_{i}": F.min(c) for i, c in enumerate(columns)},
-        **{f"hi_{i}": F.max(c) for i, c in enumerate(columns)},
+        **{f"lo_{i}": f"min({c})" for i, c in enumerate(columns)},
+        **{f"hi_{i}": f"max({c})" for i, c in enumerate(columns)},
     )
-    scaled = {c: unit_scale(c, b[f"lo_{i}"], b[f"hi_{i}"]) for i, c in enumerate(columns)}
-    return rows.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
+    scaled = {
+        c: f"{unit_scale(c, b[f'lo_{i}'], b[f'hi_{i}'])} as {c}" for i, c in enumerate(columns)
+    }
+    return rows.selectExpr(*[scaled.get(c, c) for c in df.columns])
 
 
 def standard_minmax(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -26,17 +28,17 @@ def standard_minmax(df: DataFrame, columns: list[str], fit_on: DataFrame | None
     refits on every frame; pass ``fit_on`` to keep the training scale."""
     rows, b = with_scalars(
         df, fit_on if fit_on is not None else df, "_b",
-        **{f"lo_{i}": F.min(c) for i, c in enumerate(columns)},
-        **{f"hi_{i}": F.max(c) for i, c in enumerate(columns)},
-        **{f"mean_{i}": F.avg(c) for i, c in enumerate(columns)},
-        **{f"std_{i}": F.stddev_pop(c) for i, c in enumerate(columns)},
+        **{f"lo_{i}": f"min({c})" for i, c in enumerate(columns)},
+        **{f"hi_{i}": f"max({c})" for i, c in enumerate(columns)},
+        **{f"mean_{i}": f"avg({c})" for i, c in enumerate(columns)},
+        **{f"std_{i}": f"stddev_pop({c})" for i, c in enumerate(columns)},
     )
     out = {}
     for i, c in enumerate(columns):
         def z(x, i=i):
-            return F.coalesce(ratio(x - b[f"mean_{i}"], b[f"std_{i}"]), F.lit(0.0))
-        out[c] = unit_scale(z(F.col(c)), z(b[f"lo_{i}"]), z(b[f"hi_{i}"]))
-    return rows.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])
+            return f"coalesce(({x} - {b[f'mean_{i}']}) / nullif({b[f'std_{i}']}, 0D), 0D)"
+        out[c] = f"{unit_scale(z(c), z(b[f'lo_{i}']), z(b[f'hi_{i}']))} as {c}"
+    return rows.selectExpr(*[out.get(c, c) for c in df.columns])
 
 
 def split_by_key(df: DataFrame, key: str = "acc_id", train_share: float = 0.8, seed: int = 42) -> DataFrame:

@@ -29,10 +29,10 @@ def trade_normalize(
     of a money row into its price, and drop unpriced rows (type 1, not money)."""
     rows = trade.where((F.col("type") != 1) | (F.col("item_type") == money)) if drop_unpriced else trade
     rows, low = with_scalars(
-        rows, trade, "_low", amount=F.min("item_amount"), price=F.min("item_price")
+        rows, trade, "_low", amount="min(item_amount)", price="min(item_price)"
     )
-    amount = F.col("item_amount") / low["amount"]
-    price = F.col("item_price") / low["price"]
+    amount = F.col("item_amount") / F.col(low["amount"])
+    price = F.col("item_price") / F.col(low["price"])
     is_money = F.col("item_type") == money
     return rows.withColumns({
         "item_price": F.when(is_money, amount).otherwise(price),
@@ -48,11 +48,11 @@ def trade_gross(
     rows = trade_normalize(trade, money, drop_unpriced=False)
     rows, means = with_scalars(
         rows, rows, "_means",
-        **{f"m{i}": F.avg(F.when(F.col("item_type") == t, F.col("item_price")))
+        **{f"m{i}": f"avg(case when item_type = '{t}' then item_price end)"
            for i, t in enumerate(items)},
     )
     own_mean = F.coalesce(
-        *[F.when(F.col("item_type") == t, means[f"m{i}"]) for i, t in enumerate(items)]
+        *[F.when(F.col("item_type") == t, F.col(means[f"m{i}"])) for i, t in enumerate(items)]
     )
     filled = rows.withColumn("item_price", F.coalesce("item_price", own_mean))
     gross = filled.withColumn("total_item_price", F.col("item_amount") * F.col("item_price"))
@@ -77,8 +77,8 @@ def trade_ledger(
     )
 
 
-def _on(side: str) -> Column:
-    return F.col("side") == side
+def _on(side: str) -> str:
+    return f"side = '{side}'"
 
 
 def trade_counts(ledger: DataFrame, legacy_total: bool = False) -> DataFrame:
@@ -101,7 +101,7 @@ def _total(legacy_total: bool) -> Column:
 def _item_columns(side: str, items: list[str], value: str) -> list[Column]:
     out = []
     for t in items:
-        here = _on(side) & (F.col("item_type") == t)
+        here = f"{_on(side)} and item_type = '{t}'"
         out.append(sum_if(here, "item_amount").alias(f"{side}_count_{t.lower()}"))
         out.append(sum_if(here, value).alias(f"{side}_amount_{t.lower()}"))
     return out
@@ -129,8 +129,8 @@ def trade_daily(
     daily = ledger.groupBy(*KEYS).agg(
         *[sum_if(_on(s), f"item_{m}").alias(f"{s}_item_{m}")
           for s in SIDES for m in ("amount", "price")],
-        *[count_if(F.col("time_bin") == b).alias(f"trade_time_bin_{b}") for b in range(4)],
-        *[count_if(F.col("type") == t).alias(f"trade_type_{t}") for t in (0, 1)],
+        *[count_if(f"time_bin = {b}").alias(f"trade_time_bin_{b}") for b in range(4)],
+        *[count_if(f"type = {t}").alias(f"trade_type_{t}") for t in (0, 1)],
         *[count_if(_on(s)).alias(f"_n_{s}") for s in SIDES],
     )
     account = Window.partitionBy("acc_id")
@@ -163,27 +163,27 @@ def trade_daily_v1(
                  sum_if(_on(s), "item_price").alias(f"{s}_item_price"),
                  sum_if(_on(s), "total_item_price").alias(f"total_{s}_item_price")]
         aggs += _item_columns(s, items, "total_item_price")
-        aggs += [count_if(_on(s) & (F.col("item_type") == t)).alias(f"{s}_item_type_{i}")
+        aggs += [count_if(f"{_on(s)} and item_type = '{t}'").alias(f"{s}_item_type_{i}")
                  for i, t in enumerate(items)]
-        aggs += [count_if(_on(s) & (F.col("time_bin") == b)).alias(f"{s}_time_bin_{b}")
+        aggs += [count_if(f"{_on(s)} and time_bin = {b}").alias(f"{s}_time_bin_{b}")
                  for b in range(24)]
-        aggs += [count_if(_on(s) & (F.col("type") == v)).alias(f"{s}_type_{v}") for v in (0, 1)]
+        aggs += [count_if(f"{_on(s)} and type = {v}").alias(f"{s}_type_{v}") for v in (0, 1)]
     daily = _base_only(ledger.groupBy(*KEYS).agg(*aggs), base)
 
-    def net(name: str) -> Column:
+    def net(name: str) -> str:
         first, second = ("sell", "get") if sign == "sell_minus_get" else ("get", "sell")
-        return (F.col(f"{first}_{name}") - F.col(f"{second}_{name}")).alias(f"tot_{name}")
+        return f"{first}_{name} - {second}_{name} as tot_{name}"
 
-    def both(name: str) -> Column:
-        return (F.col(f"sell_{name}") + F.col(f"get_{name}")).alias(f"tot_{name}")
+    def both(name: str) -> str:
+        return f"sell_{name} + get_{name} as tot_{name}"
 
-    return daily.select(
+    return daily.selectExpr(
         "*",
         *[net(f"amount_{n}") for n in names], net("item_amount"),
         *[both(f"count_{n}") for n in names],
         *[both(f"item_type_{i}") for i in range(len(items))],
         *[both(f"time_bin_{b}") for b in range(24)],
-        F.lit(1).alias("trade_logged_in"),
+        "1 as trade_logged_in",
     )
 
 
@@ -201,8 +201,8 @@ def trade_daily_v0(trade: DataFrame, base: DataFrame) -> DataFrame:
     )
     daily = ledger.groupBy(*KEYS).agg(
         sum0("total_item_price").alias("total_item_price"),
-        *[count_if(F.col("time_bin") == b).alias(f"time_bin_{b}") for b in range(4)],
-        *[count_if(F.col("type") == t).alias(f"type_{t}") for t in (0, 1)],
+        *[count_if(f"time_bin = {b}").alias(f"time_bin_{b}") for b in range(4)],
+        *[count_if(f"type = {t}").alias(f"type_{t}") for t in (0, 1)],
     )
     return _base_only(daily, base)
 
@@ -232,7 +232,7 @@ def item_price_mean(trade: DataFrame) -> DataFrame:
 def account_trade_value(trade: DataFrame, money: str = MONEY_ITEM) -> DataFrame:
     """Per seller: amount of money rows, amount of all rows, price of all rows."""
     return trade.groupBy(F.col("source_acc_id").alias("acc_id")).agg(
-        sum_if(F.col("item_type") == money, "item_amount").alias("money_amount"),
+        sum_if(f"item_type = '{money}'", "item_amount").alias("money_amount"),
         sum0("item_amount").alias("all_amount"),
         sum0("item_price").alias("all_price"),
     )

@@ -6,7 +6,6 @@ widths and the last bits of floating sums cannot decide a comparison."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Decimal places kept: general doubles, large sums of price ratios (whose sixth
 # decimal is at the edge of double precision), and small exact decimals.
@@ -25,12 +24,11 @@ def columns(spec: str) -> list[tuple[str, str]]:
 
 def shape_frame(df: DataFrame, spec: str) -> DataFrame:
     kinds = {
-        "l": lambda c: F.col(c).cast("bigint"),
-        "s": lambda c: F.col(c).cast("string"),
-        **{k: (lambda c, n=n: F.round(F.col(c).cast("double"), n) + F.lit(0.0))
-           for k, n in DIGITS.items()},
+        "l": "cast({c} as bigint) as {c}",
+        "s": "cast({c} as string) as {c}",
+        **{k: f"round(cast({{c}} as double), {n}) + 0D as {{c}}" for k, n in DIGITS.items()},
     }
-    return df.select(*[kinds[k](c).alias(c) for c, k in columns(spec)])
+    return df.selectExpr(*[kinds[k].format(c=c) for c, k in columns(spec)])
 
 
 def shape_sql(body: str, spec: str) -> str:

@@ -625,7 +625,7 @@ NAMED["q_totals"] = """
 Q["top_bin_cohort"] = f"""
   select t.acc_id, survival_time, money, enchant, amount_spent
   from q_totals t left join fx_label l on t.acc_id = l.acc_id
-  where {_top("money", "q_totals")} and {_top("enchant", "q_totals")}"""
+  where {_top("money", "q_totals", 2)} and {_top("enchant", "q_totals", 2)}"""
 Q["heavy_traders"] = f"""
   select acc_id, playtime from q_totals where {_top("playtime", "q_totals")}
     and (acc_id in (select source_acc_id from fx_trade) or acc_id in (select target_acc_id from fx_trade))"""

@@ -767,7 +767,7 @@ def boss_hits(i):
 
 @query
 def top_bin_cohort(i):
-    return cohorts.top_bin_cohort(i.activity, i.label)
+    return cohorts.top_bin_cohort(i.activity, i.label, bins=2)
 
 
 @query
