@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from churnpanel.sources.tables import spread
+
 TOKENS = {
     "spark": {
         "@DAY": "(datediff(cast(ts as date), date'2024-01-01') + 1)",
@@ -20,6 +22,9 @@ TOKENS = {
     },
 }
 
+# the large tables' unique keys
+UNIQUE = {"lineitem": ["l_orderkey", "l_linenumber"]}
+
 MONEY = "LARGE"
 ITEMS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
@@ -145,7 +150,8 @@ class Inputs:
                 text = _brace(text, used)
                 self._frames[name] = self.spark.sql(text, **used)
             else:
-                self._frames[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+                self._frames[name] = spread(df, *UNIQUE[name]) if name in UNIQUE else df
         return self._frames[name]
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -15,6 +15,19 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str = "parquet"
     return reader.format(fmt).load(path)
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Use all cores on a table stored in very few splits.
+
+    A single-row-group file is read, and everything up to the first shuffle is
+    computed, by one task.  If the scan has fewer splits than half the cores,
+    rows are redistributed by their unique ``key`` (no hot key, and no dependence
+    on arrival order); a table of a real size has more splits and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 > cores:
+        return df
+    return df.repartition(cores, *key)
+
+
 def load_tables(
     spark: SparkSession, root: str, dataset: str, fmt: str = "parquet"
 ) -> dict[str, DataFrame]:
