@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 RANGES = 64
 
 
+def _range_count(df: DataFrame, ranges: int | None) -> int:
+    """At least ``RANGES``, and one per shuffle partition on a larger cluster."""
+    return ranges or max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _cut_points(df: DataFrame, columns: list[str], ranges: int) -> list[list[float]]:
     """At most ``ranges`` cut points per column: a summary of fixed size."""
     probs = [i / ranges for i in range(1, max(ranges, 2))]
@@ -35,7 +40,7 @@ def _ranged(df: DataFrame, columns: list[str], ranges: int) -> DataFrame:
 
 def value_ranks(
     df: DataFrame, columns: list[str], extra: dict[str, Column] | None = None,
-    ranges: int = RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per (feature, value): ``n`` rows, ``below`` rows with a smaller
     value, ``rank`` the average rank of the ties, and ``total`` rows in all.
@@ -43,6 +48,7 @@ def value_ranks(
     ``extra`` adds aggregates over the rows that share the value.  Rows where
     the column is NULL are left out."""
     extra = extra or {}
+    ranges = _range_count(df, ranges)
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns],
                      *[c for c in df.columns if c not in columns])
     cells = F.explode(F.array(*[
@@ -89,7 +95,7 @@ def value_ranks(
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probs: dict[str, float], ranges: int = RANGES
+    df: DataFrame, columns: list[str], probs: dict[str, float], ranges: int | None = None
 ) -> DataFrame:
     """One row per feature with linearly interpolated exact quantiles."""
     ranked = value_ranks(df, columns, ranges=ranges)
@@ -117,7 +123,7 @@ def exact_quantiles(
     )
 
 
-def exact_median(df: DataFrame, column: str, ranges: int = RANGES) -> Column:
+def exact_median(df: DataFrame, column: str, ranges: int | None = None) -> Column:
     """The exact global median as a scalar column."""
     return (
         exact_quantiles(df.select(column), [column], {"median": 0.5}, ranges)

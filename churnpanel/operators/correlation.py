@@ -7,7 +7,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnpanel.functions.ranks import RANGES, value_ranks
+from churnpanel.functions.ranks import value_ranks
 from churnpanel.functions.scale import salted_join
 
 
@@ -27,7 +27,7 @@ def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def corr_spearman(
-    df: DataFrame, features: list[str], labels: list[str], ranges: int = RANGES
+    df: DataFrame, features: list[str], labels: list[str], ranges: int | None = None
 ) -> DataFrame:
     """Spearman correlation of each feature with each label, ties at their average
     rank: (feature, label, rho).

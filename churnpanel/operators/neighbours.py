@@ -23,9 +23,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnpanel.functions.scale import materialize, with_scalars
+from churnpanel.functions.scale import materialize, salted_join, with_scalars
 
 SHELL_ROWS = 20000
+# a shell count (one integer per shell) is broadcast up to this many shells
+BROADCAST_SHELLS = 100_000
 
 
 def _nearest(queries: np.ndarray, q_ids: np.ndarray, refs: np.ndarray, r_ids: np.ndarray,
@@ -100,10 +102,15 @@ def knn(
         parts = visits.groupBy("shell").agg(
             F.ceil(F.count(F.lit(1)) / F.lit(shell_rows)).cast("int").alias("parts")
         )
-        q = visits.join(F.broadcast(parts), "shell").withColumn(
+        def cut(df: DataFrame) -> DataFrame:
+            if shells <= BROADCAST_SHELLS:
+                return df.join(F.broadcast(parts), "shell")
+            return salted_join(df, parts, ["shell"], "inner", spread=["acc_id"])
+
+        q = cut(visits).withColumn(
             "part", F.pmod(F.xxhash64("acc_id"), F.col("parts")).cast("int")
         )
-        r = refs.join(F.broadcast(parts), "shell").withColumn(
+        r = cut(refs).withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         )
         cols = ["shell", "part", "acc_id", *features]

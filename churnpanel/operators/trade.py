@@ -45,18 +45,24 @@ def trade_gross(
 ) -> DataFrame:
     """Normalised rows, missing prices filled with the item type's mean price, and
     the gross price.  The means are one row with a column per item type."""
-    rows = trade_normalize(trade, money, drop_unpriced=False)
-    rows, means = with_scalars(
-        rows, rows, "_means",
+    rows, s = with_scalars(
+        trade, trade, "_s", amount="min(item_amount)", price="min(item_price)",
         **{f"m{i}": f"avg(case when item_type = '{t}' then item_price end)"
            for i, t in enumerate(items)},
     )
     own_mean = F.coalesce(
-        *[F.when(F.col("item_type") == t, F.col(means[f"m{i}"])) for i, t in enumerate(items)]
+        *[F.when(F.col("item_type") == t, F.col(s[f"m{i}"])) for i, t in enumerate(items)]
     )
-    filled = rows.withColumn("item_price", F.coalesce("item_price", own_mean))
+    # the mean of the rescaled prices is the rescaled mean, so one pass gives both
+    price = F.coalesce("item_price", own_mean) / F.col(s["price"])
+    amount = F.col("item_amount") / F.col(s["amount"])
+    is_money = F.col("item_type") == money
+    filled = rows.withColumns({
+        "item_price": F.when(is_money, amount).otherwise(price),
+        "item_amount": F.when(is_money, F.lit(1.0)).otherwise(amount),
+    })
     gross = filled.withColumn("total_item_price", F.col("item_amount") * F.col("item_price"))
-    return gross.drop("_means")
+    return gross.drop("_s")
 
 
 def trade_ledger(

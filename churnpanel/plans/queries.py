@@ -53,6 +53,11 @@ def _imputed(i: Inputs) -> DataFrame:
     return imputed_panel(_raw(i), MONEY)
 
 
+def _stored(i: Inputs) -> DataFrame:
+    """The imputed panel as a written stage, for work that reads it more than once."""
+    return materialize(_imputed(i), "panel")
+
+
 def _base(i: Inputs) -> DataFrame:
     return panel.base_accounts(i.combat)
 
@@ -487,7 +492,7 @@ def histogram(i):
 
 @query
 def feature_histogram(i):
-    rows = _imputed(i)
+    rows = _stored(i)
     cols = panel.feature_columns(rows)
     rounded = rows.select(*[F.round(F.col(c).cast("double"), 6).alias(c) for c in cols])
     return profile.histogram(rounded, cols, 20)
@@ -547,7 +552,8 @@ def feature_select(i):
 
 
 def _split_squeeze(i: Inputs) -> DataFrame:
-    return scaling.split_by_key(panel.account_squeeze(_imputed(i)).select("acc_id", *KNN_FEATURES))
+    rows = panel.account_squeeze(_imputed(i)).select("acc_id", *KNN_FEATURES)
+    return scaling.split_by_key(materialize(rows, "squeezed"))
 
 
 @query
@@ -558,8 +564,7 @@ def minmax_scale(i):
 
 @query
 def standard_minmax(i):
-    rows = panel.account_squeeze(_imputed(i)).select("acc_id", *KNN_FEATURES)
-    return scaling.standard_minmax(rows, KNN_FEATURES)
+    return scaling.standard_minmax(_split_squeeze(i).drop("part"), KNN_FEATURES)
 
 
 @query
@@ -608,7 +613,7 @@ def degree_label_corr(i):
 
 def _neighbour_rows(i: Inputs) -> DataFrame:
     """Account means of scaled features, with groups and the split."""
-    scaled = scaling.minmax_scale(_imputed(i).select("acc_id", "day", *KNN_FEATURES), KNN_FEATURES)
+    scaled = scaling.minmax_scale(_stored(i).select("acc_id", "day", *KNN_FEATURES), KNN_FEATURES)
     means = panel.account_mean(scaled, KNN_FEATURES)
     rounded = means.select("acc_id", *[F.round(c, 9).alias(c) for c in KNN_FEATURES])
     rows = rounded.join(evaluate.label_groups(i.label).select("acc_id", "amo_group"), "acc_id")
@@ -625,7 +630,7 @@ def knn_vote(i):
 
 @query
 def knn_weekly(i):
-    scaled = scaling.minmax_scale(_imputed(i).select("acc_id", "day", *KNN_FEATURES), KNN_FEATURES)
+    scaled = scaling.minmax_scale(_stored(i).select("acc_id", "day", *KNN_FEATURES), KNN_FEATURES)
     weeks = panel.week_mean(scaled, KNN_FEATURES)
     weeks = materialize(
         weeks.select("acc_id", "week", *[F.round(c, 9).alias(c) for c in KNN_FEATURES]), "weeks"
@@ -690,7 +695,7 @@ def poly_spend(i):
 def _sequence_rows(i: Inputs) -> DataFrame:
     """Flattened, scaled 28-step sequences with labels."""
     cols = ["a_playtime", "tot_exp", "combat_count"]
-    scaled = scaling.minmax_scale(_imputed(i).select("acc_id", "day", *cols), cols)
+    scaled = scaling.minmax_scale(_stored(i).select("acc_id", "day", *cols), cols)
     vectors = models.sequence_vector(sequence.account_sequence(scaled, cols))
     labelled = evaluate.label_groups(vectors.join(i.label, "acc_id"))
     return materialize(scaling.split_by_key(labelled), "sequence-rows")

@@ -16,7 +16,8 @@ from churnpanel.operators.scaling import minmax_scale, split_by_key
 def account_features(panel: DataFrame, fit_on: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
     """Squeezed and scaled account features.  The day's own spend is left out: it is
     what the models predict."""
-    squeezed = account_squeeze(panel.drop("amount_spent"))
+    # read twice (for the range, then for the rows): stored once, one row per account
+    squeezed = materialize(account_squeeze(panel.drop("amount_spent")), "squeezed")
     columns = feature_columns(squeezed)
     fit = account_squeeze(fit_on.drop("amount_spent")) if fit_on is not None else None
     return minmax_scale(squeezed, columns, fit), columns
