@@ -1,5 +1,7 @@
 """Every registered query with SQL against DuckDB, on the smallest tables."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import duckdb
 import numpy as np
 import pytest
@@ -19,6 +21,19 @@ def duck(sf_dir):
     return con
 
 
+@pytest.fixture(scope="module")
+def results(spark, sf_dir):
+    """All queries, a few at a time: small inputs leave most cores idle."""
+    queries = contract.queries()
+    pool = ThreadPoolExecutor(6)
+    found = {
+        name: pool.submit(lambda n=name: queries[n](spark, sf_dir).toPandas())
+        for name in sorted(contract.oracle_sql())
+    }
+    yield found
+    pool.shutdown(cancel_futures=True)
+
+
 def ordered(pdf):
     pdf = pdf[sorted(pdf.columns)]
     return pdf.sort_values(list(pdf.columns)).reset_index(drop=True)
@@ -30,8 +45,8 @@ def test_registry_is_complete():
 
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
-def test_query(spark, duck, sf_dir, name):
-    mine = ordered(contract.queries()[name](spark, sf_dir).toPandas())
+def test_query(results, duck, name):
+    mine = ordered(results[name].result())
     want = ordered(duck.execute(contract.oracle_sql()[name]).df())
     assert list(mine.columns) == list(want.columns)
     assert len(mine) == len(want)
