@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,17 +44,13 @@ def salted_join(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only in local tests."""
-    conf = spark.sparkContext.getConf()
-    named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
-    named = named or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="churnpanel-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    """The folder for written stages that driver and executors share.
+
+    It is the one the cluster names in ``spark.checkpoint.dir``; where that is unset,
+    as in tests, stages go below the warehouse, which is shared too.  A folder of one
+    machine is never used."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
