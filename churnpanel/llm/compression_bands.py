@@ -115,6 +115,7 @@ def with_quality(
     names = added.fieldNames()
     rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names])
     schema = StructType(rest.schema.fields + added.fields)
+    columns = schema.fieldNames()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -136,6 +137,6 @@ def with_quality(
             failed = (got["n_words"] < min_words) | (100 * got["n_repeat_words"] > max_repeat * got["n_words"])
             new = [*got.values(), ratio, n, low, high, failed, np.array(fits, bool) & ~failed]
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns, *(pa.array(v) for v in new)], names=[*rest.columns, *names])
+                [*rows.columns, *(pa.array(v) for v in new)], names=columns)
 
     return rest.mapInArrow(judge, schema)

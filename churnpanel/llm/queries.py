@@ -14,6 +14,39 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.functions.scale import stage_path
+    from churnpanel.llm.token_shards import read_digests, write_shards
+
+    path = stage_path(spark, "token-shards")
+    write_shards(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_digests(spark, path)
+
+
+#: Where documents of a source belong; other sources are "other".
+DOMAINS = {f"src{i}": ("web", "books", "code", "news")[i % 4] for i in range(20)}
+#: Target weights of the mixing tree, by path; nodes that are not named weigh 1.
+WEIGHTS = {
+    ("web",): 4, ("books",): 3, ("code",): 2, ("news",): 2,
+    ("web", "en"): 6, ("web", "de"): 2, ("books", "en"): 3, ("books", "fr"): 3,
+    ("web", "en", "src0"): 2, ("news", "es", "src3"): 3,
+}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    named = F.create_map(*[F.lit(x) for pair in DOMAINS.items() for x in pair])
+    return docs.withColumn("domain", F.coalesce(F.try_element_at(named, F.col("source")), F.lit("other")))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix of as many tokens as the corpus has, with up to three epochs."""
+    from churnpanel.llm.mixing import mix_sources, word_count
+
+    docs = with_domain(_documents(spark, sf_dir)).select(
+        "doc_id", "domain", "lang", "source", word_count("text").alias("n_tokens"))
+    return mix_sources(docs, ["domain", "lang", "source"], "n_tokens", F.col("all_tokens"), WEIGHTS, epochs=3, seed=17)
+
+
 def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnpanel.llm.compression_bands import with_quality
 
@@ -33,5 +66,43 @@ def registry() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+def _op6_sql() -> str:
+    """The same budgets and prefixes, from windows over whole leaves."""
+    domain = "CASE " + " ".join(f"WHEN source = '{s}' THEN '{d}'" for s, d in DOMAINS.items()) + " ELSE 'other' END"
+
+    def weight(depth: int) -> str:
+        cols = ["domain", "lang", "source"][:depth]
+        hits = [(k, w) for k, w in WEIGHTS.items() if len(k) == depth]
+        return "CASE " + " ".join(
+            "WHEN " + " AND ".join(f"{c} = '{v}'" for c, v in zip(cols, k)) + f" THEN {w}" for k, w in hits
+        ) + " ELSE 1 END"
+
+    def level(depth: int) -> str:
+        cols = ["domain", "lang", "source"][:depth]
+        path, parent = ", ".join(cols), ", ".join(cols[:-1])
+        by = f"PARTITION BY {parent} " if parent else ""
+        order = f"ORDER BY capacity / weight::DOUBLE, {cols[-1]}"
+        given = f"(SELECT budget FROM b{depth - 1} g WHERE " + " AND ".join(f"g.{c} = n.{c}" for c in cols[:-1]) + ")" \
+            if parent else "(SELECT sum(tokens)::BIGINT FROM leaves)"
+        return f"""
+        n{depth} AS (SELECT {path}, sum(3 * tokens)::BIGINT AS capacity, ({weight(depth)})::BIGINT AS weight FROM leaves GROUP BY {path}),
+        w{depth} AS (SELECT *, {given} - coalesce(sum(capacity) OVER ({by}{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lft,
+          (sum(weight) OVER ({by}) - coalesce(sum(weight) OVER ({by}{order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS wgt FROM n{depth} n),
+        f{depth} AS (SELECT *, min(CASE WHEN lft::DOUBLE / wgt >= capacity::DOUBLE / weight THEN 1 ELSE 0 END) OVER ({by}{order}) = 0 AS opn FROM w{depth}),
+        g{depth} AS (SELECT *, first(CASE WHEN opn THEN lft END IGNORE NULLS) OVER ({by}{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS l0,
+          first(CASE WHEN opn THEN wgt END IGNORE NULLS) OVER ({by}{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w0 FROM f{depth}),
+        b{depth} AS (SELECT {path}, CASE WHEN opn THEN least(floor((weight * l0)::DOUBLE / w0)::BIGINT, capacity) ELSE capacity END AS budget FROM g{depth})"""
+
+    return f"""WITH d AS (SELECT doc_id, {domain} AS domain, lang, source,
+          len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))::BIGINT AS n_tokens FROM documents),
+        leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM d GROUP BY ALL),
+        {level(1)}, {level(2)}, {level(3)},
+        p AS (SELECT b3.*, tokens, CASE WHEN tokens > 0 THEN least(budget // tokens, 3) ELSE 1 END AS n_full FROM b3 JOIN leaves USING (domain, lang, source)),
+        r AS (SELECT *, CASE WHEN n_full >= 3 OR tokens = 0 THEN 0 ELSE budget % tokens END AS rest FROM p),
+        s AS (SELECT d.*, n_full, rest, sum(n_tokens) OVER (PARTITION BY domain, lang, source
+          ORDER BY md5('17:' || (n_full + 1) || ':' || doc_id)) AS upto FROM d JOIN r USING (domain, lang, source))
+        SELECT doc_id, domain, lang, source, n_tokens, unnest(range(1, n_full + 1 + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END))::INT AS epoch FROM s"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_source_mixing": _op6_sql()}
