@@ -62,6 +62,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.llm.toxicity import score_toxicity
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return score_toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def registry() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
