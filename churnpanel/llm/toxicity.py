@@ -36,6 +36,8 @@ class Settings:
     terms: int = 3_000
     support: int = 3
     ratio: float = 8.0
+    #: Least likelihood-ratio statistic (about one chance in a million for a random term).
+    surprise: float = 25.0
     #: Lexicon voters for words and for beginnings, and letters of the beginnings.
     word_voters: int = 8
     stem_voters: int = 8
@@ -130,7 +132,11 @@ def mine_lexicon(sample: DataFrame, settings: Settings) -> tuple[np.ndarray, np.
     counts = sample.select("_text", "label").mapInArrow(emit, "term long, kind int, pos long, n long")
     counts = counts.groupBy("term").agg(F.min("kind").alias("kind"), F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     rate = ((F.col("pos") + 0.1) / (pos + 1)) / ((F.col("n") - F.col("pos") + 0.1) / (n - pos + 1))
-    best = counts.where((F.col("pos") >= settings.support) & (rate >= settings.ratio)).select(
+    share = pos / n
+    part = lambda x, expected: F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+    surprise = 2 * (part(F.col("pos"), F.col("n") * share) + part(F.col("n") - F.col("pos"), F.col("n") * (1 - share)))
+    enough = (F.col("pos") >= settings.support) & (rate >= settings.ratio) & (surprise >= settings.surprise)
+    best = counts.where(enough).select(
         "term", "kind", "pos", F.log(rate).alias("evidence")
     ).orderBy((F.col("pos") * F.col("evidence")).desc(), "term").limit(settings.terms).collect()
     return (np.array([r["term"] for r in best], np.int64), np.array([r["kind"] for r in best], np.int64),
