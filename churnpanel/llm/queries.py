@@ -23,6 +23,13 @@ def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op3_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.llm.near_dedup import near_duplicates
+
+    return near_duplicates(_documents(spark, sf_dir), shingle=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 #: Where documents of a source belong; other sources are "other".
 DOMAINS = {f"src{i}": ("web", "books", "code", "news")[i % 4] for i in range(20)}
 #: Target weights of the mixing tree, by path; nodes that are not named weigh 1.
