@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from churnpanel.llm.text import expand
+from churnpanel.llm.text import RangeHash, byte_values, expand, lower_ascii, pieces, words
 
 MAGIC = b"RPS1"
 #: Tokens after which a shard is closed (at the next document end), rounds, rules a
@@ -42,30 +42,34 @@ _HASH_BITS = 20
 
 # --- grammar -------------------------------------------------------------------
 
-def _frequent(seq: np.ndarray, least: int, most: int) -> np.ndarray:
-    """The most frequent adjacent pairs (packed), at most ``most``, each at least ``least`` times."""
+def _frequent(seq: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent adjacent pairs (packed), at most ``most``, each at least ``least``
+    times; where they stand and which of them stands there."""
     key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
     # a hashed histogram leaves few pairs to count exactly
     slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
     rough = np.bincount(slot, minlength=1 << _HASH_BITS)
     floor = max(least, int(np.partition(rough, -most)[-most]) if most < len(rough) else least)
-    pairs, n = np.unique(key[rough[slot] >= floor], return_counts=True)
-    keep = n >= floor
-    pairs, n = pairs[keep], n[keep]
-    order = np.lexsort((pairs, -n))[:most]
-    return np.sort(pairs[order])
-
-
-def _leftmost(hit: np.ndarray) -> np.ndarray:
-    """Of overlapping hits (pair at i and at i+1), every second from the left."""
-    at = np.flatnonzero(hit)
+    at = np.flatnonzero((rough >= floor)[slot])
+    pairs, which, n = np.unique(key[at], return_inverse=True, return_counts=True)
+    # ties go to the smaller pair; a pair that shared its slot may fall below the floor
+    chosen = np.lexsort((pairs, -n))[:most]
+    chosen = np.sort(chosen[n[chosen] >= least])
+    number = np.full(len(pairs), -1)
+    number[chosen] = np.arange(len(chosen))
+    ok = number[which] >= 0
+    return pairs[chosen], at[ok], number[which[ok]]
+
+
+def _leftmost(at: np.ndarray) -> np.ndarray:
+    """Of hits that overlap (pair at i and at i+1), every second from the left, as a mask."""
     if not len(at):
-        return at
+        return np.zeros(0, bool)
     new = np.ones(len(at), bool)
     new[1:] = np.diff(at) > 1
     first = np.flatnonzero(new)
     rank = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
-    return at[rank % 2 == 0]
+    return rank % 2 == 0
 
 
 def compress(ids: np.ndarray, terminals: int, rounds: int = ROUNDS, per_round: int = RULES_PER_ROUND,
@@ -78,13 +82,12 @@ def compress(ids: np.ndarray, terminals: int, rounds: int = ROUNDS, per_round: i
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        pairs = _frequent(seq, least, per_round)
+        pairs, at, number = _frequent(seq, least, per_round)
         if not len(pairs):
             break
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        where = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
-        at = _leftmost(pairs[where] == key)
-        used, number = np.unique(where[at], return_inverse=True)
+        keep = _leftmost(at)
+        at = at[keep]
+        used, number = np.unique(number[keep], return_inverse=True)
         rule = np.stack([(pairs[used] >> np.uint64(32)).astype(np.uint32), pairs[used].astype(np.uint32)], 1)
         seq = seq.copy()
         seq[at] = (terminals + n_rules + number).astype(np.uint32)
@@ -169,62 +172,91 @@ class Shard:
 
 # --- tokenising ----------------------------------------------------------------
 
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
+_ASCII_SIGN = np.zeros(256, bool)
+_ASCII_SIGN[33:127] = True
+_ASCII_SIGN[48:58] = _ASCII_SIGN[39] = False  # digits; the apostrophe can belong to letters
+_ASCII_SIGN &= ~_ASCII_LETTER
+
+
 class WordEncoder:
     """Ids of texts by the tokenizers library, asked once for each new word.
 
-    For a tokenizer that cuts at ASCII blanks before anything else, the ids of a text
-    are those of its blank-separated parts one after the other."""
+    The tokenizer cuts at blanks, and between letters and other signs, before anything
+    else, and it ignores case; so the ids of a text are those of its parts one after
+    the other.  Parts are found by hash, and new ones are encoded many at a time, held
+    apart by a special token.  Text that spells a special token is left uncut."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
         self.terminals = max(self.model.get_vocab().values()) + 1
+        special = {t.content: i for i, t in self.model.get_added_tokens_decoder().items() if t.special}
+        self.apart, self.apart_id = next(iter(special.items()))
+        self.special = [t.lower().encode() for t in special]
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: dict[int, int] = {}
         self.flat, self.size = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, keys: list[int], new: list[bytes], plain: bool) -> None:
         at = len(self.index)
-        if at + len(new) > len(self.starts):
-            grow = max(len(self.starts), len(new))
-            self.starts = np.concatenate([self.starts, np.zeros(grow, np.int64)])
-            self.lengths = np.concatenate([self.lengths, np.zeros(grow, np.int64)])
-        for lo in range(0, len(new), 4096):
-            plain = [w.decode() for w in new[lo: lo + 4096]]
-            got = self.model.encode_batch_fast(plain, add_special_tokens=False)
-            for word, code in zip(new[lo: lo + 4096], got):
-                ids = code.ids
-                if self.size + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-                self.flat[self.size: self.size + len(ids)] = ids
-                self.index[word] = at
-                self.starts[at], self.lengths[at] = self.size, len(ids)
-                self.size += len(ids)
-                at += 1
-
-    def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row, and their number in each text."""
+        rows = []
+        if plain:  # a part may hold a special token itself
+            rows += [np.array(c.ids, np.uint32)
+                     for c in self.model.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
+            flat, size = np.concatenate(rows), np.array([len(r) for r in rows])
+        else:
+            joined = [self.apart.join(w.decode() for w in new[lo: lo + 256]) + self.apart for lo in range(0, len(new), 256)]
+            flat = np.concatenate([np.array(c.ids, np.uint32)
+                                   for c in self.model.encode_batch_fast(joined, add_special_tokens=False)])
+            ends = np.flatnonzero(flat == self.apart_id)
+            size = np.diff(np.concatenate([[-1], ends])) - 1
+            flat = np.delete(flat, ends)
+            if len(size) != len(new):
+                raise RuntimeError("the tokenizer does not keep parts apart")
+        need = self.size + len(flat)
+        if need > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), need), np.uint32)])
+        self.flat[self.size: need] = flat
+        self.starts = np.concatenate([self.starts, self.size + np.cumsum(size) - size])
+        self.lengths = np.concatenate([self.lengths, size])
+        self.size = need
+        self.index.update(zip(keys, range(at, at + len(keys))))
+
+    def encode(self, buf: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts of a piece in a row, each text closed by ``end_id``, and
+        their number in each text."""
         if len(self.index) > MEMORY:
             self.forget()
-        parts = [t.encode().split() for t in texts]  # of bytes: at ASCII blanks only
-        flat = [w for p in parts for w in p]
-        if end_id is not None:
-            flat_ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
-        new = [w for w in dict.fromkeys(flat) if w not in self.index]
-        self._learn(new)
-        which = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        size = self.lengths[which]
-        ids = self.flat[expand(self.starts[which], size)]
-        upto = np.concatenate([[0], np.cumsum(size)])
-        counts = np.diff(np.concatenate([[0], upto[flat_ends]])) if end_id is not None else np.zeros(0)
-        if end_id is not None:
-            ids = np.insert(ids, upto[flat_ends], np.uint32(end_id))
-            counts = counts + 1
-        return ids.astype(np.uint32), counts.astype(np.int64)
+        lower = lower_ascii(buf)
+        low = lower.tobytes()
+        plain = any(t in low for t in self.special)
+        if not plain:
+            buf = lower
+            letter, sign = _ASCII_LETTER[buf], _ASCII_SIGN[buf]
+            cut = np.flatnonzero((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])) + 1
+            buf = np.insert(buf, cut, 32)
+            offs = offs + np.searchsorted(cut, offs)
+        starts, ends, first = words(buf, offs)
+        keys, at, which = np.unique(RangeHash(byte_values(buf))(starts, ends) ^ np.uint64(plain),
+                                    return_index=True, return_inverse=True)
+        known = [self.index.get(k, -1) for k in keys.tolist()]
+        new = [i for i, x in enumerate(known) if x < 0]
+        if new:
+            data = buf.tobytes()
+            spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist())
+            self._learn(keys[new].tolist(), [data[a:b] for a, b in spans], plain)
+            known = [self.index[k] for k in keys.tolist()]
+        number = np.array(known, np.int64)[which]
+        size = self.lengths[number]
+        ids = self.flat[expand(self.starts[number], size)]
+        upto = np.concatenate([[0], np.cumsum(size)])[first[1:]]
+        return np.insert(ids, upto, np.uint32(end_id)), np.diff(np.concatenate([[0], upto])) + 1
 
 
 @lru_cache(maxsize=1)
@@ -272,20 +304,20 @@ def write_shards(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        for batch in batches:
-            texts, at = batch.column(1), 0
-            while at < batch.num_rows:
-                # some texts at a time, so that a batch of long texts stays small as ids
-                some, size = [], 0
-                while at + len(some) < batch.num_rows and (not some or size < 1 << 20):
-                    some.append(texts[at + len(some)].as_py())
-                    size += len(some[-1])
-                got, n_each = encoder.encode(some, end_id)
-                ids.append(got)
-                counts.append(n_each)
-                keys += batch.column(0).slice(at, len(some)).to_pylist()
-                held += len(got)
-                at += len(some)
+        for some, buf, offs in pieces(batches):
+            got, n_each = encoder.encode(buf, offs, end_id)
+            at = 0
+            # a shard is closed at the first document end past its size
+            while at < len(n_each):
+                upto = np.cumsum(n_each[at:])
+                to = at + min(int(np.searchsorted(upto, shard_tokens - held)) + 1, len(upto))
+                take = int(upto[to - at - 1])
+                ids.append(got[:take])
+                got = got[take:]
+                counts.append(n_each[at:to])
+                keys += some.column(0).slice(at, to - at).to_pylist()
+                held += take
+                at = to
                 if held >= shard_tokens:
                     yield close()
         if keys:
