@@ -23,6 +23,12 @@ def op1_repair_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, path)
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.llm.suffix_dedup import digest, remove_repeats
+
+    return digest(remove_repeats(_documents(spark, sf_dir)))
+
+
 def op3_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnpanel.llm.near_dedup import near_duplicates
 
@@ -54,6 +60,13 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, ["domain", "lang", "source"], "n_tokens", F.col("all_tokens"), WEIGHTS, epochs=3, seed=17)
 
 
+def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.llm.automaton_dedup import remove_repeated_windows
+
+    return remove_repeated_windows(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnpanel.llm.compression_bands import with_quality
 

@@ -161,8 +161,8 @@ def contexts(values: np.ndarray, bounds: np.ndarray, length: int, k: int):
     The anchor of a window is its least-hashed ``k``-gram.  Equal windows have
     equal anchors at equal places, so a repeated window is found by comparing only
     the contexts of one anchor.  Returns per context: sequence index, first window
-    start (in the buffer), number of windows, anchor hash and hash of the whole
-    context (``windows + length - 1`` symbols).  ``bounds`` are sequence offsets."""
+    start (in the buffer), number of windows, anchor place after that start, anchor hash
+    and hash of the whole context (``windows + length - 1`` symbols).  ``bounds`` are sequence offsets."""
     rh = RangeHash(values)
     grams = rh.rolling(k)
     at = sliding_argmin(grams, length - k + 1)
@@ -181,4 +181,4 @@ def contexts(values: np.ndarray, bounds: np.ndarray, length: int, k: int):
     run = edges[np.searchsorted(edges, lo, "right")] - lo if len(lo) else lo
     anchor = at[lo]
     offset = (anchor - lo).astype(np.uint64)  # where the anchor lies is part of the content
-    return seq[lo], lo, run, grams[anchor], mix(rh(lo, lo + run + length - 1) ^ (offset << np.uint64(48)) ^ run.astype(np.uint64))
+    return seq[lo], lo, run, anchor - lo, grams[anchor], mix(rh(lo, lo + run + length - 1) ^ (offset << np.uint64(48)) ^ run.astype(np.uint64))
