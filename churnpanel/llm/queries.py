@@ -36,6 +36,21 @@ def op3_bayes_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each benchmark item that a document contains."""
+    from churnpanel.llm.decontaminate import contained_items
+
+    return contained_items(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(
+        "doc_id", "item_id", "n_item", "n_shared")
+
+
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.llm.line_templates import drop_template_lines
+
+    return drop_template_lines(_documents(spark, sf_dir)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 #: Where documents of a source belong; other sources are "other".
 DOMAINS = {f"src{i}": ("web", "books", "code", "news")[i % 4] for i in range(20)}
 #: Target weights of the mixing tree, by path; nodes that are not named weigh 1.
@@ -94,6 +109,20 @@ def registry() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+def _op4_sql() -> str:
+    """Exact containment of every item's five-word shingles in every document."""
+    def shingles(table: str, key: str) -> str:
+        words = ("list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                 "'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')")
+        return (f"(SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), "
+                f"lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s "
+                f"FROM (SELECT {key}, {words} AS w FROM {table}))")
+    return f"""WITH i AS {shingles('benchmark', 'item_id')}, n AS (SELECT item_id, count(*) AS n_item FROM i GROUP BY item_id),
+        d AS {shingles('documents', 'doc_id')},
+        h AS (SELECT doc_id, item_id, count(*) AS n_shared FROM d JOIN i USING (s) GROUP BY ALL)
+        SELECT doc_id, item_id, n_item, n_shared FROM h JOIN n USING (item_id) WHERE n_shared * 100 >= n_item * 80"""
+
+
 def _op6_sql() -> str:
     """The same budgets and prefixes, from windows over whole leaves."""
     domain = "CASE " + " ".join(f"WHEN source = '{s}' THEN '{d}'" for s, d in DOMAINS.items()) + " ELSE 'other' END"
@@ -133,4 +162,4 @@ def _op6_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mixing": _op6_sql()}
+    return {"op4_containment": _op4_sql(), "op6_source_mixing": _op6_sql()}
