@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnpanel.functions.ranks import value_ranks
@@ -78,6 +78,15 @@ def feature_select(corr: DataFrame, thresholds: dict[str, float]) -> DataFrame:
     return kept.select("label", "feature", "rho")
 
 
+def top_features(corr: DataFrame, count: int) -> DataFrame:
+    """The ``count`` features most correlated with each label, in descending order of
+    |rho| (to nine places, ties by name).  There is one row per feature and label."""
+    strength = F.round(F.abs("rho"), 9)
+    place = F.row_number().over(Window.partitionBy("label").orderBy(strength.desc_nulls_last(), "feature"))
+    ranked = corr.withColumn("place", place.cast("long")).where(F.col("place") <= count)
+    return ranked.select("label", "place", "feature", "rho").orderBy("label", "place")
+
+
 def drop_weak(panel: DataFrame, corr: DataFrame, label: str, threshold: float) -> DataFrame:
     """The panel without the columns whose correlation with ``label`` is weak.
     Column names are part of a plan, so they are read first: one per column."""

@@ -56,3 +56,8 @@ def trader_id_sets(trade: DataFrame, base: DataFrame) -> DataFrame:
 def degree_features(trade: DataFrame) -> DataFrame:
     """Network measures per account: trades and distinct partners."""
     return trade_degree(trade).join(trade_partners(trade), "acc_id")
+
+
+def rows_of(df: DataFrame, ids: DataFrame, *order) -> DataFrame:
+    """The rows of ``df`` that belong to the accounts of ``ids``, in ``order``."""
+    return df.join(ids.select("acc_id").distinct(), "acc_id", "left_semi").orderBy(*order)

@@ -487,7 +487,8 @@ Q["char_rows"] = f"select char_id, count(*) as n_rows from {_chars} group by cha
 Q["char_totals"] = f"""
   select count(distinct acc_id) as n_accounts, count(distinct char_id) as n_chars from {_chars}"""
 Q["server_list"] = """
-  select server from fx_combat union select server from fx_trade union select server from fx_activity"""
+  select server from fx_combat union select server from fx_trade union select server from fx_activity
+  union select server from fx_pledge"""
 Q["value_counts"] = "select class, count(*) as n from fx_combat group by class"
 Q["label_encode"] = " union all ".join(
     f"""select {c} as value, dense_rank() over (order by {c}) - 1 as code, '{c}' as source
@@ -554,6 +555,10 @@ Q["corr_spearman"] = "select * from q_rho"
 Q["feature_select"] = """
   select * from q_rho
   where abs(rho) >= case label when 'label_amount_spent' then 0.3 else 0.1 end"""
+Q["top_features"] = """
+  select label, place, feature, rho from (select label, feature, rho,
+    row_number() over (partition by label order by round(abs(rho), 9) desc nulls last, feature) as place from q_rho)
+  where place <= 10"""
 Q["minmax_scale"] = f"""
   select acc_id, {_each(KNN_FEATURES, _unit('"$c"', "lo_$c", "hi_$c") + ' as "$c"')}
   from q_squeeze, (select {_each(KNN_FEATURES, 'min("$c") as lo_$c, max("$c") as hi_$c')}
@@ -578,6 +583,11 @@ Q["trader_id_sets"] = """
     case when acc_id in (select target_acc_id from fx_trade) then 1 else 0 end as is_buyer
   from (select distinct acc_id from fx_combat)
   where acc_id in (select source_acc_id from fx_trade) or acc_id in (select target_acc_id from fx_trade)"""
+Q["trader_labels"] = """
+  select acc_id, survival_time, amount_spent from fx_label
+  where acc_id in (select source_acc_id from fx_trade) and acc_id in (select target_acc_id from fx_trade)
+    and acc_id in (select acc_id from fx_combat)"""
+Q["subset_accounts"] = f"select acc_id, survival_time, amount_spent from fx_label where {_hash('acc_id', 7)} % 1000 < 250"
 Q["degree_label_corr"] = _spearman("q_network", ["degree", "partners"])
 
 Q["knn_vote"] = _vote("q_knn_train", "q_knn_test", KNN_FEATURES, "amo_group")

@@ -23,7 +23,10 @@ from churnpanel.schema import RAW_TABLES, SPEND_MIN_CORR, SURVIVAL_MIN_CORR
 from churnpanel.sources import tables
 from churnpanel.sources.adapters import ITEMS, MONEY, Inputs
 
-BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+BASE_TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
 # parameters of the registered queries over the driver's tables
 LOOKUP_ACCOUNT = 7
 HUB_DEGREE = 620
@@ -452,7 +455,7 @@ def char_totals(i):
 
 @query
 def server_list(i):
-    return profile.server_list(i.combat, i.trade, i.activity)
+    return profile.server_list(i.combat, i.trade, i.activity, i.pledge)
 
 
 @query
@@ -594,11 +597,30 @@ def hub_edges(i):
     return graph.hub_edges(i.trade, HUB_DEGREE)
 
 
+@query
+def top_features(i):
+    """The ten strongest correlations of each label, strongest first."""
+    return correlation.top_features(_spearman(i), 10)
+
+
+@query
+def subset_accounts(i):
+    """A reproducible quarter of the labelled accounts."""
+    return scaling.subset_by_key(i.label, 0.25)
+
+
 @query
 def trader_id_sets(i):
     return graph.trader_id_sets(i.trade, _base(i))
 
 
+@query
+def trader_labels(i):
+    """Labels of the accounts that both sold and bought, greatest spend first."""
+    both = graph.trader_id_sets(i.trade, _base(i)).where("is_seller = 1 and is_buyer = 1")
+    return graph.rows_of(i.label, both, F.desc("amount_spent"), "acc_id")
+
+
 @query
 def degree_label_corr(i):
     label = i.label.select(
@@ -673,9 +695,7 @@ def rf_spend(i):
 @query
 def rf_grid(i):
     rows, cols = _model_rows(i)
-    fitted = models.fit_rf_grid(
-        _train(rows), cols, "sur_group", trees=(5, 10), depths=(3, 5), leaf_rows=(1, 5), folds=3
-    )
+    fitted = models.fit_rf_grid(_train(rows), cols, "sur_group")
     return models.predict(fitted, rows, "sur_group")
 
 
@@ -704,7 +724,7 @@ def _sequence_rows(i: Inputs) -> DataFrame:
 @query
 def gbt_survival(i):
     rows = _sequence_rows(i)
-    fitted = models.fit_gbt(_train(rows), rounds=20)
+    fitted = models.fit_gbt(_train(rows))
     return models.predict(fitted, rows, "survival_time")
 
 
@@ -722,7 +742,7 @@ def group_classifier(i):
 @query
 def pca_codes(i):
     rows, cols = _model_rows(i)
-    return models.pca_codes(_train(rows), rows, cols, 4)
+    return models.pca_codes(_train(rows), rows, cols, 20)
 
 
 @query

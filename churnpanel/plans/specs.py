@@ -155,6 +155,9 @@ SPECS: dict[str, str] = {
     "trade_edges": "l src dst",
     "trade_degree": "l acc_id degree",
     "hub_edges": "l src dst",
+    "trader_labels": "l acc_id survival_time; d amount_spent",
+    "subset_accounts": "l acc_id survival_time; d amount_spent",
+    "top_features": "s label; l place; s feature; d rho",
     "trader_id_sets": "l acc_id is_seller is_buyer",
     "degree_label_corr": "s feature label; d rho",
     # models
@@ -168,7 +171,7 @@ SPECS: dict[str, str] = {
     "poly_spend": "l acc_id; d amount_spent",
     "gbt_survival": "l acc_id; d survival_time",
     "group_classifier": "l acc_id; d sur_group amo_group",
-    "pca_codes": "l acc_id; d code_0 code_1 code_2 code_3",
+    "pca_codes": "l acc_id; " + _d(*[f"code_{n}" for n in range(20)]),
     "routed_predict": "l acc_id survival_time; d amount_spent",
     # documented features
     "server_rank": "s server; l n_accounts survival_rank spend_rank; d mean_survival mean_spent",

@@ -30,9 +30,9 @@ ITEMS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 VIEWS: dict[str, str] = {
     "fx_event": """
-        select event_id, user_id as acc_id, user_id*4 + (@K % 4) as char_id, @DAY as day,
-          event_type, value, @K as k
-        from events where @DAY <= 28""",
+        select event_id, user_id as acc_id, user_id*4 + (@K % 4) as char_id,
+          ((@DAY - 1) % 28 + 28) % 28 + 1 as day, event_type, value, @K as k
+        from events""",
     "fx_combat": """
         select day, acc_id, char_id, concat('s', cast(acc_id % 5 as string)) as server,
           k % 8 as class, cast(floor(value) as bigint) as level,
@@ -72,7 +72,7 @@ VIEWS: dict[str, str] = {
           sum(case when event_type<>'error' then cast(value as decimal(18,2)) else 0 end) as non_combat_play_time
         from fx_event join customer on acc_id = c_custkey group by c_nationkey, day""",
     "fx_pledge": """
-        select p.*, m.acc_id, m.char_id
+        select p.*, m.acc_id, m.char_id, concat('s', cast(m.acc_id % 5 as string)) as server
         from (select distinct e.acc_id, e.char_id, e.day, c.c_nationkey
               from fx_event e join customer c on e.acc_id = c.c_custkey
               where e.event_type in ('error','purchase')) m

@@ -7,7 +7,10 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as contract
+from churnpanel.plans.oracles import oracle_sql
+from churnpanel.plans.queries import registry
 from churnpanel.plans.specs import SPECS
+from churnpanel.sources.adapters import Inputs
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -24,11 +27,11 @@ def duck(sf_dir):
 @pytest.fixture(scope="module")
 def results(spark, sf_dir):
     """All queries, a few at a time: small inputs leave most cores idle."""
-    queries = contract.queries()
+    queries = registry()
     pool = ThreadPoolExecutor(6)
     found = {
         name: pool.submit(lambda n=name: queries[n](spark, sf_dir).toPandas())
-        for name in sorted(contract.oracle_sql())
+        for name in sorted(oracle_sql())
     }
     yield found
     pool.shutdown(cancel_futures=True)
@@ -40,14 +43,21 @@ def ordered(pdf):
 
 
 def test_registry_is_complete():
-    assert set(contract.queries()) == set(SPECS)
-    assert set(contract.oracle_sql()) <= set(SPECS)
+    assert set(registry()) == set(SPECS)
+    assert set(registry()) <= set(contract.queries())
+    assert set(oracle_sql()) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+def test_no_event_is_lost(spark, sf_dir):
+    inputs = Inputs(spark, sf_dir)
+    days = inputs.activity.agg({"day": "min"}).first()[0], inputs.activity.agg({"day": "max"}).first()[0]
+    assert inputs.activity.count() == inputs.events.count() and days[0] >= 1 and days[1] <= 28
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(results, duck, name):
     mine = ordered(results[name].result())
-    want = ordered(duck.execute(contract.oracle_sql()[name]).df())
+    want = ordered(duck.execute(oracle_sql()[name]).df())
     assert list(mine.columns) == list(want.columns)
     assert len(mine) == len(want)
     for c in mine.columns:
