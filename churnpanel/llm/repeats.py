@@ -32,6 +32,8 @@ from churnpanel.llm.text import (
 
 #: A settled context (all its windows are repeated), and one that only stands for others.
 OPEN, SETTLED, STANDS = 0, 1, 2
+#: Bytes of text in which equal contexts are combined before the shuffle.
+PIECE = 4 << 20
 #: Symbols a solver gets at once (more if one core has more).
 SHARD = {"bytes": 1 << 20, "words": 1 << 18}
 
@@ -78,7 +80,7 @@ class RepeatedWindows:
         unit, length, k, keep_first = self.unit, self.length, self.k, self.keep_first
 
         def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, buf, offs in pieces(batches):
+            for part, buf, offs in pieces(batches, size=PIECE):
                 values, bounds = symbols(buf, offs, unit)
                 seq, lo, run, place, a, c = contexts(values, bounds, length, k)
                 ids = part.column(0).to_numpy()[seq]

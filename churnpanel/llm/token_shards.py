@@ -304,7 +304,7 @@ def write_shards(
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        for some, buf, offs in pieces(batches):
+        for some, buf, offs in pieces(batches, size=4 << 20):
             got, n_each = encoder.encode(buf, offs, end_id)
             at = 0
             # a shard is closed at the first document end past its size
