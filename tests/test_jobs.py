@@ -100,3 +100,37 @@ def test_routed_predictions_stay_in_range(spark):
     mse = evaluate.metric_regression(models.predict(model, rows, "amount_spent"), rows).first()
     assert mse.r2 > 0
     assert set(feature_columns(rows)) >= set(cols)
+
+
+def test_every_model_predicts_in_its_domain(spark):
+    from pyspark.sql import functions as F
+
+    from churnpanel.plans.queries import _sequence_rows
+
+    rows, cols = _model_rows(Inputs(spark, "/root/testdata/sf0.01"))
+    known = {r.acc_id for r in rows.select("acc_id").collect()}
+
+    def checked(found, name, allowed=None):
+        got = found.toPandas()
+        assert got.acc_id.is_unique and set(got.acc_id) == known
+        assert got[name].map(math.isfinite).all()
+        if allowed is not None:
+            assert set(got[name]) <= set(allowed)
+
+    grid = models.fit_rf_grid(rows, cols[:5], "sur_group", trees=(2,), depths=(2, 3), leaf_rows=(1,), folds=2)
+    checked(models.predict(grid, rows, "p"), "p", (0, 1))
+    checked(models.predict(models.fit_svm(rows, cols[:5], "amo_group", iterations=5), rows, "p"), "p", (0, 1, 2))
+    checked(models.predict(models.fit_poly_spend(rows, cols[:3]), rows, "p"), "p")
+    codes = models.pca_codes(rows, rows, cols, 3)
+    assert codes.columns == ["acc_id", "code_0", "code_1", "code_2"]
+    checked(codes, "code_0")
+    steps = _sequence_rows(Inputs(spark, "/root/testdata/sf0.01"))
+    known = {r.acc_id for r in steps.select("acc_id").collect()}
+    boosted = models.predict(models.fit_gbt(steps, rounds=3), steps, "p")
+    checked(boosted, "p")
+    # boosting beats the constant on its own rows
+    error = boosted.join(steps, "acc_id").agg(
+        F.avg(F.pow(F.col("p") - F.col("survival_time"), 2)).alias("mine"), F.var_pop("survival_time").alias("constant")).first()
+    assert error.mine < error.constant
+    group = models.fit_group(steps, 28 * 3, "amo_group", 3, hidden=4, iterations=5)
+    checked(models.predict(group, steps, "p"), "p", (0, 1, 2))
