@@ -32,6 +32,8 @@ from churnpanel.llm.text import RangeHash, byte_values, lower_ascii, mix, pieces
 BANDS, ROWS = 32, 6
 #: Minima compared at a time, and the chance of giving up a pair at the threshold.
 BATCH, MISS = 32, 1e-5
+#: Strays of a band that meet its members at once.
+BLOCK = 1024
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, size: int):
@@ -168,11 +170,8 @@ class NearDuplicates:
         main = tagged.groupBy("band", "component").count().groupBy("band").agg(
             F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
         ).where("parts > 1").select("band", "main")
-        left = materialize(tagged.join(main, "band"), "near-mixed")
-        strays = left.where("component <> main").select("band", F.col("id").alias("x"), F.col("component").alias("cx"))
-        pairs = strays.join(left.select("band", F.col("id").alias("y"), F.col("component").alias("cy")), "band").where("cx <> cy")
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = pairs.join(stars, ["a", "b"], "left_anti")
+        left = tagged.join(main, "band").withColumn("stray", F.col("component") != F.col("main"))
+        pairs = materialize(self._met_in_bands(left, reps), "near-met").distinct()
         more = self._verified(pairs, reps)
         component = materialize(connected_components(shared.select("id").distinct(), links.unionByName(more)), "near-components")
 
@@ -181,6 +180,48 @@ class NearDuplicates:
         return known.join(component.withColumnRenamed("id", "class_id"), "class_id", "left").select(
             "doc_id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
 
+    def _met_in_bands(self, rows: DataFrame, reps: DataFrame) -> DataFrame:
+        """Pairs of a band, in different components, that pass the sequential test.
+
+        Strays are dealt into blocks of bounded size and each block meets a stream of the
+        band's members, so pairs that fail the test never become rows."""
+        limits, batch, percent = self.limits, self.batch, self.percent
+        sizes = rows.where("stray").groupBy("band").agg(F.count(F.lit(1)).alias("strays"))
+        parts = F.ceil(F.col("strays") / F.lit(BLOCK)).cast("int")
+        rows = rows.join(sizes.select("band", parts.alias("parts")), "band").join(reps, "id")
+        own = rows.where("stray").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("stray", F.lit(False))
+        columns = ["band", "part", "stray", "id", "component", "n", "sig"]
+        dealt = own.select(*columns).unionByName(every.select(*columns)).repartition("band", "part").sortWithinPartitions(
+            "band", "part", F.col("stray").desc(), "id")
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, block = None, []
+            for rows in batches:
+                if not rows.num_rows:
+                    continue
+                band, part, stray, ids, comp, n = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+                sig = np.frombuffer(b"".join(rows.column(6).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+                cut = np.flatnonzero((band[1:] != band[:-1]) | (part[1:] != part[:-1])) + 1
+                found: list[tuple[int, int]] = []
+                for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), rows.num_rows]):
+                    if now != (band[lo], part[lo]):
+                        now, block = (band[lo], part[lo]), []
+                    mid = lo + int(stray[lo:hi].sum())
+                    block += [(ids[i], comp[i], n[i], sig[i].copy()) for i in range(lo, mid)]
+                    members = np.arange(mid, hi)
+                    for i, c, size, s in block:
+                        # the smaller set bounds the similarity
+                        small, large = np.minimum(n[members], size), np.maximum(n[members], size)
+                        near = members[(comp[members] != c) & (small * 100 >= large * percent)]
+                        if len(near):
+                            near = near[survives(sig[near], np.broadcast_to(s, (len(near), len(s))), limits, batch)]
+                            found += [(min(i, x), max(i, x)) for x in ids[near].tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+        return dealt.mapInArrow(meet, "a long, b long")
+
     def _verified(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
         """The pairs that survive the sequential test and whose full sets reach the threshold."""
         limits, batch, percent, size = self.limits, self.batch, self.percent, self.shingle
