@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnpanel.functions.scale import materialize
+from churnpanel.functions.scale import materialize, salted_join
 from churnpanel.llm.keys import one_text_per_key
 from churnpanel.llm.text import RangeHash, byte_values, mix, pieces, words
 
@@ -98,8 +98,8 @@ class Leaf:
 
 def recurring_lines(docs: DataFrame, depth: int = DEPTH, similar: int = SIMILAR, least_docs: int = LEAST_DOCS,
                     least_fixed: int = LEAST_FIXED) -> tuple[DataFrame, DataFrame]:
-    """(templates: leaf, number, template, n_docs; lines: leaf, line -> template number) of
-    the templates that recur.  ``docs`` has (id, text), every id once."""
+    """(templates: leaf, number, template, n_docs; lines: id, at (number in the document),
+    leaf, template number) of the templates that recur.  ``docs`` has (id, text), every id once."""
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, buf, offs in pieces(batches):
@@ -155,11 +155,24 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, similar: int = SIMILAR,
     # a template only loses fixed places, so its last state has the most fields
     fields = F.size(F.filter(F.split("template", " "), lambda t: t == FIELD))
     merged = placed.groupBy("leaf", "number").agg(
-        F.sum("n_docs").alias("n_docs"), F.max_by("template", fields).alias("template"))
-    recurring = merged.where(F.col("n_docs") >= least_docs)
+        F.sum("n_docs").alias("most"), F.max_by("template", fields).alias("template"))
     fixed = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
-    recurring = materialize(recurring.where(fixed >= least_fixed), "templates")
-    return recurring, placed.join(recurring.select("leaf", "number"), ["leaf", "number"], "left_semi").select("leaf", "line", "number")
+    # a document may have several lines of a template: their sum only bounds its documents
+    possible = materialize(merged.where((F.col("most") >= least_docs) & (fixed >= least_fixed)).drop("most"), "templates")
+    number = placed.join(possible.select("leaf", "number"), ["leaf", "number"], "left_semi").select("leaf", "line", "number")
+
+    def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, buf, offs in pieces(batches):
+            doc, at, _, _, _, leaf, line = split_lines(buf, offs, depth)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(pa.array(doc)), pa.array(at), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64))],
+                names=["id", "at", "leaf", "line"])
+
+    found = docs.mapInArrow(where, "id long, at long, leaf long, line long").join(number, ["leaf", "line"])
+    found = materialize(found.select("id", "at", "leaf", "number"), "template-lines")
+    n_docs = found.groupBy("leaf", "number").agg(F.count_distinct("id").alias("n_docs")).where(F.col("n_docs") >= least_docs)
+    recurring = materialize(possible.join(n_docs, ["leaf", "number"]), "recurring-templates")
+    return recurring, salted_join(found, recurring.select("leaf", "number"), ["leaf", "number"], "left_semi")
 
 
 def mask_bytes(line: bytes) -> list[str]:
@@ -171,23 +184,11 @@ def drop_template_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
                         similar: int = SIMILAR, least_docs: int = LEAST_DOCS, least_fixed: int = LEAST_FIXED) -> DataFrame:
     """doc_id, n_lines (lines with a word), n_dropped and text without dropped lines.
 
-    A template's documents are counted per distinct line, so a document with two lines of
-    one template counts twice.  Lines without a word are kept.  Null texts are empty, keys
+    A document counts once for a template, however many of its lines belong to it.  Lines without a word are kept.  Null texts are empty, keys
     are made unique as in ``one_text_per_key``; an empty table gives an empty result."""
     base = one_text_per_key(docs, key, text)
     _, dropped = recurring_lines(base, depth, similar, least_docs, least_fixed)
-    dropped = materialize(dropped, "dropped-lines")
-
-    def where(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, buf, offs in pieces(batches):
-            doc, number, _, _, _, leaf, line = split_lines(buf, offs, depth)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(doc)), pa.array(number), pa.array(leaf.view(np.int64)), pa.array(line.view(np.int64))],
-                names=["id", "at", "leaf", "line"])
-
-    hit = base.mapInArrow(where, "id long, at long, leaf long, line long").join(
-        dropped.select("leaf", "line"), ["leaf", "line"], "left_semi")
-    hit = hit.groupBy("id").agg(F.collect_list("at").alias("at"))
+    hit = dropped.groupBy("id").agg(F.collect_list("at").alias("at"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in pieces(batches):

@@ -260,6 +260,19 @@ def test_line_templates(spark, empty):
     assert drop_template_lines(empty).count() == 0
 
 
+def test_template_documents_count_once(spark):
+    verse = lambda i: f"When the night {'abcdefgh'[i]} falls on all the quiet hills"
+    other = [f"When the night {prose(i, 7)}" for i in range(6)]
+    alone = ["\n".join(verse(i) for i in range(6)), *other]
+    shared = ["\n".join(verse(i) for i in (0, 1, 2)), "\n".join(verse(i) for i in (3, 4, 5)), *other]
+    for texts in (alone, shared):  # six lines of a template, in one and in two documents
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        assert [(r.n_dropped, r.text) for r in drop_template_lines(df).orderBy("doc_id").collect()] == [(0, t) for t in texts]
+    six = [f"{verse(i)}\n{prose(i, 9)}\n{verse(7 - i)}" for i in range(6)]
+    df = spark.createDataFrame(list(enumerate(six)), "doc_id long, text string")
+    assert [(r.n_dropped, r.text) for r in drop_template_lines(df).orderBy("doc_id").collect()] == [(2, prose(i, 9)) for i in range(6)]
+
+
 # --- 6: mixing
 
 def test_budgets_redistribute_to_siblings_first(spark):
