@@ -66,26 +66,22 @@ class Leaf:
     def place(self, tokens: list[str]) -> int:
         """Number of the template the line joins (the most similar one, the earliest on ties)."""
         n = len(tokens)
-        # only templates that share a fixed token with the line can be similar enough
-        votes: dict[int, int] = {}
-        for i, t in enumerate(tokens):
-            for k in self.by_token.get((i, t), ()):
-                votes[k] = votes.get(k, 0) + 1
+        lead = min(self.depth, n)  # these places agree in all lines of the leaf
+        if 100 * lead >= self.similar * n:
+            near = range(len(self.templates))
+        else:  # only templates that share a fixed token beyond the lead can be similar enough
+            near = sorted({k for i, t in enumerate(tokens[lead:], lead) for k in self.by_token.get((i, t), ())})
         best, most = -1, -1
-        for k in sorted(votes):
-            fixed = sum(1 for x, t in zip(self.templates[k], tokens) if x == t != FIELD)
+        for k in near:
+            fixed = sum(1 for x, t in zip(self.templates[k][lead:], tokens[lead:]) if x == t != FIELD)
             if fixed > most:
                 best, most = k, fixed
-        lead = sum(1 for t in tokens[: self.depth] if t == FIELD)
-        if best < 0 or 100 * (most + lead) < self.similar * n:
+        if best < 0 or 100 * (lead + most) < self.similar * n:
             best = len(self.templates)
             self.templates.append(list(tokens))
-            for i, t in enumerate(tokens[self.depth:], self.depth):
+            for i, t in enumerate(tokens[lead:], lead):
                 if t != FIELD:
                     self.by_token.setdefault((i, t), []).append(best)
-            if n <= self.depth or all(t == FIELD for t in tokens[self.depth:]):
-                for i, t in enumerate(tokens):
-                    self.by_token.setdefault((i, t), []).append(best)
             return best
         template = self.templates[best]
         for i, (x, t) in enumerate(zip(template, tokens)):

@@ -17,7 +17,7 @@ from churnpanel.llm.components import connected_components
 from churnpanel.llm.compression_bands import with_quality
 from churnpanel.llm.decontaminate import contained_items, drop_contaminated
 from churnpanel.llm.induced_sort import CAP, sort_suffixes, sorted_suffixes
-from churnpanel.llm.line_templates import drop_template_lines
+from churnpanel.llm.line_templates import Leaf, drop_template_lines
 from churnpanel.llm.mixing import leaf_budgets, mix_sources
 from churnpanel.llm.near_dedup import bayes_limits, keep_one, near_duplicates
 from churnpanel.llm.suffix_dedup import digest, remove_repeats
@@ -273,6 +273,16 @@ def test_template_documents_count_once(spark):
     assert [(r.n_dropped, r.text) for r in drop_template_lines(df).orderBy("doc_id").collect()] == [(2, prose(i, 9)) for i in range(6)]
 
 
+def test_short_template_lines(spark):
+    names = ["Alice", "Bob", "Chloé", "Dora", "Emil", "Fay"]
+    texts = [f"Posted by user {n}\n{prose(i, 9)}\nWritten by staff writer {n}" for i, n in enumerate(names)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [(r.n_dropped, r.text) for r in drop_template_lines(df).orderBy("doc_id").collect()] == [(2, prose(i, 9)) for i in range(6)]
+    assert all(r.n_dropped == 0 for r in drop_template_lines(df.where("doc_id < 5")).collect())
+    leaf = Leaf(3, 60)  # from six tokens on, one more place than the lead must agree
+    assert [leaf.place(x.split()) for x in ("a b c d e f", "a b c x y z", "a b c d y x", "a b c v y w")] == [0, 1, 0, 1]
+
+
 # --- 6: mixing
 
 def test_budgets_redistribute_to_siblings_first(spark):
