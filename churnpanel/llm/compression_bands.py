@@ -2,8 +2,8 @@
 
 Text that a general compressor shrinks far more than prose is repetitive; text it
 hardly shrinks is noise.  The ratio (compressed over plain bytes, zstandard) is
-taken for the whole document and for fixed chunks of it, and held against limits
-that depend on the length, because short texts compress less.  Before that, base
+taken for the whole document and for chunks that cover all of it, and held against
+limits that depend on the length, because short texts compress less.  Before that, base
 rules reject documents that are too short or mostly repeated three-word windows."""
 
 from __future__ import annotations
@@ -18,11 +18,17 @@ from pyspark.sql import functions as F
 from churnpanel.llm.text import RangeHash, byte_values, mix, pieces, words
 
 LEVEL = 3
-CHUNK = 4096
+#: Bytes of a chunk; a last part of under half of that belongs to the chunk before it.
+CHUNK = 512
 #: (at least so many bytes, least and greatest ratio of a kept document), by length.
 DOCUMENT_BANDS = ((0, 0.25, 1.20), (512, 0.22, 0.85), (2048, 0.20, 0.75), (8192, 0.16, 0.70), (32768, 0.12, 0.68))
-#: Band of a full chunk, and the share of chunks outside it that rejects a document.
-CHUNK_BAND, CHUNK_SHARE = (0.15, 0.80), 0.25
+#: The same for a chunk.  At 4096 bytes 0.15 is 0.115 above repeated lines and 0.80 is 0.035
+#: below printable noise; shorter chunks have these distances to what such texts give there
+#: (up to 256 bytes a chunk is a whole text and has the limits of one).
+CHUNK_BANDS = ((0, 0.25, 1.20), (256, 0.31, 0.91), (384, 0.29, 0.88), (512, 0.25, 0.85), (768, 0.24, 0.83),
+               (1024, 0.195, 0.81), (2048, 0.15, 0.80))
+#: Share of chunks outside their band that rejects a document.
+CHUNK_SHARE = 0.25
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 
@@ -92,17 +98,25 @@ def band(n_bytes: int, bands=DOCUMENT_BANDS) -> tuple[float, float]:
     return [(lo, hi) for least, lo, hi in bands if n_bytes >= least][-1]
 
 
-def ratios(data: bytes, compressor, chunk: int = CHUNK) -> tuple[float, np.ndarray]:
-    """Ratio of the whole text and of its full chunks (a last part shorter than a
-    chunk is judged with the whole only)."""
+def chunk_ends(n_bytes: int, chunk: int = CHUNK) -> list[int]:
+    """Ends of the chunks of a text; together they cover it."""
+    if not n_bytes:
+        return []
+    ends = list(range(chunk, n_bytes - (chunk + 1) // 2 + 1, chunk))
+    return [*ends, n_bytes]
+
+
+def ratios(data: bytes, compressor, chunk: int = CHUNK) -> tuple[float, np.ndarray, np.ndarray]:
+    """Ratio of the whole text, and ratios and lengths of its chunks."""
     whole = len(compressor.compress(data)) / len(data) if data else 1.0
-    return whole, np.array([len(compressor.compress(data[i: i + chunk])) / chunk
-                            for i in range(0, len(data) - chunk + 1, chunk)])
+    ends = chunk_ends(len(data), chunk)
+    each = [len(compressor.compress(data[a:b])) / (b - a) for a, b in zip([0, *ends], ends)]
+    return whole, np.array(each), np.diff([0, *ends])
 
 
 def with_quality(
     docs: DataFrame, text_col: str = "text", level: int = LEVEL, chunk: int = CHUNK, bands=DOCUMENT_BANDS,
-    chunk_band=CHUNK_BAND, chunk_share: float = CHUNK_SHARE, min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT_PERCENT,
+    chunk_bands=CHUNK_BANDS, chunk_share: float = CHUNK_SHARE, min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT_PERCENT,
 ) -> DataFrame:
     """``docs`` with the base counts, ratios and verdict of each whole text.
 
@@ -121,14 +135,16 @@ def with_quality(
         import zstandard
 
         compressor = zstandard.ZstdCompressor(level=level)
+        least, least_ratio, most_ratio = (np.array(x) for x in zip(*chunk_bands))
         for rows, buf, offs in pieces(batches, text_col):
             got = base_counts(buf, offs)
             data = buf.tobytes()
             ratio, n, low, high, fits = [], [], [], [], []
             for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                r, each = ratios(data[a:b], compressor, chunk)
+                r, each, size = ratios(data[a:b], compressor, chunk)
                 lo, hi = band(b - a, bands)
-                few, many = int((each < chunk_band[0]).sum()), int((each > chunk_band[1]).sum())
+                own = np.searchsorted(least, size, "right") - 1
+                few, many = int((each < least_ratio[own]).sum()), int((each > most_ratio[own]).sum())
                 ratio.append(r)
                 n.append(len(each))
                 low.append(few)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from churnpanel.llm import queries as llm
 from churnpanel.llm.automaton_dedup import SuffixAutomaton, remove_repeated_windows
 from churnpanel.llm.components import connected_components
-from churnpanel.llm.compression_bands import with_quality
+from churnpanel.llm.compression_bands import chunk_ends, with_quality
 from churnpanel.llm.decontaminate import contained_items, drop_contaminated
 from churnpanel.llm.induced_sort import CAP, sort_suffixes, sorted_suffixes
 from churnpanel.llm.line_templates import Leaf, drop_template_lines
@@ -340,6 +340,23 @@ def test_quality_bands(spark):
     assert {x.doc_id: x.kept for x in with_quality(df).collect()} == {1: False, 2: False, 3: True}
 
 
+def test_every_part_is_judged(spark):
+    r = random.Random(10)
+    noise = lambda n: " ".join("".join(chr(r.randint(33, 126)) for _ in range(60)) for _ in range(n // 61 + 1))[:n]
+    same = "".join(f"the same line again and again number {i % 7}\n" for i in range(80))
+    words = [prose(i, 1) for i in range(400)]
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))[:n]
+    bad = [same[:2000] + noise(2000), text(4000) + noise(4000), text(1100) + noise(1100), text(1100) + same[:1100]]
+    good = [text(n) for n in (600, 767, 1000, 1279, 1644, 4000, 8000)]
+    df = spark.createDataFrame(list(enumerate(bad + good)), "doc_id long, text string")
+    got = with_quality(df, max_repeat=100).orderBy("doc_id").collect()
+    assert [x.kept for x in got] == [False] * len(bad) + [True] * len(good)
+    assert all(x.n_chunks > 0 for x in got)
+    for n in range(3000):
+        size = np.diff([0, *chunk_ends(n)])
+        assert size.sum() == n and (n < 512 or (256 <= size.min() and size.max() < 768))
+
+
 # --- 9: token counts
 
 def test_token_counts(docs, rows, empty):
