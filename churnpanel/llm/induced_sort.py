@@ -7,7 +7,8 @@ symbols; serving a suffix puts the one that starts a symbol earlier into its que
 queue entry is a tuple of position and length of the common prefix with the entry
 before it; one more than the least such value served since the last entry of the same
 queue is the value of the next.  A queue longer than ``memory`` entries is on disk
-except for its last part, so what is held does not grow with the shard."""
+except for its last part.  The text of the shard, its LMS positions and names are in
+memory; ``repeats`` bounds the shard."""
 
 from __future__ import annotations
 

@@ -11,10 +11,12 @@ Every window of ``length`` symbols (bytes or words) has an anchor, its least-has
 3. open contexts are cut into blocks of ``grain`` windows by their place at the anchor.
    The windows of a block share a core; blocks meet by core, equal ones are settled, and
    only different blocks of one core go on, with their symbols;
-4. a shard solver (suffix array, suffix automaton) decides those, window by window.
+4. a core with more different blocks than fit a shard is crowded (many documents share a
+   passage and differ around it): its windows are hashed one by one and counted in Spark;
+5. a shard solver (suffix array, suffix automaton) decides the others, window by window.
 
 A hot passage thus costs one row per task and step, not one per copy, and a solver sees
-each different text once."""
+each different text once and at most two shards of text."""
 
 from __future__ import annotations
 
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnpanel.functions.scale import materialize
+from churnpanel.functions.scale import materialize, salted_join
 from churnpanel.llm.text import (
     RangeHash, buffers, byte_values, contexts, expand, mix, pieces, words,
 )
@@ -34,7 +36,7 @@ from churnpanel.llm.text import (
 OPEN, SETTLED, STANDS = 0, 1, 2
 #: Bytes of text in which equal contexts are combined before the shuffle.
 PIECE = 4 << 20
-#: Symbols a solver gets at once (more if one core has more).
+#: Symbols a solver gets at once (up to twice that, as cores stay whole); a core with more is crowded.
 SHARD = {"bytes": 1 << 20, "words": 1 << 18}
 
 
@@ -47,7 +49,7 @@ def symbols(buf: np.ndarray, offs: np.ndarray, unit: str) -> tuple[np.ndarray, n
 
 
 def _settle(rows: DataFrame, group: str, content: str, keep_first: bool) -> DataFrame:
-    """Columns first, open and settled of rows that met by ``group``.
+    """Columns nth, settled, open and contents (open ones of the group) of rows that met by ``group``.
 
     A content seen twice is settled: all its rows, or all but the first."""
     rows = rows.repartition(F.col(group))
@@ -61,7 +63,8 @@ def _settle(rows: DataFrame, group: str, content: str, keep_first: bool) -> Data
     several = F.min(content).over(whole) != F.max(content).over(whole)
     return rows.withColumns({
         "settled": (F.col("kind") == SETTLED) | settled,
-        "open": (F.col("kind") != SETTLED) & (F.col("nth") == 1) & several})
+        "open": (F.col("kind") != SETTLED) & (F.col("nth") == 1) & several,
+        "contents": F.sum(F.when((F.col("kind") != SETTLED) & (F.col("nth") == 1), 1).otherwise(0)).over(whole)})
 
 
 class RepeatedWindows:
@@ -140,19 +143,43 @@ class RepeatedWindows:
 
         return rows.mapInArrow(emit, "core long, sub long, id long, lo long, n int, kind byte, body binary")
 
+    def crowded_windows(self, rows: DataFrame) -> DataFrame:
+        """id, lo, hi of the repeated windows of crowded cores.  Equal windows have equal cores,
+        so they meet by core and window hash, counted with partial sums."""
+        length, unit = self.length, self.unit
+
+        def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                buf, offs = buffers(batch.column(4))
+                values = byte_values(buf) if unit == "bytes" else np.frombuffer(buf.tobytes(), np.uint64)
+                begin = offs[:-1] // (1 if unit == "bytes" else 8)
+                core, ids, lo, n = (batch.column(i).to_numpy() for i in range(4))
+                own, at = np.repeat(np.arange(len(n)), n), expand(begin, n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(core[own]), pa.array(RangeHash(values)(at, at + length).view(np.int64)), pa.array(ids[own]),
+                     pa.array(lo[own] + at - begin[own])], names=["core", "window", "id", "lo"])
+
+        each = rows.select("core", "id", "lo", "n", "body").mapInArrow(emit, "core long, window long, id long, lo long")
+        again = each.groupBy("core", "window").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "lo")).alias("first"))
+        found = salted_join(each, again.where("times > 1").drop("times"), ["core", "window"], "inner", ["id", "lo"])
+        if self.keep_first:
+            found = found.where(F.struct("id", "lo") != F.col("first"))
+        return found.select("id", "lo", (F.col("lo") + length).alias("hi"))
+
     def ranges(self) -> DataFrame:
         """id, lo, hi: symbols covered by reported windows (ranges may overlap)."""
-        length, unit, solver = self.length, self.unit, self.solver
+        length, unit, solver, size = self.length, self.unit, self.solver, SHARD[self.unit]
         met = _settle(self.anchored(), "a", "c", self.keep_first).where("settled or open")
         met = materialize(met.select("id", "lo", "meta", "settled", "open"), "contexts")
         whole = met.where("settled").select("id", "lo", (F.col("lo") + F.col("meta").bitwiseAND(1023) + (length - 1)).alias("hi"))
 
         blocks = _settle(self.blocks(met.where("open")), "core", "sub", self.keep_first).where("settled or open")
-        blocks = materialize(blocks.select("core", "id", "lo", "n", "settled", "open", F.when(F.col("open"), F.col("body")).alias("body")), "blocks")
+        crowded = (F.col("contents") * (length + self.grain - 1) > size).alias("crowded")
+        blocks = materialize(blocks.select("core", "id", "lo", "n", "settled", "open", crowded, F.when(F.col("open"), F.col("body")).alias("body")), "blocks")
         more = blocks.where("settled").select("id", "lo", (F.col("lo") + F.col("n") + (length - 1)).alias("hi"))
 
         def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for cores, ids, lo, n, bodies in _shards(batches, SHARD[unit], unit):
+            for cores, ids, lo, n, bodies in _shards(batches, size, unit):
                 row, at = solver(ids, lo, n, bodies)
                 if len(row):
                     # neighbouring windows of one row make one range
@@ -164,9 +191,9 @@ class RepeatedWindows:
                         [pa.array(ids[row[begin]]), pa.array(lo[row[begin]] + at[begin]), pa.array(lo[row[begin]] + at[end] + length)],
                         names=["id", "lo", "hi"])
 
-        last = blocks.where("open").select("core", "id", "lo", "n", "body").repartition(F.col("core")).sortWithinPartitions(
+        last = blocks.where("open and not crowded").select("core", "id", "lo", "n", "body").repartition(F.col("core")).sortWithinPartitions(
             "core", "id", "lo").mapInArrow(solve, "id long, lo long, hi long")
-        return whole.unionByName(more).unionByName(last)
+        return whole.unionByName(more).unionByName(last).unionByName(self.crowded_windows(blocks.where("open and crowded")))
 
     def removals(self) -> DataFrame:
         """id and the ranges (lo, hi arrays) of every document with any."""

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnpanel.llm import queries as llm
+from churnpanel.llm import repeats
 from churnpanel.llm.automaton_dedup import SuffixAutomaton, remove_repeated_windows
 from churnpanel.llm.components import connected_components
 from churnpanel.llm.compression_bands import chunk_ends, with_quality
@@ -173,6 +174,32 @@ def test_repeated_keys_take_greatest_text(spark):
     assert got == {1: (150, 149), 2: (120, 120)}
 
 
+def test_crowded_cores(spark, monkeypatch):
+    passage, r = prose(2, 60), random.Random(6)
+    edge = lambda: "".join(r.choice("xyz") for _ in range(15))
+    texts = [f"{edge()} {edge()} {passage} {edge()} {edge()}" for _ in range(60)] + [passage, passage]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    monkeypatch.setitem(repeats.SHARD, "bytes", 1500)
+    monkeypatch.setitem(repeats.SHARD, "words", 300)
+    got = {r[0]: tuple(r[1:]) for r in digest(remove_repeats(df)).collect()}
+    assert got == brute_bytes(rows, 100)
+    count, split = Counter(), {k: t.split() for k, t in rows}
+    for w in split.values():
+        count.update(tuple(w[k: k + 35]) for k in range(len(w) - 34))
+    for g in remove_repeated_windows(df).collect():
+        w = split[g.doc_id]
+        gone = {k + d for k in range(len(w) - 34) if count[tuple(w[k: k + 35])] > 1 for d in range(35)}
+        assert g.kept == " ".join(x for k, x in enumerate(w) if k not in gone) and g.n_removed == len(gone)
+
+    def solver(ids, lo, n, bodies):  # no call gets more than two shards
+        assert len(bodies[0]) <= 2 * 1500 + 115
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    base = df.select(F.col("doc_id").alias("id"), "text")
+    assert repeats.RepeatedWindows(base, "bytes", 100, 32, 16, True, solver).ranges().count()
+
+
 # --- 3: near duplicates
 
 def brute_components(rows, size, percent):
