@@ -11,7 +11,9 @@
    document weighs its voters by accuracy, correlated ones as one.
 4. Classifier.  A linear model is trained on posterior labels and gives the score.
 
-The lexicon and the classifier are fitted on a bounded sample of labelled rows
+Terms are counted over every labelled row that may be used; of those that pass the tests the
+``Settings.terms`` with the most evidence make the lexicon, so further ones are no voter and
+no feature.  The classifier is fitted on a bounded sample of labelled rows
 (``Settings.sample``); the label model's counts and the scores cover every document."""
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from churnpanel.llm.text import RangeHash, byte_values, mix, pieces
 
 @dataclass(frozen=True)
 class Settings:
-    #: Labelled rows used to fit lexicon and classifier, at most (those of least hash).
+    #: Labelled documents used to fit the classifier, at most (those of least hash).
     sample: int = 40_000
     #: Terms kept at most, documents a term must occur in (toxic ones), least ratio of rates.
     terms: int = 3_000
@@ -90,18 +92,19 @@ def held_out(id_col: str = "doc_id"):
 
 # --- lexicon -------------------------------------------------------------------
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, label and lower-cased text of the sampled rows that labels may be used of.
+def labelled_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id, lower-cased text, label and sampled (for the classifier) of all rows that labels
+    may be used of.
 
     Several labels of one document count as toxic if any does; null labels are left out."""
     usable = labels.where(~held_out() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("label"))
-    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample)
-    text = _lower(docs, "text").select("doc_id", "_text")
-    return text.join(chosen, "doc_id")
+    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample).select("doc_id", F.lit(True).alias("sampled"))
+    usable = usable.join(chosen, "doc_id", "left").withColumn("sampled", F.coalesce("sampled", F.lit(False)))
+    return _lower(docs, "text").select("doc_id", "_text").join(usable, "doc_id")
 
 
-def mine_lexicon(sample: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+def mine_lexicon(labelled: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """(hashes, kinds, weight of evidence, share of toxic rows) of the terms.
 
     Documents per term are counted in Spark with partial sums; only terms that pass the
@@ -125,11 +128,11 @@ def mine_lexicon(sample: DataFrame, settings: Settings) -> tuple[np.ndarray, np.
                 [pa.array(keys), pa.array(k[first].astype(np.int32)), pa.array(pos), pa.array(n)],
                 names=["term", "kind", "pos", "n"])
 
-    size = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("pos")).first()
+    size = labelled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("pos")).first()
     n, pos = int(size["n"]), int(size["pos"])
     if not pos or pos == n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), pos / n if n else 0.0
-    counts = sample.select("_text", "label").mapInArrow(emit, "term long, kind int, pos long, n long")
+    counts = labelled.select("_text", "label").mapInArrow(emit, "term long, kind int, pos long, n long")
     counts = counts.groupBy("term").agg(F.min("kind").alias("kind"), F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     rate = ((F.col("pos") + 0.1) / (pos + 1)) / ((F.col("n") - F.col("pos") + 0.1) / (n - pos + 1))
     share = pos / n
@@ -289,8 +292,8 @@ class ToxicityModel:
 
     @classmethod
     def fit(cls, docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> ToxicityModel:
-        sample = materialize(labelled_sample(docs, labels, settings), "toxicity-sample")
-        hashes, kinds, _, prior = mine_lexicon(sample, settings)
+        labelled = materialize(labelled_rows(docs, labels, settings), "toxicity-labelled")
+        hashes, kinds, _, prior = mine_lexicon(labelled, settings)
         voters = Voters(hashes, kinds, settings)
         if not len(hashes):  # nothing to learn from: every score is the share of toxic rows
             p = min(max(prior, 1e-6), 1 - 1e-6)
@@ -307,7 +310,7 @@ class ToxicityModel:
                     [pa.array(p), pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(cols, pa.int32()))],
                     names=["p", "terms"])
 
-        got = sample.select("_text").mapInArrow(featurise, "p double, terms array<int>").collect()
+        got = labelled.where("sampled").select("_text").mapInArrow(featurise, "p double, terms array<int>").collect()
         size = np.array([len(r["terms"]) for r in got], np.int64)
         cols = np.array([t for r in got for t in r["terms"]], np.int64)
         target = np.array([r["p"] for r in got])

@@ -24,7 +24,7 @@ from churnpanel.llm.near_dedup import bayes_limits, keep_one, near_duplicates
 from churnpanel.llm.suffix_dedup import digest, remove_repeats
 from churnpanel.llm.token_counts import MergeCounter, with_token_counts
 from churnpanel.llm.token_shards import Shard, compress, expand_symbols, read_documents, write_shards
-from churnpanel.llm.toxicity import Settings, score_toxicity
+from churnpanel.llm.toxicity import Settings, ToxicityModel, score_toxicity
 
 WORD = r"[^\x20\x09-\x0D]+"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, kept string, budget int"
@@ -425,6 +425,15 @@ def test_toxicity(spark, empty):
     assert score_toxicity(spark.createDataFrame([], "doc_id long, text string, score string"), lab, Settings(sample=10)).count() == 0
 
 
+def test_lexicon_counts_all_labels(spark):
+    rows = [(i, prose(i, 40) + (" zzfoul" if i % 4 == 0 else "") + (" qqvile" if i % 24 == 0 else "")) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600)], "doc_id long, toxic int")
+    few, every = (ToxicityModel.fit(docs, lab, Settings(sample=n)) for n in (60, 40_000))
+    assert len(every.voters.hashes) and few.voters.hashes.tolist() == every.voters.hashes.tolist()
+    assert few.weights.tolist() != every.weights.tolist()
+
+
 # --- queries
 
 def test_registered():
