@@ -2,8 +2,9 @@
 
 Documents are tokenised in ascending doc_id order and cut into shards of whole
 documents.  In each shard the most frequent pairs of adjacent ids are replaced by
-new nonterminals, again and again, until no pair pays for its rule.  A shard stores
-its rules, the expansion length of every rule and the rewritten sequence, so any
+new nonterminals, for ``ROUNDS`` rounds of at most ``RULES_PER_ROUND`` rules each and only
+where a pair is found ``LEAST`` times; rarer pairs stay as they are, which costs size and
+not content (no symbol spans more than 2**ROUNDS tokens).  A shard stores its rules, the expansion length of every rule and the rewritten sequence, so any
 token range can be decoded by walking only the rules it touches.
 
 File format: a Parquet folder written by Spark (a lost task leaves no half file),
