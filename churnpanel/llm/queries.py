@@ -105,6 +105,54 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded, then decoded from the ids alone."""
+    from churnpanel.llm.bpe_transducer import with_decoded_text, with_token_ids
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = with_token_ids(_documents(spark, sf_dir).select("doc_id", "text"), path, public_tokenizers.PATTERN).drop("text")
+    joined = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    digests = ids.select("doc_id", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"),
+                         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"))
+    return with_decoded_text(digests, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Every tenth document (by the hash of its id) made periodic from one word on."""
+    words = docs.withColumn("_h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    split = words.withColumn("_w", F.when(F.col("_h") % 10 == 0, F.array_remove(F.split(
+        F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), "")))
+    g, n = F.floor(F.col("_h") / 10), F.size("_w").cast("long")
+    split = split.withColumns({"_a": F.when(n > 0, g % n), "_p": F.when(n > 0, 1 + F.floor((n - g % n) / (3 + g % 8)))})
+    again = F.transform("_w", lambda w, i: F.when(i < F.col("_a"), w).otherwise(
+        F.get("_w", (F.col("_a") + (i - F.col("_a")) % F.col("_p")).cast("int"))))
+    changed = F.when(F.col("_p").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text"))
+    return split.withColumn("text", changed).drop("_h", "_w", "_a", "_p")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.llm.periodic_runs import with_runs
+
+    found = with_runs(with_planted_periods(_documents(spark, sf_dir).select("doc_id", "text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_best.start")).alias("start"),
+        F.col("_best.length").alias("length"), (-F.col("_best.period")).alias("period"),
+        F.floor(F.col("_best.length") * 1000 / -F.col("_best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from churnpanel.llm.filter_audit import RULES, audit, document_counts
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality", "toxic")
+    return audit(document_counts(docs, labels), RULES)
+
+
 def registry() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -161,5 +209,32 @@ def _op6_sql() -> str:
         SELECT doc_id, domain, lang, source, n_tokens, unnest(range(1, n_full + 1 + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END))::INT AS epoch FROM s"""
 
 
+def _op13_sql() -> str:
+    """Every order run step by step, over counts by failed filters."""
+    words = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+    return f"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {words} AS w FROM documents),
+        l AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        f AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+          [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+           100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t),
+           regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS fails
+          FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+        c AS (SELECT part, good, toxic, fails, count(*) AS n FROM f GROUP BY ALL),
+        i AS (SELECT unnest(range(1, 6)) AS x),
+        o AS (SELECT [a.x, b.x, c.x, d.x, e.x] AS ord FROM i a, i b, i c, i d, i e
+          WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+        s AS (SELECT ord, x AS step, ord[x] AS f, ord[1:x - 1] AS before,
+          array_to_string(list_transform(ord, lambda y: 'ABCDE'[y]), '') AS filter_order FROM o, i),
+        r AS (SELECT part, filter_order, step, f, good, toxic, n, fails, fails[f] AS hit,
+          len(list_filter(before, lambda y: fails[y])) = 0 AS alive FROM c, s),
+        g AS (SELECT part, filter_order, step, f, sum(n) FILTER (alive AND NOT hit) AS kept, sum(n) FILTER (alive AND hit) AS removed,
+          sum(n) FILTER (hit AND NOT alive) AS redundant, sum(n) FILTER (hit AND len(list_filter(fails, lambda y: y)) = 1) AS unique_fails,
+          sum(n) FILTER (alive AND hit AND good) AS good_lost, sum(n) FILTER (alive AND hit AND toxic) AS toxic_lost FROM r GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+          coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+          coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+          coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley FROM g"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_containment": _op4_sql(), "op6_source_mixing": _op6_sql()}
+    return {"op4_containment": _op4_sql(), "op6_source_mixing": _op6_sql(), "op13_filter_audit": _op13_sql()}
