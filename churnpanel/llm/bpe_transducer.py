@@ -10,8 +10,8 @@ No token is longer than the longest of the vocabulary, so the lookahead is bound
 open guesses, taken relative to the last emitted token, are one of finitely many states.
 
 States and transitions are made when they are first met, and kept in a table of bounded
-size.  Once it is full, further states are worked out whenever they are met, and when that
-has happened as often as the table is large, it starts anew.  Work is linear in the length of a text, also for a
+size.  Once it is full, a piece that leaves it is read to its end by the guesses themselves,
+and when that has happened many times the size of the table, it starts anew.  Work is linear in the length of a text, also for a
 single stretch of megabytes that the splitting pattern does not cut.
 
 Decoding goes the other way, token by token: a state machine over UTF-8 holds the bytes
@@ -40,7 +40,7 @@ TOKENS = 1 << 18
 #: Characters of a text that are cut into pieces together.
 BLOCK = 1 << 19
 #: Tokens beyond a vocabulary node that are tried in order to give up a guess.
-FEW = 64
+FEW = 16
 #: Above all ranks.
 NEVER = 1 << 62
 
@@ -150,6 +150,12 @@ class Transducer:
                     return False
                 j += 1
 
+    def _pair(self, pair: tuple[int, int]) -> bool:
+        if len(self.pairs) >= 2 * self.memory:
+            self.pairs.clear()
+        fits = self.pairs[pair] = self.adjacent(*pair)
+        return fits
+
     def alive(self, last: int, node: int) -> bool:
         """Whether a token beyond ``node`` may follow ``last``; nodes with many are not tried."""
         tokens = self.beyond[node]
@@ -177,9 +183,7 @@ class Transducer:
                     pair = (pending[-1] if pending else last, token)
                     fits = pairs.get(pair)
                     if fits is None:
-                        if len(pairs) >= self.memory:
-                            pairs.clear()
-                        fits = pairs[pair] = self.adjacent(*pair)
+                        fits = self._pair(pair)
                     if fits:
                         done = (*pending, token)
             if follow[node] and self.alive(pending[-1] if pending else last, node):
@@ -198,12 +202,8 @@ class Transducer:
         return (done[shared - 1], *[(p[shared:], n) for p, n in open_], (done[shared:], self.ROOT)), done[:shared]
 
     def _number(self, state: tuple) -> int:
-        """The place of a state in the table, -1 if it is not there and there is no room."""
         known = self.number.get(state)
         if known is None:
-            if len(self.states) >= self.memory:
-                self.missed += 1
-                return -1
             known = self.number[state] = len(self.states)
             self.states.append(state)
         return known
@@ -212,26 +212,59 @@ class Transducer:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if self.missed >= self.memory:
+        if self.missed >= 8 * self.memory:
             self._forget()
         out: list[int] = []
-        moves, at, state = self.moves, 0, self.begin
-        for byte in piece:
-            move = moves.get(at << 8 | byte) if at >= 0 else None
-            if move is not None:
-                at, tokens = move
-            else:
-                before, (state, tokens) = at, self._move(self.states[at] if at >= 0 else state, byte)
-                at = self._number(state)
-                if before >= 0 and at >= 0:
-                    moves[before << 8 | byte] = (at, tokens)
+        moves, at = self.moves, 0
+        for i, byte in enumerate(piece):
+            move = moves.get(at << 8 | byte)
+            if move is None:
+                if len(self.states) >= self.memory:
+                    self.missed += 1
+                    return out + self._simulate(self.states[at], piece[i:])
+                state, tokens = self._move(self.states[at], byte)
+                move = moves[at << 8 | byte] = (self._number(state), tokens)
+            at, tokens = move
             if tokens:
                 out += tokens
-        if at >= 0:
-            state = self.states[at]
-        out += state[-1][0]  # the guess that ends here is the last one
+        out += self.states[at][-1][0]  # the guess that ends here is the last one
         return out
 
+    def _simulate(self, state: tuple, rest: bytes) -> list[int]:
+        """The tokens of ``rest`` and those pending in ``state``, without making states:
+        each guess is a vocabulary node and a chain of the tokens before it."""
+        follow, ends, pairs = self.next, self.ends, self.pairs
+        base = (None, state[0])
+        guesses = []
+        for pending, node in state[1:]:
+            before = base
+            for token in pending:
+                before = (before, token)
+            guesses.append((before, node))
+        for byte in rest:
+            done, open_ = None, []
+            for before, node in guesses:
+                node = follow[node].get(byte)
+                if node is None:
+                    continue
+                token = ends[node]
+                if done is None and token >= 0:
+                    pair = (before[1], token)
+                    fits = pairs.get(pair)
+                    if fits is None:
+                        fits = self._pair(pair)
+                    if fits:
+                        done = (before, token)
+                if follow[node]:
+                    open_.append((before, node))
+            open_.append((done, self.ROOT))
+            guesses = open_
+        out, at = [], guesses[-1][0]
+        while at[0] is not None:
+            at, token = at
+            out.append(token)
+        return out[::-1]
+
 
 class Encoder:
     """Texts to ids: the pattern cuts pieces, the transducer encodes each."""
@@ -345,7 +378,9 @@ class Decoder:
         yield machine.close()
 
     def decode(self, ids: Iterable[int]) -> str:
-        return "".join(self.stream(ids))
+        ids = list(ids)
+        texts = [self.whole[i] for i in ids]
+        return "".join(self.stream(ids) if None in texts else texts)
 
 
 @lru_cache(maxsize=1)

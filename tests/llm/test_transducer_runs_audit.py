@@ -63,7 +63,7 @@ def test_small_tables_give_the_same(ranks, library):
     encoder = Encoder(ranks, tokenizers.PATTERN, memory=50, pieces=20)
     for t in texts(300, 9):
         assert encoder.encode(t) == library.encode_ordinary(t)
-    assert len(encoder.machine.states) <= 50 and len(encoder.known) <= 20
+    assert len(encoder.machine.states) <= 50 and len(encoder.known) <= 20 and encoder.machine.missed
 
 
 def test_lookahead_is_bounded(ranks):
