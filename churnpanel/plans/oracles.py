@@ -10,9 +10,9 @@ import re
 
 from churnpanel.plans.contract import shape_sql
 from churnpanel.plans.specs import (
-    CORR_LABELS, IMPUTED, KNN_FEATURES, PANEL, SEQUENCE, SPECS, TRADE_CORR,
+    CORR_LABELS, IMPUTED, KNN_FEATURES, PANEL, SPECS, TRADE_CORR,
 )
-from churnpanel.plans.queries import BASE_TABLES, HUB_DEGREE, LOOKUP_ACCOUNT, SLICE
+from churnpanel.plans.queries import BASE_TABLES, HUB_DEGREE, LOOKUP_ACCOUNT, PREPARED_MIN_CORR, SLICE
 from churnpanel.schema import (
     ACTIVITY_MEASURES, COMBAT_MEASURES, LEVEL_COLUMNS, MEAN_FILL, PANEL_RENAME,
     PAYMENT_STATS, PLEDGE_MEASURES, PLEDGE_RENAME, SQUEEZE_MEAN, TRADE_DAILY_COLUMNS,
@@ -249,6 +249,20 @@ def _part(share: int) -> str:
     return f"case when {_hash('acc_id', 42)} % 1000 < {share} then 'train' else 'test' end"
 
 
+_prepared = [c for c in IMPUTED if c != "amount_spent"]
+NAMED["q_prep"] = f"""
+  select s.acc_id, l.amount_spent as spent, {_each(_prepared, 'round(s."$c", 6) + 0.0 as "$c"')}, {_part(800)} as part
+  from q_squeeze s join fx_label l using (acc_id)"""
+NAMED["q_prep_train"] = "select * from q_prep where part = 'train'"
+NAMED["q_prep_rho"] = " union all ".join(
+    f"""select '{c}' as feature, lo, hi, case when stddev_pop(x) = 0 or stddev_pop(y) = 0 then 0
+      else round(covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)), 9) end as rho
+    from (select rank() over (order by "{c}") + (count(*) over (partition by "{c}") - 1) / 2.0 as x,
+        rank() over (order by spent) + (count(*) over (partition by spent) - 1) / 2.0 as y,
+        min("{c}") over () as lo, max("{c}") over () as hi from q_prep_train) group by lo, hi"""
+    for c in _prepared)
+
+
 def _vote(refs: str, asked: str, features: list[str], label: str, keys: str = "",
           differ: bool = False) -> str:
     """Brute-force nearest five and majority label, ties to the smaller."""
@@ -409,7 +423,7 @@ Q["presence_flags"] = "select acc_id, day, " + _each(
     "coalesce($c, 0) as $c") + " from q_fill"
 Q["panel_slice"] = f"select * from q_imputed order by acc_id, day limit {SLICE[1]} offset {SLICE[0]}"
 Q["played_flag"] = """
-  select acc_id, day, a_playtime, case when a_playtime <> 0 then 1 else 0 end as isplayed from q_imputed"""
+  select *, case when a_playtime <> 0 then 1 else 0 end as isplayed from q_imputed"""
 Q["account_squeeze"] = "select * from q_squeeze"
 Q["account_mean"] = "select * from q_means"
 Q["week_mean"] = f"""
@@ -422,15 +436,17 @@ Q["daily_target_mean"] = """
     left join (select acc_id, avg(amount_spent) as mean_spent from q_payday group by acc_id) m
       on k.acc_id = m.acc_id"""
 
-Q["account_sequence"] = f"select acc_id, day, {', '.join(SEQUENCE)} from q_imputed"
+Q["account_sequence"] = "select * from q_imputed"
+_days = ", ".join(f"'{c}': {c}" for c in ["day", *IMPUTED])
 Q["sliding7"] = f"""
-  select w.acc_id, w.day as start, s.day, {_each(SEQUENCE, "s.$c")}
-  from q_imputed w join q_imputed s on w.acc_id = s.acc_id and s.day between w.day and w.day + 6
-  where w.day <= 22"""
-Q["sliding7_target"] = """
-  select w.acc_id, w.day as start, s.day, s.a_playtime, s.amount_spent, t.amount_spent as y
-  from q_imputed w join q_imputed s on w.acc_id = s.acc_id and s.day between w.day and w.day + 6
-    join q_imputed t on t.acc_id = w.acc_id and t.day = w.day + 7"""
+  select acc_id, start, s.* from (select acc_id, start, unnest(w) as s from (
+    select acc_id, day as start, list({{{_days}}}) over (partition by acc_id order by day
+      rows between current row and 6 following) as w from q_imputed) where len(w) = 7)"""
+Q["sliding7_target"] = f"""
+  select acc_id, start, s.*, y from (select acc_id, start, y, unnest(w) as s from (
+    select acc_id, day as start, list({{{_days}}}) over (partition by acc_id order by day
+      rows between current row and 6 following) as w,
+      lead(amount_spent, 7) over (partition by acc_id order by day) as y from q_imputed) where len(w) = 7 and y is not null)"""
 Q["ar_forecast"] = """
   with pairs as (select acc_id, day, amount_spent as y,
       lag(amount_spent) over (partition by acc_id order by day) as x from q_target),
@@ -452,10 +468,10 @@ Q["label_onehot"] = f"""
   select acc_id, amount_spent, {_each([str(t) for t in range(1, 65)], "case when survival_time = $c then 1 else 0 end as st_$c")}
   from fx_label"""
 Q["log_spend"] = """
-  select acc_id, day, max_spent, case when max_spent = 0 then 0 else ln(nullif(max_spent, 0)) end as log_max_spent
-  from q_imputed"""
+  select *, case when max_spent = 0 then 0 else ln(nullif(max_spent, 0)) end as log_max_spent from q_imputed"""
 Q["nonzero_spend"] = "select * from fx_label where amount_spent <> 0"
-Q["route_by_group"] = "select * from q_imputed join q_groups using (acc_id) where sur_group = 1"
+Q["route_by_group"] = """
+  select p.*, g.sur_group from q_imputed p join q_groups g using (acc_id) where sur_group = 1"""
 Q["score_keycheck"] = """
   select coalesce(c.acc_id, l.acc_id) as acc_id, case when c.acc_id is null then 0 else 1 end as in_pred,
     case when l.acc_id is null then 0 else 1 end as in_actual
@@ -560,14 +576,24 @@ Q["top_features"] = """
     row_number() over (partition by label order by round(abs(rho), 9) desc nulls last, feature) as place from q_rho)
   where place <= 10"""
 Q["minmax_scale"] = f"""
-  select acc_id, {_each(KNN_FEATURES, _unit('"$c"', "lo_$c", "hi_$c") + ' as "$c"')}
-  from q_squeeze, (select {_each(KNN_FEATURES, 'min("$c") as lo_$c, max("$c") as hi_$c')}
+  select acc_id, {_each(IMPUTED, _unit('"$c"', "lo_$c", "hi_$c") + ' as "$c"')}
+  from q_squeeze, (select {_each(IMPUTED, 'min("$c") as lo_$c, max("$c") as hi_$c')}
     from (select *, {_part(800)} as part from q_squeeze) where part = 'train') b"""
 Q["standard_minmax"] = f"""
-  with z as (select acc_id, {_each(KNN_FEATURES, 'coalesce(("$c" - m_$c) / nullif(s_$c, 0), 0) as "$c"')}
-    from q_squeeze, (select {_each(KNN_FEATURES, 'avg("$c") as m_$c, stddev_pop("$c") as s_$c')} from q_squeeze) b)
-  select acc_id, {_each(KNN_FEATURES, _unit('"$c"', "lo_$c", "hi_$c") + ' as "$c"')}
-  from z, (select {_each(KNN_FEATURES, 'min("$c") as lo_$c, max("$c") as hi_$c')} from z) b"""
+  with z as (select acc_id, {_each(IMPUTED, 'coalesce(("$c" - m_$c) / nullif(s_$c, 0), 0) as "$c"')}
+    from q_squeeze, (select {_each(IMPUTED, 'avg("$c") as m_$c, stddev_pop("$c") as s_$c')} from q_squeeze) b)
+  select acc_id, {_each(IMPUTED, _unit('"$c"', "lo_$c", "hi_$c") + ' as "$c"')}
+  from z, (select {_each(IMPUTED, 'min("$c") as lo_$c, max("$c") as hi_$c')} from z) b"""
+Q["prepared_ranges"] = f"""
+  select feature, rho, case when abs(rho) >= {PREPARED_MIN_CORR} then 1 else 0 end as kept,
+    case when abs(rho) >= {PREPARED_MIN_CORR} then lo end as low, case when abs(rho) >= {PREPARED_MIN_CORR} then hi end as high
+  from q_prep_rho"""
+Q["prepared_features"] = f"""
+  select acc_id, feature, {_unit("x", "lo", "hi")} as value
+  from (unpivot (select * exclude (spent, part) from q_prep where part = 'test')
+    on columns(* exclude acc_id) into name feature value x)
+  join q_prep_rho using (feature) where abs(rho) >= {PREPARED_MIN_CORR}"""
+Q["prediction_table"] = "select * from q_score"
 Q["split_by_key"] = f"select acc_id, {_part(800)} as part from fx_label"
 Q["sample_accounts"] = f"""
   select acc_id from (select distinct acc_id from fx_combat)

@@ -11,12 +11,13 @@ from churnpanel.functions.exprs import evening_flag, time_bin
 from churnpanel.functions.scale import materialize, stage_path
 from churnpanel.operators import (
     activity, cohorts, combat, correlation, evaluate, graph, models, neighbours, panel,
-    payment, pledge, profile, scaling, sequence, trade,
+    payment, pledge, preparation, profile, routing, scaling, sequence,
+    trade,
 )
 from churnpanel.plans.build_panel import filled_panel, imputed_panel, joined_panel
 from churnpanel.plans.contract import shape_frame
 from churnpanel.plans.specs import (
-    CORR_LABELS, KNN_FEATURES, SEQUENCE, SPECS, TRADE_CORR,
+    CORR_LABELS, IMPUTED, KNN_FEATURES, SPECS, TRADE_CORR,
 )
 from churnpanel.plans.train_predict import account_features
 from churnpanel.schema import RAW_TABLES, SPEND_MIN_CORR, SURVIVAL_MIN_CORR
@@ -31,6 +32,11 @@ BASE_TABLES = [
 LOOKUP_ACCOUNT = 7
 HUB_DEGREE = 620
 SLICE = (100, 50)
+# least |rho| of a prepared column; low, as the driver's labels hardly depend on the panel
+PREPARED_MIN_CORR = 0.05
+
+# columns of the sequence models: what they predict is left out
+SEQUENCE = [c for c in IMPUTED if c != "amount_spent"]
 
 BUILDERS: dict[str, Callable[[Inputs], DataFrame]] = {}
 
@@ -333,20 +339,20 @@ def daily_target_mean(i):
 
 @query
 def account_sequence(i):
-    steps = sequence.account_sequence(_imputed(i), SEQUENCE)
+    steps = sequence.account_sequence(_imputed(i), IMPUTED)
     one = steps.select("acc_id", F.explode("steps").alias("s"))
-    return one.select("acc_id", "s.day", *[F.col("s.x")[n].alias(c) for n, c in enumerate(SEQUENCE)])
+    return one.select("acc_id", "s.day", *[F.col("s.x")[n].alias(c) for n, c in enumerate(IMPUTED)])
 
 
 @query
 def sliding7(i):
-    runs = sequence.sliding(_imputed(i), SEQUENCE)
+    runs = sequence.sliding(_imputed(i), IMPUTED)
     return runs.select("acc_id", "start", F.inline("window"))
 
 
 @query
 def sliding7_target(i):
-    runs = sequence.sliding_target(_imputed(i), ["a_playtime", "amount_spent"], "amount_spent")
+    runs = sequence.sliding_target(_imputed(i), IMPUTED, "amount_spent")
     return runs.select("acc_id", "start", "y", F.inline("window"))
 
 
@@ -555,19 +561,56 @@ def feature_select(i):
 
 
 def _split_squeeze(i: Inputs) -> DataFrame:
-    rows = panel.account_squeeze(_imputed(i)).select("acc_id", *KNN_FEATURES)
+    rows = panel.account_squeeze(_imputed(i))
     return scaling.split_by_key(materialize(rows, "squeezed"))
 
 
 @query
 def minmax_scale(i):
     rows = _split_squeeze(i)
-    return scaling.minmax_scale(rows, KNN_FEATURES, rows.where("part = 'train'"))
+    return scaling.minmax_scale(rows, IMPUTED, rows.where("part = 'train'"))
 
 
 @query
 def standard_minmax(i):
-    return scaling.standard_minmax(_split_squeeze(i).drop("part"), KNN_FEATURES)
+    return scaling.standard_minmax(_split_squeeze(i).drop("part"), IMPUTED)
+
+
+def _prepared(i: Inputs) -> tuple[preparation.FeaturePreparationModel, DataFrame]:
+    """The preparation for spend, fitted on the training accounts, stored and read again,
+    and the accounts of the other part."""
+    rows = panel.account_squeeze(_imputed(i).drop("amount_spent"))
+    columns = panel.feature_columns(rows)
+    # equal sums can differ in the last bit; ranks and limits must not
+    rows = rows.select("acc_id", *[F.round(c, 6).alias(c) for c in columns]).join(i.label, "acc_id")
+    rows = materialize(scaling.split_by_key(rows), "prepared")
+    ready = preparation.FeaturePreparation(inputCols=columns, labelCol="amount_spent", minimum=PREPARED_MIN_CORR)
+    path = stage_path(i.spark, "preparation")
+    ready.fit(rows.where("part = 'train'")).write().save(path)
+    return preparation.FeaturePreparationModel.load(path), rows.where("part = 'test'")
+
+
+@query
+def prepared_ranges(i):
+    """Columns, correlations and ranges of a stored preparation, as a new session reads them."""
+    return _prepared(i)[0].table(i.spark)
+
+
+@query
+def prepared_features(i):
+    """Test accounts on the stored training scale: one row per account and kept column."""
+    model, asked = _prepared(i)
+    rows = model.transform(asked)
+    return rows.select("acc_id", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in model.columns()])))
+
+
+@query
+def prediction_table(i):
+    """Predictions written as a table, read back, and scored per account."""
+    path = stage_path(i.spark, "predictions")
+    tables.write_predictions(i.pred, path)
+    return evaluate.score_per_account(tables.read_predictions(i.spark, path), i.label)
 
 
 @query
@@ -707,14 +750,14 @@ def svm_linear(i):
 
 @query
 def poly_spend(i):
-    rows, _ = _model_rows(i)
-    fitted = models.fit_poly_spend(_train(rows), KNN_FEATURES)
+    rows, cols = _model_rows(i)
+    fitted = models.fit_poly_spend(_train(rows), cols)
     return models.predict(fitted, rows, "amount_spent")
 
 
 def _sequence_rows(i: Inputs) -> DataFrame:
-    """Flattened, scaled 28-step sequences with labels."""
-    cols = ["a_playtime", "tot_exp", "combat_count"]
+    """Flattened, scaled 28-step sequences of all panel columns but the day's spend, with labels."""
+    cols = SEQUENCE
     scaled = scaling.minmax_scale(_stored(i).select("acc_id", "day", *cols), cols)
     vectors = models.sequence_vector(sequence.account_sequence(scaled, cols))
     labelled = evaluate.label_groups(vectors.join(i.label, "acc_id"))
@@ -731,7 +774,7 @@ def gbt_survival(i):
 @query
 def group_classifier(i):
     rows = _sequence_rows(i)
-    inputs = 28 * 3
+    inputs = 28 * len(SEQUENCE)
     sur = models.fit_group(_train(rows), inputs, "sur_group", 2)
     amo = models.fit_group(_train(rows), inputs, "amo_group", 3)
     return models.predict(sur, rows, "sur_group").join(
@@ -747,8 +790,11 @@ def pca_codes(i):
 
 @query
 def routed_predict(i):
-    rows, cols = _model_rows(i)
-    return models.routed_predict(rows.select("acc_id", *cols), models.fit_routed(_train(rows), cols))
+    """Stored models, read again, on the accounts that were not trained on."""
+    rows = _sequence_rows(i)
+    fitted = routing.fit_routed(_train(rows), 28 * len(SEQUENCE))
+    stored = routing.load_routed(routing.save_routed(fitted, stage_path(i.spark, "routed")))
+    return routing.routed_predict(rows, stored)
 
 
 # --- documented features ---------------------------------------------------

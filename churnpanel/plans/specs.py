@@ -44,10 +44,9 @@ V1 = [*_v1_side, *[f"tot_amount_{t}" for t in ITEM_NAMES], "tot_item_amount",
       *[f"tot_count_{t}" for t in ITEM_NAMES], *[f"tot_item_type_{i}" for i in range(len(ITEMS))],
       *[f"tot_time_bin_{b}" for b in range(24)], "trade_logged_in"]
 
-# inputs of the nearest-neighbour and sequence queries
+# inputs of the nearest-neighbour queries
 KNN_FEATURES = ["combat_count", "c_num_opponent", "a_playtime", "a_npc_kill", "tot_exp",
                 "p_c_cnt", "a_money_change", "max_spent"]
-SEQUENCE = ["a_playtime", "tot_exp", "combat_count", "amount_spent"]
 CORR_LABELS = ["label_amount_spent", "label_isSurvival"]
 TRADE_CORR = ["type", "item_amount", "item_price", "time_bin"]
 
@@ -100,26 +99,26 @@ SPECS: dict[str, str] = {
     "rename_prefix": IMPUTED_SPEC,
     "panel_impute": IMPUTED_SPEC,
     "presence_flags": DAY + "l combat_logged_in pledge_logged_in trade_logged_in activity_logged_in payment_logged_in",
-    "panel_slice": DAY + "d a_playtime tot_exp combat_count",
-    "played_flag": DAY + "d a_playtime isplayed",
+    "panel_slice": IMPUTED_SPEC,
+    "played_flag": IMPUTED_SPEC + "; d isplayed",
     "account_squeeze": "l acc_id; " + _d(*IMPUTED),
     "account_mean": "l acc_id; " + _d(*IMPUTED),
     "week_mean": "l acc_id week; " + _d(*IMPUTED),
     "daily_target": DAY + "d amount_spent",
     "daily_target_mean": DAY + "d amount_spent",
     # sequences
-    "account_sequence": "l acc_id day; d " + " ".join(SEQUENCE),
-    "sliding7": "l acc_id start day; d " + " ".join(SEQUENCE),
-    "sliding7_target": "l acc_id start day; d a_playtime amount_spent y",
+    "account_sequence": IMPUTED_SPEC,
+    "sliding7": "l acc_id start day; " + _d(*IMPUTED),
+    "sliding7_target": "l acc_id start day; " + _d(*IMPUTED) + "; d y",
     "ar_forecast": "l acc_id; d slope intercept mean_spend",
     # labels and scores
     "label_totals": "l acc_id survival_time; d amount_spent total_spent",
     "label_groups": "l acc_id survival_time amo_group sur_group; d amount_spent",
     "group_sizes": "l amo_group sur_group n",
     "label_onehot": "l acc_id " + " ".join(f"st_{t}" for t in range(1, 65)) + "; d amount_spent",
-    "log_spend": DAY + "d max_spent log_max_spent",
+    "log_spend": IMPUTED_SPEC + "; d log_max_spent",
     "nonzero_spend": "l acc_id survival_time; d amount_spent",
-    "route_by_group": "l acc_id day sur_group; d a_playtime tot_exp",
+    "route_by_group": IMPUTED_SPEC + "; l sur_group",
     "score_keycheck": "l acc_id in_pred in_actual",
     "score_profit": "d score",
     "score_per_account": "l acc_id; e cost gamma t_k profit",
@@ -147,8 +146,11 @@ SPECS: dict[str, str] = {
     "corr_pearson": "s left_column right_column; d corr",
     "corr_spearman": "s feature label; d rho",
     "feature_select": "s feature label; d rho",
-    "minmax_scale": "l acc_id; " + _d(*KNN_FEATURES),
-    "standard_minmax": "l acc_id; " + _d(*KNN_FEATURES),
+    "minmax_scale": "l acc_id; " + _d(*IMPUTED),
+    "standard_minmax": "l acc_id; " + _d(*IMPUTED),
+    "prepared_ranges": "s feature; l kept; d rho; m low high",
+    "prepared_features": "l acc_id; s feature; d value",
+    "prediction_table": "l acc_id; e cost gamma t_k profit",
     "split_by_key": "l acc_id; s part",
     "sample_accounts": "l acc_id",
     # graph

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnpanel.schema import RAW_TABLES, SCHEMAS
@@ -70,6 +70,21 @@ def read_panel(
     return df.where(F.col("dataset") == dataset).drop("dataset")
 
 
+def write_predictions(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """A prediction table: one row per account, with the columns and types of a label table."""
+    fields = SCHEMAS["label"].fields
+    return write_labels(df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]), path, fmt)
+
+
+def read_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A stored prediction table; an account that appears twice is an error when it is read."""
+    df = load_label(spark, path, fmt)
+    rows = F.count(F.lit(1)).over(Window.partitionBy("acc_id"))
+    once = F.when(rows == 1, F.col("acc_id")).otherwise(
+        F.raise_error(F.concat(F.lit("more than one prediction for account "), F.col("acc_id").cast("string"))).cast("long"))
+    return df.withColumn("acc_id", once)
+
+
 def write_labels(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Label and prediction files.  Row order is no property of the storage;
     sort when the rows are shown."""

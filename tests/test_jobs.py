@@ -3,17 +3,18 @@
 import math
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from churnpanel.functions.scale import materialize, shared_dir, stage_path
-from churnpanel.operators import evaluate, models
+from churnpanel.operators import evaluate, models, routing
 from churnpanel.operators.panel import feature_columns
 from churnpanel.plans.build_panel import preprocess
-from churnpanel.plans.queries import _model_rows
+from churnpanel.plans.queries import SEQUENCE, _model_rows, _sequence_rows
 from churnpanel.plans.train_predict import (
     account_features, predict_accounts, score_submission, train_forests,
 )
-from churnpanel.schema import RAW_TABLES, SCHEMAS
+from churnpanel.schema import RAW_TABLES, SCHEMAS, SPEND_SPLIT
 from churnpanel.sources import tables
 from churnpanel.sources.adapters import MONEY, Inputs
 
@@ -90,23 +91,44 @@ def test_train_predict_score(spark, inputs):
 
 
 def test_routed_predictions_stay_in_range(spark):
-    rows, cols = _model_rows(Inputs(spark, "/root/testdata/sf0.01"))
-    routed = models.routed_predict(rows.select("acc_id", *cols), models.fit_routed(rows, cols, 5, 3))
-    got = routed.toPandas()
+    rows = _sequence_rows(Inputs(spark, "/root/testdata/sf0.01"))
+    fitted = routing.fit_routed(rows, 28 * len(SEQUENCE), trees=5, depth=3, hidden=4, iterations=5)
+    stored = routing.load_routed(routing.save_routed(fitted, stage_path(spark, "routed")))
+    found = routing.routed_predict(rows, stored)
+    got = found.toPandas()
     assert got.acc_id.is_unique and len(got) == rows.count()
     assert got.survival_time.between(1, 64).all() and (got.amount_spent >= 0).all()
+    again = routing.routed_predict(rows, fitted).toPandas()
+    assert got.sort_values("acc_id").values.tolist() == again.sort_values("acc_id").values.tolist()
+    # each route reads its own group
+    assert "EqualTo(p_amo_group,2)" in found._jdf.queryExecution().toString()
     # better than one constant for everybody, on its own training rows
+    rows, cols = _model_rows(Inputs(spark, "/root/testdata/sf0.01"))
     model = models.fit_rf_spend(rows, cols, trees=10, depth=5)
     mse = evaluate.metric_regression(models.predict(model, rows, "amount_spent"), rows).first()
     assert mse.r2 > 0
     assert set(feature_columns(rows)) >= set(cols)
 
 
-def test_every_model_predicts_in_its_domain(spark):
-    from pyspark.sql import functions as F
+def test_routes_of_empty_groups(spark):
+    """No light spender, one heavy value, survivors only: every answer is defined."""
+    base = [(i, [float(i % 5), 1.0]) for i in range(40)]
+    frame = spark.createDataFrame(base, "acc_id long, x array<double>").select("acc_id", array_to_vector("x").alias("features"))
+    lived = frame.withColumns({"survival_time": F.lit(64), "amount_spent": F.when(F.col("acc_id") % 2 == 0, 0.0).otherwise(3.0)})
+    fitted = routing.fit_routed(lived, 2, trees=2, depth=2, hidden=2, iterations=3)
+    assert {n for n, m in fitted.items() if isinstance(m, routing.ConstantModel)} == {"sur_group", "survival", "light", "heavy"}
+    got = routing.routed_predict(frame, fitted).toPandas()
+    assert len(got) == 40 and set(got.survival_time) == {64} and set(got.amount_spent) <= {0.0, 3.0}
+    # accounts that are sent to a group nobody trained on
+    fitted["sur_group"], fitted["amo_group"] = routing.ConstantModel(value=0.0), routing.ConstantModel(value=1.0)
+    got = routing.routed_predict(frame, fitted).toPandas()
+    assert set(got.survival_time) == {32} and set(got.amount_spent) == {SPEND_SPLIT / 2}
+    assert routing.routed_predict(frame.limit(0), fitted).count() == 0
+    with pytest.raises(ValueError):
+        routing.fit_routed(lived.limit(0), 2)
 
-    from churnpanel.plans.queries import _sequence_rows
 
+def test_every_model_predicts_in_its_domain(spark):
     rows, cols = _model_rows(Inputs(spark, "/root/testdata/sf0.01"))
     known = {r.acc_id for r in rows.select("acc_id").collect()}
 
@@ -132,5 +154,5 @@ def test_every_model_predicts_in_its_domain(spark):
     error = boosted.join(steps, "acc_id").agg(
         F.avg(F.pow(F.col("p") - F.col("survival_time"), 2)).alias("mine"), F.var_pop("survival_time").alias("constant")).first()
     assert error.mine < error.constant
-    group = models.fit_group(steps, 28 * 3, "amo_group", 3, hidden=4, iterations=5)
+    group = models.fit_group(steps, 28 * len(SEQUENCE), "amo_group", 3, hidden=4, iterations=5)
     checked(models.predict(group, steps, "p"), "p", (0, 1, 2))
