@@ -1,104 +1,84 @@
 """Exact ranks and quantiles of whole columns, without a one-task sort.
 
 Equal values are first collapsed to one row with a count (so a value held by a
-third of all rows costs one row), then cut into value ranges by approximate
-quantiles.  Every range is ranked on its own and shifted by the number of rows
-in the ranges below it.  The cut points only decide where work happens: any cut
-gives the same exact ranks."""
+third of all rows costs one row).  The distinct values are then cut into ranges in two
+levels, both by arithmetic that never decreases with the value: the first level is the
+sign and magnitude (sixteen steps for each power of two), the second cuts a crowded first
+range evenly into as many parts as its distinct values need.  Every range is ranked on
+its own and shifted by the number of rows in the ranges below it.  The cuts only decide
+where work happens: any cut gives the same exact ranks."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+from churnpanel.functions.scale import materialize
 
+#: Distinct values that are ranked together.
+RANGE_ROWS = 50_000
+#: Steps of the first level for each power of two, and above all of them.
+STEPS, FAR = 16, 1 << 20
 
-def _range_count(df: DataFrame, ranges: int | None) -> int:
-    """At least ``RANGES``, and one per shuffle partition on a larger cluster."""
-    return ranges or max(RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-
-def _cut_points(df: DataFrame, columns: list[str], ranges: int) -> list[list[float]]:
-    """At most ``ranges`` cut points per column: a summary of fixed size."""
-    probs = [i / ranges for i in range(1, max(ranges, 2))]
-    found = df.stat.approxQuantile(columns, probs, 1.0 / (4 * ranges))
-    return [[float("-inf"), *(sorted(set(q)) or [0.0]), float("inf")] for q in found]
-
-
-def _ranged(df: DataFrame, columns: list[str], ranges: int) -> DataFrame:
-    """``df`` with one ``_r_<column>`` range number for each column."""
-    bucketizer = Bucketizer(
-        splitsArray=_cut_points(df, columns, ranges),
-        inputCols=columns,
-        outputCols=[f"_r_{c}" for c in columns],
-        handleInvalid="keep",
-    )
-    return bucketizer.transform(df)
+def _magnitude(value: str) -> Column:
+    """First range of a value: 0 for 0, rising with the value, infinities and NaN last."""
+    steps = F.expr(f"cast(floor(least(log2(abs({value})), 1025D) * {STEPS}) as int) + {FAR}")
+    v = F.col(value)
+    return F.when(F.isnan(v), 2 * FAR).when(v == 0, 0).when(v > 0, steps).otherwise(-steps)
 
 
 def value_ranks(
     df: DataFrame, columns: list[str], extra: dict[str, Column] | None = None,
-    ranges: int | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """One row per (feature, value): ``n`` rows, ``below`` rows with a smaller
     value, ``rank`` the average rank of the ties, and ``total`` rows in all.
 
     ``extra`` adds aggregates over the rows that share the value.  Rows where
-    the column is NULL are left out."""
+    the column is NULL are left out; -0.0 and 0.0 are one value, and NaN is above all."""
     extra = extra or {}
-    ranges = _range_count(df, ranges)
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns],
-                     *[c for c in df.columns if c not in columns])
     cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"),
-                 F.col(f"_r_{c}").cast("int").alias("range"))
-        for c in columns
+        F.struct(F.lit(c).alias("feature"), (F.col(c).cast("double") + F.lit(0.0)).alias("value")) for c in columns
     ])).alias("cell")
-    long = (
-        _ranged(wide, columns, ranges)
-        .select(cells, *[c for c in df.columns if c not in columns])
-        .select("cell.*", "*").drop("cell")
-        .where(F.col("value").isNotNull())
-    )
-    # -0.0 and 0.0 are one value
-    long = long.withColumn("value", F.col("value") + F.lit(0.0))
-    tied = long.groupBy("feature", "range", "value").agg(
-        F.count(F.lit(1)).alias("n"), *[e.alias(n) for n, e in extra.items()]
-    )
-    in_range = Window.partitionBy("feature", "range").orderBy("value")
-    running = tied.withColumn(
-        "before", F.sum("n").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
-    )
-    # at most ``ranges`` rows per feature from here on
-    lower = Window.partitionBy("feature").orderBy("range")
-    offsets = (
-        tied.groupBy("feature", "range").agg(F.sum("n").alias("m"))
-        .select(
-            "feature", "range",
-            (F.sum("m").over(lower.rowsBetween(Window.unboundedPreceding, 0)) - F.col("m"))
-            .alias("offset"),
-            F.sum("m").over(Window.partitionBy("feature")).alias("total"),
-        )
-    )
-    return (
-        # len(columns) x ranges rows at most, whatever the size of the data
-        running.join(F.broadcast(offsets), ["feature", "range"])
-        .select(
-            "feature", "value", "n",
-            (F.col("offset") + F.col("before")).alias("below"),
-            (F.col("offset") + F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"),
-            "total", *extra,
-        )
+    others = [c for c in df.columns if c not in columns]
+    long = df.select(cells, *others).select("cell.*", *others).where(F.col("value").isNotNull())
+    tied = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), *[e.alias(n) for n, e in extra.items()])
+    # read three times from here on; one row for each distinct value
+    tied = materialize(tied.withColumn("part", _magnitude("value")), "distinct-values")
+    parts = tied.groupBy("feature", "part").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(range_rows)).alias("pieces"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    piece = F.when(F.col("pieces") > 1, F.least(
+        F.floor((F.col("value") / F.col("hi") - F.col("lo") / F.col("hi")) / (1 - F.col("lo") / F.col("hi")) * F.col("pieces")),
+        F.col("pieces") - 1)).otherwise(0)
+    # a negative range is cut from its far end
+    piece = F.when((F.col("part") < 0) & (F.col("pieces") > 1), F.col("pieces") - 1 - F.least(
+        F.floor((F.col("value") / F.col("lo") - F.col("hi") / F.col("lo")) / (1 - F.col("hi") / F.col("lo")) * F.col("pieces")),
+        F.col("pieces") - 1)).otherwise(piece)
+    placed = tied.join(parts, ["feature", "part"]).withColumn("piece", piece.cast("int")).drop("pieces", "lo", "hi")
+    sizes = placed.groupBy("feature", "part", "piece").agg(F.sum("n").alias("m"))
+    # one row for each range; their number grows with the distinct values over ``range_rows``
+    lower = Window.partitionBy("feature").orderBy("part", "piece")
+    offsets = sizes.select(
+        "feature", "part", "piece",
+        (F.sum("m").over(lower.rowsBetween(Window.unboundedPreceding, 0)) - F.col("m")).alias("offset"),
+        F.sum("m").over(Window.partitionBy("feature")).alias("total"))
+    in_range = Window.partitionBy("feature", "part", "piece").orderBy("value")
+    running = placed.withColumn(
+        "before", F.sum("n").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    return running.join(offsets, ["feature", "part", "piece"]).select(
+        "feature", "value", "n",
+        (F.col("offset") + F.col("before")).alias("below"),
+        (F.col("offset") + F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"),
+        "total", *extra,
     )
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probs: dict[str, float], ranges: int | None = None
+    df: DataFrame, columns: list[str], probs: dict[str, float], range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """One row per feature with linearly interpolated exact quantiles."""
-    ranked = value_ranks(df, columns, ranges=ranges)
+    ranked = value_ranks(df, columns, range_rows=range_rows)
 
     def at(index: Column) -> Column:
         held = (F.col("below") <= index) & (index < F.col("below") + F.col("n"))
@@ -123,10 +103,10 @@ def exact_quantiles(
     )
 
 
-def exact_median(df: DataFrame, column: str, ranges: int | None = None) -> Column:
+def exact_median(df: DataFrame, column: str, range_rows: int = RANGE_ROWS) -> Column:
     """The exact global median as a scalar column."""
     return (
-        exact_quantiles(df.select(column), [column], {"median": 0.5}, ranges)
+        exact_quantiles(df.select(column), [column], {"median": 0.5}, range_rows)
         .agg(F.max("median")).scalar()
     )
 

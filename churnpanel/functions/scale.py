@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALTS = 16
+#: A key is hot if it holds one in so many rows; items a sketch keeps track of.
+SHARE, TRACKED = 64, 4096
 
 
 def with_scalars(
@@ -43,6 +45,40 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def hot_keys(df: DataFrame, key: Column, share: int = SHARE) -> list[int]:
+    """Values of ``key`` (a bigint) that hold at least one in ``share`` of the rows.
+
+    One pass with a frequent-items sketch of fixed size in every task; at most ``share``
+    numbers reach the driver.  Counts are estimates: they decide where rows go, not what is
+    joined."""
+    got = df.select(key.alias("key")).agg(
+        F.expr(f"approx_top_k(key, {share}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return sorted(t["item"] for t in got.top or [] if t["item"] is not None and t["count"] * share >= got.n)
+
+
+def skew_join(
+    big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+    spread: list[str] | None = None, salts: int = SALTS, share: int = SHARE,
+) -> DataFrame:
+    """``salted_join`` that copies only what must be copied: the keys that are measured to
+    hold one in ``share`` rows of ``big`` are spread over ``salts`` tasks and have their row
+    of ``small`` copied; all other rows of either side are joined as they are.
+
+    ``big`` is read once more for the measurement, its key columns only."""
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"skew_join does not support {how!r}")
+    key = F.xxhash64(*on)
+    hot = hot_keys(big.select(*on).where(" and ".join(f"`{c}` is not null" for c in on)), key, share)
+    if not hot:
+        return big.join(small, on, how)
+    spread = spread or [c for c in big.columns if c not in on]
+    is_hot = key.isin(*hot)
+    left = big.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = small.withColumn("_salt", F.explode(copies))
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for written stages that driver and executors share.
 

@@ -7,8 +7,8 @@ from itertools import combinations_with_replacement
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnpanel.functions.ranks import value_ranks
-from churnpanel.functions.scale import salted_join
+from churnpanel.functions.ranks import RANGE_ROWS, value_ranks
+from churnpanel.functions.scale import skew_join
 
 
 def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -27,7 +27,7 @@ def corr_pearson(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def corr_spearman(
-    df: DataFrame, features: list[str], labels: list[str], ranges: int | None = None
+    df: DataFrame, features: list[str], labels: list[str], range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Spearman correlation of each feature with each label, ties at their average
     rank: (feature, label, rho).
@@ -37,7 +37,7 @@ def corr_spearman(
     sum of the centred label ranks of their rows, so feature ranks never have to
     travel back to the accounts."""
     ranked = df
-    label_ranks = value_ranks(df.select(*labels), labels, ranges=ranges)
+    label_ranks = value_ranks(df.select(*labels), labels, range_rows=range_rows)
     for i, name in enumerate(labels):
         one = label_ranks.where(F.col("feature") == name).select(
             F.col("value").alias(f"_v{i}"),
@@ -45,13 +45,13 @@ def corr_spearman(
         )
         keyed = ranked.withColumn(f"_v{i}", F.col(name).cast("double") + F.lit(0.0))
         # a third of all accounts may share one label value
-        ranked = salted_join(keyed, one, [f"_v{i}"], "inner", spread=["acc_id"]).drop(f"_v{i}")
+        ranked = skew_join(keyed, one, [f"_v{i}"], "inner", spread=["acc_id"]).drop(f"_v{i}")
     ys = [f"_y{i}" for i in range(len(labels))]
     cells = value_ranks(
         ranked.select(*features, *ys), features,
         extra={**{f"_s{y}": F.sum(y) for y in ys},
                **{f"_q{y}": F.sum(F.col(y) * F.col(y)) for y in ys}},
-        ranges=ranges,
+        range_rows=range_rows,
     )
     x = F.col("rank") - (F.col("total") + 1) / 2.0
     sums = cells.groupBy("feature").agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnpanel.functions.exprs import count_if, fixed_bin, sum_if
 from churnpanel.functions.ranks import exact_quantiles
-from churnpanel.functions.scale import salted_join, with_scalars
+from churnpanel.functions.scale import skew_join, with_scalars
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -21,17 +21,17 @@ def _rows(structs: list[Column]) -> Column:
 
 
 def labelled_only(trade: DataFrame, label: DataFrame) -> DataFrame:
-    """Trades whose two sides both have a label.  Either side may be a hot account,
-    so both semi joins are salted."""
+    """Trades whose two sides both have a label.  Either side may be a hot account:
+    only accounts measured to be hot are spread, with their label."""
     known = label.select("acc_id")
     for side in ("source_acc_id", "target_acc_id"):
-        trade = salted_join(trade, known.withColumnRenamed("acc_id", side), [side], "left_semi")
+        trade = skew_join(trade, known.withColumnRenamed("acc_id", side), [side], "left_semi")
     return trade
 
 
 def label_restricted(df: DataFrame, label: DataFrame) -> DataFrame:
     """Rows of labelled accounts, for the one-sided tables."""
-    return salted_join(df, label.select("acc_id"), ["acc_id"], "left_semi")
+    return skew_join(df, label.select("acc_id"), ["acc_id"], "left_semi")
 
 
 def point_lookup(df: DataFrame, column: str, value) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnpanel.functions.ranks import exact_median, exact_quantiles, value_ranks
-from churnpanel.functions.scale import materialize, salted_join, with_scalars
+from churnpanel.functions.scale import hot_keys, materialize, salted_join, skew_join, with_scalars
 from churnpanel.operators import correlation, neighbours, panel, trade
 from churnpanel.plans.build_panel import filled_panel
 from churnpanel.schema import RAW_TABLES
@@ -34,11 +34,11 @@ def test_scalars_appear_once(spark):
     assert [(r.lo, r.hi) for r in got] == [(0.0, 6.0)]
 
 
-@pytest.mark.parametrize("ranges", [1, 2, 5, 64])
-def test_value_ranks_equal_average_ranks(spark, ranges):
+@pytest.mark.parametrize("range_rows", [1, 2, 7, 50_000])
+def test_value_ranks_equal_average_ranks(spark, range_rows):
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"a": rng.normal(size=400).round(2), "b": np.where(np.arange(400) % 3 == 0, 0, rng.integers(-5, 5, 400))})
-    got = value_ranks(spark.createDataFrame(pdf.astype(float)), ["a", "b"], ranges=ranges).toPandas()
+    got = value_ranks(spark.createDataFrame(pdf.astype(float)), ["a", "b"], range_rows=range_rows).toPandas()
     for c in ("a", "b"):
         want = dict(zip(pdf[c], pdf[c].rank()))
         mine = got[got.feature == c]
@@ -46,10 +46,59 @@ def test_value_ranks_equal_average_ranks(spark, ranges):
         assert set(mine.total) == {400}
 
 
+@pytest.mark.parametrize("range_rows", [1, 3, 1000])
+def test_value_ranks_of_awkward_values(spark, range_rows):
+    tiny = [5e-324, 1e-310, 2.2e-308, 1.0, 1.0 + 2**-52, 1.5, 1e308, 1.7e308]
+    values = sorted([-v for v in tiny]) + [0.0] + tiny
+    x = values * 3 + [-0.0, float("inf"), float("-inf"), float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in x], "x double").unionByName(spark.sql("select double('nan') as x"))
+    got = {str(r.value): r["rank"] for r in value_ranks(df, ["x"], range_rows=range_rows).collect()}
+    known = pd.Series([v + 0.0 for v in x if v is not None] + [1.75e308])  # stands for NaN, below inf
+    known.iloc[-1] = np.nan
+    ranks = known.rank(na_option="bottom")
+    assert got == {str(v): r for v, r in zip(known, ranks)}
+    assert value_ranks(df.limit(0), ["x"]).count() == 0
+
+
+def test_zeros_take_one_row_and_the_rest_is_spread(spark):
+    """95 % zeros, and all other values within one power of two."""
+    df = spark.range(40_000).selectExpr("if(id % 20 = 0, 1.0 + id / 80000.0, 0.0) as x")
+    ranked = value_ranks(df, ["x"], range_rows=100)
+    assert ranked.count() == 2001 and ranked.where("value = 0").first().n == 38_000
+    edges = [r.below for r in ranked.where("value <> 0").orderBy("value").collect()]
+    assert edges == list(range(38_000, 40_000))
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_skew_join_equals_plain_join(spark, how):
+    big = skewed(spark).withColumn("k", F.expr("if(id % 11 = 5, null, k)"))
+    small = spark.range(40).selectExpr("id as k", "id * 2 as v")
+    order = lambda df: df.toPandas().sort_values("id").reset_index(drop=True)
+    got, want = order(skew_join(big, small, ["k"], how)), order(big.join(small, ["k"], how))
+    pd.testing.assert_frame_equal(got[want.columns], want)
+    assert skew_join(big.limit(0), small, ["k"], how).count() == 0
+
+
+def test_only_hot_keys_are_copied(spark):
+    big = spark.range(60_000).selectExpr("id", "if(id % 3 = 0, 0L, id) as k")
+    assert len(hot_keys(big, F.xxhash64("k"))) == 1
+    small = spark.range(1000).selectExpr("id as k", "id as v")
+    joined = skew_join(big, small, ["k"], salts=16)
+    assert joined.count() == 20_000 + sum(1 for i in range(1000) if i % 3)
+    # 999 rows as they are and one 16 times
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan
+    key = F.xxhash64("k").isin(*hot_keys(big, F.xxhash64("k")))
+    copies = small.select(F.explode(F.when(key, F.sequence(F.lit(0), F.lit(15))).otherwise(F.array(F.lit(0))))).count()
+    assert copies == 999 + 16
+    even = spark.range(5000).selectExpr("id", "id % 500 as k")
+    assert hot_keys(even, F.xxhash64("k")) == []
+
+
 def test_quantiles_are_exact(spark):
     x = np.random.default_rng(2).exponential(size=501)
     df = spark.createDataFrame(pd.DataFrame({"x": x}))
-    row = exact_quantiles(df, ["x"], {"q1": 0.25, "q9": 0.9}, ranges=8).collect()[0]
+    row = exact_quantiles(df, ["x"], {"q1": 0.25, "q9": 0.9}, range_rows=8).collect()[0]
     assert row.q1 == pytest.approx(np.quantile(x, 0.25)) and row.q9 == pytest.approx(np.quantile(x, 0.9))
     got = df.select(exact_median(df, "x").alias("m")).first().m
     assert got == pytest.approx(np.median(x))
@@ -60,7 +109,7 @@ def test_spearman_equals_pandas(spark):
     n = 300
     y = np.where(np.arange(n) % 3 == 0, 0.0, rng.exponential(size=n))
     pdf = pd.DataFrame({"acc_id": np.arange(n), "f": (y + rng.normal(size=n)).round(1), "c": 1.0, "y": y})
-    got = correlation.corr_spearman(spark.createDataFrame(pdf), ["f", "c"], ["y"], ranges=7).collect()
+    got = correlation.corr_spearman(spark.createDataFrame(pdf), ["f", "c"], ["y"], range_rows=7).collect()
     rho = {r.feature: r.rho for r in got}
     assert rho["f"] == pytest.approx(np.corrcoef(pdf.f.rank(), pdf.y.rank())[0, 1])
     assert rho["c"] is None
