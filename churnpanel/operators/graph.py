@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnpanel.functions.scale import salted_join
+from churnpanel.functions.scale import SALTS, hot_keys, materialize, salted_join
 
 
 def trade_edges(trade: DataFrame) -> DataFrame:
@@ -61,3 +61,77 @@ def degree_features(trade: DataFrame) -> DataFrame:
 def rows_of(df: DataFrame, ids: DataFrame, *order) -> DataFrame:
     """The rows of ``df`` that belong to the accounts of ``ids``, in ``order``."""
     return df.join(ids.select("acc_id").distinct(), "acc_id", "left_semi").orderBy(*order)
+
+
+def undirected_edges(trade: DataFrame) -> DataFrame:
+    """Each pair of accounts that traded once, a < b, without trades with oneself."""
+    a, b = F.col("source_acc_id"), F.col("target_acc_id")
+    return trade.where(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def _spread(hot: list[int], account: str, by: Column) -> Column:
+    """The task an edge goes to beside its account: one of several for a hot account."""
+    if not hot:
+        return F.lit(0)
+    return F.when(F.xxhash64(account).isin(*hot), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)
+
+
+def page_rank(trade: DataFrame, steps: int = 10, damping: float = 0.85, write_every: int = 5) -> DataFrame:
+    """(acc_id, pagerank) in the undirected trade graph, after ``steps`` rounds; ranks sum to 1.
+
+    In each round an account hands its rank in equal shares to its partners.  The edges are
+    written once with the share they carry; edges of a hub are spread over several tasks
+    (only the hub's rank is copied for that), and what an account receives is summed on the
+    map side.  Ranks are written every few rounds, so that plans stay short."""
+    pairs = undirected_edges(trade)
+    ways = pairs.select(F.explode(F.array(
+        F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
+        F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))).alias("w")).select("w.*")
+    ways = materialize(ways, "edges")
+    hot = hot_keys(ways, F.xxhash64("src"))
+    out = ways.groupBy("src").agg((1 / F.count(F.lit(1))).alias("share"))
+    edges = materialize(salted_join(ways, out, ["src"], spread=["dst"]).withColumn("_salt", _spread(hot, "src", F.col("dst"))), "shares")
+    accounts = out.select(F.col("src").alias("acc_id"))
+    count = accounts.agg(F.count(F.lit(1)).alias("n")).scalar()
+    ranks = materialize(accounts.withColumn("pagerank", 1 / count).withColumn("rest", (1 - F.lit(damping)) / count), "ranks")
+    for step in range(1, steps + 1):
+        copies = F.when(F.xxhash64("acc_id").isin(*hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))) \
+            if hot else F.array(F.lit(0))
+        given = ranks.select(F.col("acc_id").alias("src"), "pagerank", F.explode(copies).alias("_salt"))
+        got = edges.join(given, ["src", "_salt"]).groupBy(F.col("dst").alias("acc_id")).agg(
+            F.sum(F.col("pagerank") * F.col("share")).alias("got"))
+        # everyone has a partner, so everyone is given something
+        ranks = ranks.select("acc_id", "rest").join(got, "acc_id").select(
+            "acc_id", (F.col("rest") + damping * F.col("got")).alias("pagerank"), "rest")
+        if step % write_every == 0 and step < steps:
+            ranks = materialize(ranks, "ranks")
+    return ranks.select("acc_id", "pagerank")
+
+
+def triangles(trade: DataFrame) -> DataFrame:
+    """(acc_id, partners, triangles): pairs of an account's partners that trade with each other.
+
+    Edges point from the account with fewer partners to the one with more (ties by id), so
+    no account has more than about sqrt(2 * edges) of them going out, hubs next to none;
+    two edges out of one account are closed by an edge or not.  Every triangle is found
+    once, at its least connected account."""
+    pairs = materialize(undirected_edges(trade), "pairs")
+    degree = pairs.select(F.explode(F.array("a", "b")).alias("acc_id")).groupBy("acc_id").agg(F.count(F.lit(1)).alias("partners"))
+    known = degree.select(F.col("acc_id").alias("a"), F.col("partners").alias("na"))
+    both = salted_join(salted_join(pairs, known, ["a"]), known.withColumnsRenamed({"a": "b", "na": "nb"}), ["b"], spread=["a"])
+    first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    low, high = F.when(first, F.col("a")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("a"))
+    directed = materialize(both.select(low.alias("u"), high.alias("v")), "directed")
+    wedges = directed.withColumnRenamed("v", "x").join(directed.withColumnRenamed("v", "y"), "u").where("x < y")
+    closed = wedges.join(pairs.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"])
+    found = closed.select(F.explode(F.array("u", "x", "y")).alias("acc_id")).groupBy("acc_id").agg(F.count(F.lit(1)).alias("triangles"))
+    return degree.join(found, "acc_id", "left").select("acc_id", "partners", F.coalesce("triangles", F.lit(0)).alias("triangles"))
+
+
+def network_measures(trade: DataFrame, steps: int = 10) -> DataFrame:
+    """acc_id, partners, triangles, clustering (share of closed pairs of partners, 0 for
+    fewer than two), pagerank of every account that traded with another."""
+    pairs = F.col("partners") * (F.col("partners") - 1) / 2
+    return triangles(trade).join(page_rank(trade, steps), "acc_id").select(
+        "acc_id", "partners", "triangles",
+        F.coalesce(F.col("triangles") / F.nullif(pairs, F.lit(0.0)), F.lit(0.0)).alias("clustering"), "pagerank")

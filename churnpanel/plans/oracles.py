@@ -12,7 +12,7 @@ from churnpanel.plans.contract import shape_sql
 from churnpanel.plans.specs import (
     CORR_LABELS, IMPUTED, KNN_FEATURES, PANEL, SPECS, TRADE_CORR,
 )
-from churnpanel.plans.queries import BASE_TABLES, HUB_DEGREE, LOOKUP_ACCOUNT, PREPARED_MIN_CORR, SLICE
+from churnpanel.plans.queries import BASE_TABLES, HUB_DEGREE, LOOKUP_ACCOUNT, PREPARED_MIN_CORR, SLICE, WINDOW_WEIGHTS
 from churnpanel.schema import (
     ACTIVITY_MEASURES, COMBAT_MEASURES, LEVEL_COLUMNS, MEAN_FILL, PANEL_RENAME,
     PAYMENT_STATS, PLEDGE_MEASURES, PLEDGE_RENAME, SQUEEZE_MEAN, TRADE_DAILY_COLUMNS,
@@ -447,6 +447,26 @@ Q["sliding7_target"] = f"""
     select acc_id, day as start, list({{{_days}}}) over (partition by acc_id order by day
       rows between current row and 6 following) as w,
       lead(amount_spent, 7) over (partition by acc_id order by day) as y from q_imputed) where len(w) = 7 and y is not null)"""
+def _next(window: str, at: int = 0) -> str:
+    """The window model's next value after ``window`` (a list)."""
+    return " + ".join([str(WINDOW_WEIGHTS[0]), *[f"{w} * {window}[{at + k + 1}]" for k, w in enumerate(WINDOW_WEIGHTS[1])]])
+
+
+def _rollout(series: str) -> str:
+    return f"""(with recursive roll as (
+        select acc_id, len(y) as n, y[-7:] as w, list_sum(y) as total, len(y) as day from {series}
+        union all
+        select acc_id, n, list_append(w[2:], ahead), total + ahead, day + 1
+        from (select *, {_next("w")} as ahead from roll where day < 64))
+      select acc_id, n, w[7] as last_value, total / 64 as mean_value from roll where day = 64)"""
+
+
+Q["window_forecast"] = f"""
+  with s as (select acc_id, list(cast(amount_spent as double) order by day) as y from q_target group by acc_id),
+  p as (select acc_id, list_transform(range(1, len(y) + 1), lambda i: case when i <= 7 then y[i]
+    else {" + ".join([str(WINDOW_WEIGHTS[0]), *[f"{w} * y[i - {7 - k}]" for k, w in enumerate(WINDOW_WEIGHTS[1])]])} end) as y from s)
+  select k.acc_id, k.n as n_known, k.last_value, k.mean_value, f.last_value as fed_last, f.mean_value as fed_mean
+  from {_rollout("s")} k join {_rollout("p")} f using (acc_id)"""
 Q["ar_forecast"] = """
   with pairs as (select acc_id, day, amount_spent as y,
       lag(amount_spent) over (partition by acc_id order by day) as x from q_target),
@@ -614,6 +634,29 @@ Q["trader_labels"] = """
   where acc_id in (select source_acc_id from fx_trade) and acc_id in (select target_acc_id from fx_trade)
     and acc_id in (select acc_id from fx_combat)"""
 Q["subset_accounts"] = f"select acc_id, survival_time, amount_spent from fx_label where {_hash('acc_id', 7)} % 1000 < 250"
+NAMED["q_pairs"] = """
+  select distinct least(source_acc_id, target_acc_id) as a, greatest(source_acc_id, target_acc_id) as b
+  from fx_trade where source_acc_id <> target_acc_id"""
+NAMED["q_ways"] = "select a as src, b as dst from q_pairs union all select b, a from q_pairs"
+NAMED["q_nodes"] = "select src as acc_id, count(*) as partners, count(*) over () as n from q_ways group by src"
+NAMED["q_rank0"] = "select acc_id, cast(1.0 as double) / n as r from q_nodes"
+for _step in range(1, 11):
+    NAMED[f"q_rank{_step}"] = f"""
+      select v.acc_id, 0.15 / v.n + 0.85 * s.got as r from q_nodes v join (
+        select w.dst as acc_id, sum(k.r / u.partners) as got
+        from q_ways w join q_rank{_step - 1} k on k.acc_id = w.src join q_nodes u on u.acc_id = w.src group by w.dst) s using (acc_id)"""
+NAMED["q_triangles"] = """
+  select acc_id, count(*) as triangles from (select unnest([x.a, x.b, y.b]) as acc_id
+    from q_pairs x join q_pairs y on x.b = y.a join q_pairs z on z.a = x.a and z.b = y.b) group by acc_id"""
+NAMED["q_measures"] = """
+  select v.acc_id, partners, coalesce(triangles, 0) as triangles,
+    coalesce(2.0 * coalesce(triangles, 0) / nullif(partners * (partners - 1), 0), 0) as clustering, r as pagerank
+  from q_nodes v left join q_triangles t on t.acc_id = v.acc_id join q_rank10 k on k.acc_id = v.acc_id"""
+NAMED["q_measured"] = """
+  select m.* replace (round(clustering, 9) as clustering, round(pagerank, 9) as pagerank), label_amount_spent, "label_isSurvival"
+  from q_measures m join q_labels using (acc_id)"""
+Q["network_measures"] = "select * from q_measures"
+Q["network_label_corr"] = _spearman("q_measured", ["partners", "triangles", "clustering", "pagerank"])
 Q["degree_label_corr"] = _spearman("q_network", ["degree", "partners"])
 
 Q["knn_vote"] = _vote("q_knn_train", "q_knn_test", KNN_FEATURES, "amo_group")

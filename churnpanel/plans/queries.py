@@ -32,6 +32,8 @@ BASE_TABLES = [
 LOOKUP_ACCOUNT = 7
 HUB_DEGREE = 620
 SLICE = (100, 50)
+# intercept and weights of a window model, the oldest day first
+WINDOW_WEIGHTS = (0.02, (0.05, 0.05, 0.1, 0.1, 0.15, 0.2, 0.25))
 # least |rho| of a prepared column; low, as the driver's labels hardly depend on the panel
 PREPARED_MIN_CORR = 0.05
 
@@ -356,6 +358,24 @@ def sliding7_target(i):
     return runs.select("acc_id", "start", "y", F.inline("window"))
 
 
+@query
+def window_forecast(i):
+    """Seven-day windows with given weights, rolled on from known and from predicted days."""
+    series = panel.daily_target(_filled(i), payment.payment_daily(i.payment))
+    model = sequence.WindowModel(*WINDOW_WEIGHTS)
+    series = materialize(series, "daily-spend")
+    known = sequence.window_forecast(series, model)
+    fed = sequence.window_forecast(series, model, feed="predicted")
+    return known.join(fed.select("acc_id", F.col("last_value").alias("fed_last"), F.col("mean_value").alias("fed_mean")), "acc_id")
+
+
+@query
+def window_forecast_fitted(i):
+    """The same with weights fitted on the windows of all accounts."""
+    series = materialize(panel.daily_target(_filled(i), payment.payment_daily(i.payment)), "daily-spend")
+    return sequence.window_forecast(series, sequence.fit_window(series), feed="predicted")
+
+
 @query
 def ar_forecast(i):
     return sequence.ar_forecast(panel.daily_target(_filled(i), payment.payment_daily(i.payment)))
@@ -674,6 +694,25 @@ def degree_label_corr(i):
     return correlation.corr_spearman(rows, ["degree", "partners"], CORR_LABELS)
 
 
+@query
+def network_measures(i):
+    return graph.network_measures(i.trade)
+
+
+@query
+def network_label_corr(i):
+    """Rank correlation of the network measures with both labels."""
+    label = i.label.select(
+        "acc_id", F.col("amount_spent").alias("label_amount_spent"),
+        F.when(F.col("survival_time") == 64, 1).otherwise(0).alias("label_isSurvival"),
+    )
+    measures = graph.network_measures(i.trade)
+    # equal ranks can differ in the last bit
+    rounded = measures.withColumns({c: F.round(c, 9) for c in ("clustering", "pagerank")})
+    rows = materialize(rounded.join(label, "acc_id"), "network")
+    return correlation.corr_spearman(rows, ["partners", "triangles", "clustering", "pagerank"], CORR_LABELS)
+
+
 # --- models ----------------------------------------------------------------
 
 def _neighbour_rows(i: Inputs) -> DataFrame:

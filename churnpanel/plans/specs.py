@@ -110,6 +110,8 @@ SPECS: dict[str, str] = {
     "account_sequence": IMPUTED_SPEC,
     "sliding7": "l acc_id start day; " + _d(*IMPUTED),
     "sliding7_target": "l acc_id start day; " + _d(*IMPUTED) + "; d y",
+    "window_forecast": "l acc_id n_known; d last_value mean_value fed_last fed_mean",
+    "window_forecast_fitted": "l acc_id n_known; d last_value mean_value",
     "ar_forecast": "l acc_id; d slope intercept mean_spend",
     # labels and scores
     "label_totals": "l acc_id survival_time; d amount_spent total_spent",
@@ -161,6 +163,8 @@ SPECS: dict[str, str] = {
     "subset_accounts": "l acc_id survival_time; d amount_spent",
     "top_features": "s label; l place; s feature; d rho",
     "trader_id_sets": "l acc_id is_seller is_buyer",
+    "network_measures": "l acc_id partners triangles; e clustering pagerank",
+    "network_label_corr": "s feature label; d rho",
     "degree_label_corr": "s feature label; d rho",
     # models
     "knn_vote": "l acc_id prediction",
