@@ -1,33 +1,43 @@
 """Exact k-nearest-neighbour votes without forming all pairs.
 
-Rows are cut into shells by their distance to the training mean.  By the
-triangle inequality a shell can hold a neighbour closer than ``r`` only if it
-meets [p - r, p + r], where ``p`` is the query's own distance to the mean.  Each
-query is first compared with its own shell, which gives a radius, and then only
-with the shells that radius reaches.  Nothing is approximated or capped.
+Training rows are cut into cells around pivots (each row belongs to its nearest pivot).  A
+cell can hold a neighbour of a query closer than ``r`` only if two bounds allow it:
+
+* triangle inequality: the query's distance to the cell's pivot lies within ``r`` of the
+  range of distances its rows have to that pivot;
+* half space: the cell's rows are at least as close to its pivot as to the query's own
+  pivot, so the query is at least (d(q, pivot)^2 - d(q, own)^2) / (2 d(pivot, own)) away.
+
+Each query is first compared with the cell of its own pivot, which gives a radius, and then
+only with the cells that radius reaches.  Nothing is approximated or capped: the pivots, from
+a bounded sample of the training rows, only decide how many cells are visited.
 
 * Identical training rows: only the k smallest ids of a copy group can be among
   the k nearest, so the others are left out by a ranked limit Spark applies
   before its shuffle.
-* Many queries in one shell: the shell's queries are split into parts of bounded
-  size, and the shell is copied once per part.
-* A task holds one part and one shell, and emits at most k rows per query."""
+* Crowded cells: a cell's training rows and the queries that visit it are both split into
+  blocks of bounded size; a task compares one block of each, and emits at most k rows per
+  query."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from churnpanel.functions.scale import materialize, salted_join, with_scalars
+from churnpanel.functions.exprs import key_hash
+from churnpanel.functions.scale import materialize
 
-SHELL_ROWS = 20000
-# a shell count (one integer per shell) is broadcast up to this many shells
-BROADCAST_SHELLS = 100_000
+#: Rows of one side that are compared by a task at once.
+BLOCK_ROWS = 20_000
+#: Most cells, and the sampled training rows for each that place the pivots.
+MOST_CELLS, SAMPLE = 1024, 16
 
 
 def _nearest(queries: np.ndarray, q_ids: np.ndarray, refs: np.ndarray, r_ids: np.ndarray,
@@ -49,39 +59,139 @@ def _nearest(queries: np.ndarray, q_ids: np.ndarray, refs: np.ndarray, r_ids: np
     return np.vstack(picks), np.vstack(dists)
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Pivots and, for each cell, its rows' number and range of distances to the pivot."""
+
+    pivots: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    rows: np.ndarray
+
+    def distances(self, points: np.ndarray) -> np.ndarray:
+        out = np.empty((len(points), len(self.pivots)))
+        for at in range(0, len(self.pivots), 64):
+            gap = points[:, None, :] - self.pivots[None, at: at + 64, :]
+            out[:, at: at + 64] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap))
+        return out
+
+    def bounds(self, points: np.ndarray) -> np.ndarray:
+        """Least possible distance of each point to the rows of each cell."""
+        d = self.distances(points)
+        own = d.argmin(axis=1)
+        mine = d[np.arange(len(d)), own][:, None]
+        apart = self.distances(self.pivots)[own]
+        half = np.divide(d * d - mine * mine, 2 * apart, out=np.zeros_like(d), where=apart > 0)
+        return np.maximum.reduce([np.zeros_like(d), d - self.far, self.near - d, half])
+
+
+def _pivots(rows: DataFrame, features: list[str], count: int, seed: int = 5, rounds: int = 6) -> np.ndarray:
+    """``count`` pivots from a bounded sample of the rows, moved to the means of what is
+    nearest to them."""
+    sample = rows.orderBy(key_hash("acc_id", seed), "acc_id").limit(count * SAMPLE).select(*features).toPandas().to_numpy(float)
+    sample = np.unique(sample, axis=0)
+    pivots = sample[np.linspace(0, len(sample) - 1, min(count, len(sample))).astype(int)]
+    for _ in range(rounds):
+        own = Cells(pivots, *[np.zeros(len(pivots))] * 3).distances(sample).argmin(axis=1)
+        pivots = np.array([sample[own == c].mean(axis=0) if (own == c).any() else pivots[c] for c in range(len(pivots))])
+    return np.unique(pivots, axis=0)
+
+
+def _placed(df: DataFrame, features: list[str], pivots: np.ndarray) -> DataFrame:
+    """``df`` with ``cell`` (nearest pivot, the first on ties) and ``p`` (distance to it)."""
+    cells = Cells(pivots, *[np.zeros(len(pivots))] * 3)
+
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in frames:
+            for at in range(0, len(whole), 2048):
+                f = whole.iloc[at: at + 2048]
+                d = cells.distances(f[features].to_numpy(float))
+                own = d.argmin(axis=1)
+                yield f.assign(cell=own.astype("int32"), p=d[np.arange(len(d)), own])
+
+    more = [T.StructField("cell", T.IntegerType()), T.StructField("p", T.DoubleType())]
+    return df.mapInPandas(place, T.StructType([*df.schema.fields, *more]))
+
+
+def _block(rows: np.ndarray, block_rows: int, key: str) -> tuple[Column, Column]:
+    """Number of blocks of a row's cell, and the row's own block (by its key)."""
+    counts = F.array(*[F.lit(max(1, math.ceil(int(n) / block_rows))) for n in rows])
+    blocks = F.get(counts, F.col("cell"))
+    return blocks, F.pmod(F.xxhash64(key), blocks).cast("int")
+
+
+@dataclass(frozen=True)
+class Search:
+    """Training rows in cells, and queries beside their own cells, both written."""
+
+    cells: Cells
+    refs: DataFrame
+    asked: DataFrame
+
+
+def cell_search(train: DataFrame, query: DataFrame, features: list[str], label: str, keep: int,
+                cells: int | None = None) -> Search:
+    """Place training rows and queries.  ``keep`` rows of each group of equal training rows
+    go on.  The cells grow with the root of the training rows, to ``MOST_CELLS``."""
+    def numeric(df: DataFrame, *more: str) -> DataFrame:
+        return df.select("acc_id", *more, *[F.col(c).cast("double").alias(c) for c in features])
+
+    copies = Window.partitionBy(*features).orderBy("acc_id")
+    refs = numeric(train, label).withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= keep).drop("_copy")
+    refs = materialize(refs, "references")
+    count = cells or min(MOST_CELLS, max(1, round(math.sqrt(refs.count()) / 2)))
+    pivots = _pivots(refs, features, count)
+    refs = materialize(_placed(refs, features, pivots), "cells")
+    asked = materialize(_placed(numeric(query), features, pivots), "queries")
+    near, far, rows = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf), np.zeros(len(pivots))
+    # one row for each cell
+    for r in refs.groupBy("cell").agg(F.min("p").alias("lo"), F.max("p").alias("hi"), F.count(F.lit(1)).alias("n")).collect():
+        near[r.cell], far[r.cell], rows[r.cell] = r.lo, r.hi, r.n
+    return Search(Cells(pivots, near, far, rows), refs, asked)
+
+
+def _visits(search: Search, features: list[str], radius: DataFrame) -> DataFrame:
+    """One row for each cell besides its own that a query's radius reaches."""
+    cells = search.cells
+    rows = search.asked.join(radius, "acc_id", "left").withColumn(
+        "r", F.coalesce("r", F.lit(float("inf"))) * (1 + 1e-9) + 1e-8).drop("p")
+
+    def reach(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in frames:
+            for at in range(0, len(whole), 2048):
+                f = whole.iloc[at: at + 2048].reset_index(drop=True)
+                least = cells.bounds(f[features].to_numpy(float))
+                hit = (least <= f["r"].to_numpy()[:, None]) & (cells.rows > 0)
+                hit[np.arange(len(f)), f["cell"].to_numpy()] = False
+                at_row, cell = np.nonzero(hit)
+                yield f.iloc[at_row].drop(columns="r").assign(cell=cell.astype("int32"))
+
+    return rows.mapInPandas(reach, rows.drop("r").schema)
+
+
 def knn(
     train: DataFrame, query: DataFrame, features: list[str], label: str, k: int = 5,
-    include_self: bool = True, shell_rows: int = SHELL_ROWS,
+    include_self: bool = True, block_rows: int = BLOCK_ROWS, cells: int | None = None,
 ) -> DataFrame:
     """(acc_id, n_id, dist, label): the k nearest training rows of every query."""
-    means = {f"m{i}": f"avg({c})" for i, c in enumerate(features)}
+    search = cell_search(train, query, features, label, k if include_self else k + 1, cells)
+    return _nearest_in_cells(search, features, label, k, include_self, block_rows)[0]
 
-    def placed(df: DataFrame, *more: str) -> DataFrame:
-        """``df`` with ``p``, the distance of each row to the training mean."""
-        cols = [F.col(c).cast("double").alias(c) for c in features]
-        rows, mean = with_scalars(df.select("acc_id", *more, *cols), train, "_mean", **means)
-        gaps = " + ".join(f"pow({c} - {mean[f'm{i}']}, 2)" for i, c in enumerate(features))
-        return rows.withColumn("p", F.expr(f"sqrt({gaps})")).drop("_mean")
 
-    keep = k if include_self else k + 1
-    copies = Window.partitionBy(*features).orderBy("acc_id")
-    refs = placed(
-        train.withColumn("_copy", F.row_number().over(copies)).where(F.col("_copy") <= keep), label
-    )
-    # two fixed-size summaries: the number of rows and the shell boundaries
-    shells = max(1, math.ceil(refs.count() / shell_rows))
-    cuts = refs.stat.approxQuantile("p", [i / shells for i in range(1, shells)], 0.25 / shells) \
-        if shells > 1 else [0.0]
-    bounds = [float("-inf"), *sorted(set(cuts)), float("inf")]
-
-    def in_shell(df: DataFrame, source: str, target: str) -> DataFrame:
-        cut = Bucketizer(splits=bounds, inputCol=source, outputCol=target)
-        return cut.transform(df).withColumn(target, F.col(target).cast("int"))
+def visited_cells(
+    train: DataFrame, query: DataFrame, features: list[str], label: str, k: int = 5,
+    include_self: bool = True, block_rows: int = BLOCK_ROWS, cells: int | None = None,
+) -> DataFrame:
+    """(acc_id, n_cells, n_visited): how many of the cells each query is compared with."""
+    search = cell_search(train, query, features, label, k if include_self else k + 1, cells)
+    visits = _nearest_in_cells(search, features, label, k, include_self, block_rows)[1]
+    more = visits.groupBy("acc_id").agg(F.count(F.lit(1)).alias("more"))
+    return search.asked.join(more, "acc_id", "left").select(
+        "acc_id", F.lit(int((search.cells.rows > 0).sum())).alias("n_cells"), (F.coalesce("more", F.lit(0)) + 1).alias("n_visited"))
 
-    # read once per round from here on, instead of being placed again
-    refs = materialize(in_shell(refs, "p", "shell"), "shells")
-    asked = materialize(in_shell(placed(query), "p", "shell"), "queries")
 
+def _nearest_in_cells(search: Search, features: list[str], label: str, k: int, include_self: bool,
+                      block_rows: int) -> tuple[DataFrame, DataFrame]:
     schema = "acc_id bigint, n_id bigint, dist double, label int"
 
     def compare(_, q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
@@ -98,51 +208,30 @@ def knn(
         return out[np.isfinite(out["dist"])]
 
     def visit(visits: DataFrame) -> DataFrame:
-        # one row per shell: the number of parts its queries are split into
-        parts = visits.groupBy("shell").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(shell_rows)).cast("int").alias("parts")
-        )
-        def cut(df: DataFrame) -> DataFrame:
-            if shells <= BROADCAST_SHELLS:
-                return df.join(F.broadcast(parts), "shell")
-            return salted_join(df, parts, ["shell"], "inner", spread=["acc_id"])
-
-        q = cut(visits).withColumn(
-            "part", F.pmod(F.xxhash64("acc_id"), F.col("parts")).cast("int")
-        )
-        r = cut(refs).withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        )
-        cols = ["shell", "part", "acc_id", *features]
+        asked = np.zeros(len(search.cells.rows))
+        for row in visits.groupBy("cell").count().collect():  # one row for each cell
+            asked[row["cell"]] = row["count"]
+        q_blocks, q_block = _block(asked, block_rows, "acc_id")
+        r_blocks, r_block = _block(search.cells.rows, block_rows, "acc_id")
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        q = visits.withColumn("qb", q_block).withColumn("rb", every(r_blocks))
+        r = search.refs.withColumn("rb", r_block).withColumn("qb", every(q_blocks))
+        key = ["cell", "rb", "qb"]
         # own names on the reference side: both sides may come from one frame
-        named = r.select(*[F.col(c).alias(f"r_{c}") for c in [*cols, label]])
-        return (
-            q.select(*cols).groupBy("shell", "part")
-            .cogroup(named.groupBy("r_shell", "r_part"))
-            .applyInPandas(compare, schema)
-        )
+        named = r.select(*[F.col(c).alias(f"r_{c}") for c in [*key, "acc_id", *features, label]])
+        return q.select(*key, "acc_id", *features).groupBy(*key).cogroup(
+            named.groupBy(*[f"r_{c}" for c in key])).applyInPandas(compare, schema)
 
     def best(found: DataFrame) -> DataFrame:
         nearest = Window.partitionBy("acc_id").orderBy("dist", "n_id")
         return found.withColumn("_at", F.row_number().over(nearest)).where(F.col("_at") <= k).drop("_at")
 
-    first = visit(asked)
-    if len(bounds) == 3 and shells == 1:
-        return best(first)
+    # read by the radius and by the result
+    first = materialize(best(visit(search.asked.drop("p"))), "first-neighbours")
     radius = first.groupBy("acc_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("r")
-    )
-    # a query whose own shell is empty has no row in ``first``
-    reach = asked.join(radius, "acc_id", "left").withColumn(
-        "r", F.coalesce("r", F.lit(float("inf"))) * (1 + 1e-9) + 1e-8
-    )
-    reach = reach.withColumns({"_low": F.col("p") - F.col("r"), "_high": F.col("p") + F.col("r")})
-    reach = in_shell(in_shell(reach, "_low", "_from"), "_high", "_to")
-    others = reach.withColumn("_shell", F.explode(F.sequence("_from", "_to"))).where(
-        F.col("_shell") != F.col("shell")
-    )
-    second = visit(others.select("acc_id", *features, F.col("_shell").alias("shell")))
-    return best(first.unionByName(second))
+        F.when(F.count(F.lit(1)) >= k, F.max("dist")).otherwise(F.lit(float("inf"))).alias("r"))
+    others = materialize(_visits(search, features, radius), "visits")
+    return best(first.unionByName(visit(others))), others
 
 
 def vote(neighbours: DataFrame) -> DataFrame:
@@ -156,14 +245,14 @@ def vote(neighbours: DataFrame) -> DataFrame:
 
 def knn_vote(
     train: DataFrame, query: DataFrame, features: list[str], label: str, k: int = 5,
-    include_self: bool = True, shell_rows: int = SHELL_ROWS,
+    include_self: bool = True, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    return vote(knn(train, query, features, label, k, include_self, shell_rows))
+    return vote(knn(train, query, features, label, k, include_self, block_rows))
 
 
 def knn_weekly(
     weeks: DataFrame, groups: DataFrame, features: list[str], label: str, k: int = 5,
-    include_self: bool = True, shell_rows: int = SHELL_ROWS,
+    include_self: bool = True, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One vote per week, averaged and cut: below 1 → 0, below 2 → 1, else 2 for
     ``amo_group``; below 0.5 → 0, else 1 for ``sur_group``."""
@@ -171,7 +260,7 @@ def knn_weekly(
     votes = None
     for week in (1, 2, 3, 4):
         one = rows.where(F.col("week") == week)
-        found = knn_vote(one, one, features, label, k, include_self, shell_rows)
+        found = knn_vote(one, one, features, label, k, include_self, block_rows)
         votes = found if votes is None else votes.unionByName(found)
     mean = votes.groupBy("acc_id").agg(F.avg("prediction").alias("mean_vote"))
     cut = {

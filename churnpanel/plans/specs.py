@@ -44,9 +44,8 @@ V1 = [*_v1_side, *[f"tot_amount_{t}" for t in ITEM_NAMES], "tot_item_amount",
       *[f"tot_count_{t}" for t in ITEM_NAMES], *[f"tot_item_type_{i}" for i in range(len(ITEMS))],
       *[f"tot_time_bin_{b}" for b in range(24)], "trade_logged_in"]
 
-# inputs of the nearest-neighbour queries
-KNN_FEATURES = ["combat_count", "c_num_opponent", "a_playtime", "a_npc_kill", "tot_exp",
-                "p_c_cnt", "a_money_change", "max_spent"]
+# inputs of the nearest-neighbour queries: all but what they predict
+KNN_FEATURES = [c for c in IMPUTED if c != "amount_spent"]
 CORR_LABELS = ["label_amount_spent", "label_isSurvival"]
 TRADE_CORR = ["type", "item_amount", "item_price", "time_bin"]
 

@@ -128,15 +128,15 @@ def brute(train, query, feats, k, include_self):
     return out
 
 
-@pytest.mark.parametrize("include_self, shell_rows", [(True, 25), (False, 25), (False, 100000)])
-def test_neighbours_equal_brute_force(spark, include_self, shell_rows):
+@pytest.mark.parametrize("include_self, block_rows", [(True, 25), (False, 25), (False, 100000)])
+def test_neighbours_equal_brute_force(spark, include_self, block_rows):
     rng = np.random.default_rng(7)
     n = 240
     pdf = pd.DataFrame({"acc_id": np.arange(n), "u": rng.normal(size=n), "v": rng.normal(size=n),
                         "label": rng.integers(0, 3, n)})
     pdf.loc[::3, ["u", "v"]] = 0.5  # a third of the rows are copies of one vector
     df = spark.createDataFrame(pdf)
-    got = neighbours.knn_vote(df, df, ["u", "v"], "label", 5, include_self, shell_rows)
+    got = neighbours.knn_vote(df, df, ["u", "v"], "label", 5, include_self, block_rows)
     mine = {r.acc_id: r.prediction for r in got.collect()}
     assert mine == brute(pdf, pdf, ["u", "v"], 5, include_self)
 
@@ -194,3 +194,65 @@ def test_filter_reaches_the_scans(spark, inputs):
     ).where("acc_id = 3")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(l_suppkey,3)" in plan and "EqualTo(s_suppkey,3)" in plan
     assert "CartesianProduct" not in plan
+
+
+def far_rows(n, dims, seed=11):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, dims)) * 4
+    x = centres[rng.integers(0, 6, n)] + rng.normal(size=(n, dims))
+    pdf = pd.DataFrame(x, columns=[f"x{i}" for i in range(dims)])
+    return pdf.assign(acc_id=np.arange(n), label=rng.integers(0, 3, n))
+
+
+@pytest.mark.parametrize("include_self", [True, False])
+def test_neighbours_in_64_dimensions(spark, include_self):
+    pdf = far_rows(300, 64)
+    feats, df = [f"x{i}" for i in range(64)], spark.createDataFrame(pdf)
+    found = neighbours.knn_vote(df, df, feats, "label", 5, include_self, 40)
+    assert {r.acc_id: r.prediction for r in found.collect()} == brute(pdf, pdf, feats, 5, include_self)
+    seen = neighbours.visited_cells(df, df, feats, "label", 5, include_self, cells=12).toPandas()
+    # six separate clusters: most cells are never visited
+    assert len(seen) == 300 and seen.n_visited.sum() < 0.6 * seen.n_cells.sum() and (seen.n_visited >= 1).all()
+
+
+def test_neighbours_with_tied_distances(spark):
+    """90 % of the rows lie on a circle around the query, at one distance."""
+    n = 200
+    angle = np.linspace(0, 2 * np.pi, n, endpoint=False)
+    pdf = pd.DataFrame({"acc_id": np.arange(n), "u": np.cos(angle).round(3), "v": np.sin(angle).round(3), "label": np.arange(n) % 3})
+    pdf.loc[:19, ["u", "v"]] = [[4 + i / 10, 4] for i in range(20)]
+    ring = pd.DataFrame({"acc_id": np.arange(n, n + 5), "u": 0.0, "v": 0.0, "label": 0})
+    square = pdf.copy()
+    square.loc[20:, ["u", "v"]] = [[(1, 0), (0, 1), (-1, 0), (0, -1)][i % 4] for i in range(n - 20)]
+    for refs in (pdf, square):
+        got = neighbours.knn_vote(spark.createDataFrame(refs), spark.createDataFrame(ring), ["u", "v"], "label", 5, True, 16)
+        assert {r.acc_id: r.prediction for r in got.collect()} == brute(refs, ring, ["u", "v"], 5, True)
+
+
+def test_compared_groups_are_bounded(spark, monkeypatch):
+    """One cell holds nearly all rows; no task gets more than its blocks."""
+    pdf = far_rows(600, 3)
+    pdf.loc[: 500, ["x0", "x1", "x2"]] = np.random.default_rng(2).normal(size=(501, 3)) / 100
+    df, feats = spark.createDataFrame(pdf), ["x0", "x1", "x2"]
+    search = neighbours.cell_search(df, df, feats, "label", 5, cells=4)
+    assert search.cells.rows.max() > 400
+    size = 50
+    _, block = neighbours._block(search.cells.rows, size, "acc_id")
+    most = search.refs.groupBy("cell", block.alias("b")).count().agg({"count": "max"}).first()[0]
+    assert most <= 2 * size
+    found = neighbours.knn_vote(df, df, feats, "label", 5, True, size)
+    assert {r.acc_id: r.prediction for r in found.collect()} == brute(pdf, pdf, feats, 5, True)
+
+
+def test_neighbour_bounds_hold():
+    rng = np.random.default_rng(8)
+    refs, asked, pivots = rng.normal(size=(400, 5)), rng.normal(size=(60, 5)) * 2, rng.normal(size=(9, 5))
+    bare = neighbours.Cells(pivots, *[np.zeros(9)] * 3)
+    d = bare.distances(refs)
+    own = d.argmin(axis=1)
+    near, far = (np.array([f(d[own == c, c], initial=i) for c in range(9)]) for f, i in ((np.min, np.inf), (np.max, -np.inf)))
+    least = neighbours.Cells(pivots, near, far, np.bincount(own, minlength=9)).bounds(asked)
+    real = np.sqrt(((asked[:, None] - refs[None]) ** 2).sum(axis=2))
+    for c in range(9):
+        if (own == c).any():
+            assert (least[:, c] <= real[:, own == c].min(axis=1) + 1e-9).all()
