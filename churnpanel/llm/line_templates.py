@@ -123,14 +123,22 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, similar: int = SIMILAR,
             group = np.cumsum(new) - 1
             n_docs = np.bincount(group[fresh], minlength=int(new.sum()))
             at = np.flatnonzero(new)
-            text = [" ".join(mask_bytes(buf[x:y].tobytes())) for x, y in zip(cut[at].tolist(), stop[at].tolist())]
+            text = [buf[x:y].tobytes().decode() for x, y in zip(cut[at].tolist(), stop[at].tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(leaf[at].view(np.int64)), pa.array(line[at].view(np.int64)), pa.array(n_docs.astype(np.int64)),
-                 pa.array(text, pa.string())], names=["leaf", "line", "n_docs", "masked"])
+                 pa.array(text, pa.string())], names=["leaf", "line", "n_docs", "written"])
 
-    distinct = docs.select("text").mapInArrow(lines, "leaf long, line long, n_docs long, masked string")
+    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            masked = [" ".join(mask_bytes(x.encode())) for x in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(masked, pa.string())], names=["leaf", "line", "n_docs", "masked"])
+
+    # lines of one hash have the same masked tokens, so any of them may stand for all
+    distinct = docs.select("text").mapInArrow(lines, "leaf long, line long, n_docs long, written string")
     distinct = distinct.join(full, "leaf", "left_semi").groupBy("leaf", "line").agg(
-        F.sum("n_docs").alias("n_docs"), F.min("masked").alias("masked"))
+        F.sum("n_docs").alias("n_docs"), F.min("written").alias("written"))
+    distinct = distinct.mapInArrow(mask, "leaf long, line long, n_docs long, masked string")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, leaf = None, None
@@ -145,7 +153,7 @@ def recurring_lines(docs: DataFrame, depth: int = DEPTH, similar: int = SIMILAR,
                 [*batch.columns[:3], pa.array(numbers, pa.int32()), pa.array(states, pa.string())],
                 names=["leaf", "line", "n_docs", "number", "template"])
 
-    placed = distinct.select("leaf", "line", "n_docs", "masked").repartition("leaf").sortWithinPartitions(
+    placed = distinct.select("leaf", "line", "n_docs", "masked").repartition(tasks, "leaf").sortWithinPartitions(
         "leaf", F.col("n_docs").desc(), "masked").mapInArrow(grow, "leaf long, line long, n_docs long, number int, template string")
     placed = materialize(placed, "placed-lines")
     # a template only loses fixed places, so its last state has the most fields
@@ -200,5 +208,6 @@ def drop_template_lines(docs: DataFrame, key: str = "doc_id", text: str = "text"
                 [part.column(0), pa.array(n_lines.astype(np.int64)), pa.array(n_dropped, pa.int64()), pa.array(texts, pa.string())],
                 names=["doc_id", "n_lines", "n_dropped", "text"])
 
-    return base.join(hit, "id", "left").select("id", "text", "at").mapInArrow(
+    # the hits grow with the texts, so both sides are shuffled at every size
+    return base.join(hit.hint("merge"), "id", "left").select("id", "text", "at").mapInArrow(
         apply, "doc_id long, n_lines long, n_dropped long, text string")
