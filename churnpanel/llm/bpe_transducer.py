@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 #: Remembered transducer states (and checks of token pairs), and pieces, of a worker process.
-MEMORY, PIECES = 1 << 17, 1 << 18
+MEMORY, PIECES = 1 << 17, 3 << 17
 #: Longest piece worth remembering, in characters.
 LONGEST = 32
 #: Rows that leave a task together, by tokens.
@@ -368,6 +368,11 @@ class Decoder:
             machine = Utf8Machine()
             text = machine.feed(t)
             self.whole[r] = None if machine.held else text
+        self.bytes = pa.array(list(self.token.values()), pa.binary())
+        self.place = np.full(max(self.token) + 1, -1, np.int32)
+        self.place[list(self.token)] = np.arange(len(self.token))
+        #: Tokens that are not whole characters: only after them does the machine hold bytes back.
+        self.split = np.array([text is None or "\ufffd" in text for text in self.whole.values()])
 
     def stream(self, ids: Iterable[int]) -> Iterator[str]:
         """The text of each token as soon as it is known, and of an unfinished end."""
@@ -378,9 +383,40 @@ class Decoder:
         yield machine.close()
 
     def decode(self, ids: Iterable[int]) -> str:
-        ids = list(ids)
-        texts = [self.whole[i] for i in ids]
-        return "".join(self.stream(ids) if None in texts else texts)
+        return "".join(self.stream(ids))
+
+    def decode_lists(self, ids: pa.Array, sizes: np.ndarray) -> pa.Array:
+        """The texts of lists of ids that lie one after the other.
+
+        Tokens of whole characters leave a machine that holds nothing back as it was, so they
+        are taken together; the others, and those after them until nothing is held back any
+        more, go through the machine one by one."""
+        given = ids.to_numpy()
+        if len(given) and (given.min() < 0 or given.max() >= len(self.place)):
+            raise ValueError("unknown token id")
+        known = self.place[given]
+        if (known < 0).any():
+            raise ValueError("unknown token id")
+        joined = self.bytes.take(pa.array(known))
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        cuts = np.frombuffer(joined.buffers()[1], np.int32)[joined.offset: joined.offset + len(joined) + 1]
+        data = memoryview(joined.buffers()[2] or b"")
+        split = np.flatnonzero(self.split[known])
+        firsts = np.searchsorted(split, ends).tolist()
+        texts = []
+        for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
+            out, machine, at = [], Utf8Machine(), a
+            for k in split[firsts[i]: firsts[i + 1]].tolist():
+                if k < at:
+                    continue
+                out.append(str(data[cuts[at]: cuts[k]], "utf-8"))
+                at = k
+                while at == k or (machine.held and at < b):
+                    out.append(machine.feed(bytes(data[cuts[at]: cuts[at + 1]])))
+                    at += 1
+            out += [str(data[cuts[at]: cuts[b]], "utf-8"), machine.close()]
+            texts.append("".join(out))
+        return pa.array(texts, pa.string())
 
 
 @lru_cache(maxsize=1)
@@ -441,7 +477,7 @@ def with_token_ids(docs: DataFrame, path: str, pattern: str, text: str = "text",
 def with_decoded_text(docs: DataFrame, path: str, ids: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``docs`` with the text that ``ids`` stand for (null ids: empty), decoded as a stream.
 
-    An id outside the vocabulary is an error (KeyError).  A column called ``out`` is replaced."""
+    An id outside the vocabulary is an error.  A column called ``out`` is replaced."""
     schema = _with(docs, out, T.StringType())
     names = [f.name for f in schema.fields[:-1]]
 
@@ -451,10 +487,9 @@ def with_decoded_text(docs: DataFrame, path: str, ids: str = "token_ids", out: s
             column = batch.column(batch.schema.get_field_index(ids))
             sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
             for at, to in _parts(sizes, TOKENS):
-                texts = [decoder.decode(v.values.to_numpy().tolist() if v.is_valid else ()) for v in column.slice(at, to - at)]
                 rows = batch.slice(at, to - at)
+                texts = decoder.decode_lists(column.slice(at, to - at).flatten(), sizes[at:to])
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(rows.schema.get_field_index(n)) for n in names] + [pa.array(texts, pa.string())],
-                    names=[*names, out])
+                    [rows.column(rows.schema.get_field_index(n)) for n in names] + [texts], names=[*names, out])
 
     return docs.mapInArrow(run, schema)

@@ -310,3 +310,18 @@ def test_shapley_adds_up(spark):
     assert len(rows) == 6 * 3
     per = {r.filter_order[r.step - 1]: r.shapley for r in rows}
     assert sum(per.values()) == 6 * sum(1 + f for f in range(1, 8))  # each order removes all that fail anything
+
+
+def test_lists_decode_like_the_stream(ranks):
+    """Random ids: characters cut anywhere, malformed bytes, empty lists."""
+    import numpy as np
+    import pyarrow as pa
+
+    r, decoder = random.Random(12), Decoder(ranks)
+    odd = [i for i in ranks.values() if decoder.whole[i] is None]
+    lists = [[r.choice(odd) if r.random() < 0.3 * (k % 3) else r.randrange(50_000) for _ in range(r.randint(0, 12))] for k in range(400)]
+    sizes = np.array([len(x) for x in lists])
+    got = decoder.decode_lists(pa.array([i for x in lists for i in x], pa.int32()), sizes).to_pylist()
+    assert got == [b"".join(decoder.token[i] for i in x).decode(errors="replace") for x in lists]
+    with pytest.raises(ValueError):
+        decoder.decode_lists(pa.array([60_000], pa.int32()), np.array([1]))
