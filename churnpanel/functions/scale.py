@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,12 +89,46 @@ def shared_dir(spark: SparkSession) -> str:
     as in tests, stages go below the warehouse, which is shared too.  A folder of one
     machine is never used."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+    return named or _below_warehouse(spark)
+
+
+def _below_warehouse(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
+
+
+#: Folder of the job scope that is open in this thread of control, if any.
+_scope: ContextVar[str | None] = ContextVar("stage_scope", default=None)
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for one written stage below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path for one written stage, below the open job scope or the shared folder."""
+    return os.path.join(_scope.get() or shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def job_scope(spark: SparkSession, name: str = "job") -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A job that owns its stages: all stages written inside are deleted when it ends, also
+    when it fails.
+
+    The job needs ``spark.checkpoint.dir``, a folder all executors share, and is refused without
+    it.  Frames that read a stage cannot be used after the end (their files are gone); what is
+    to outlive the job goes through the function the scope yields, ``keep(df, path)``, which
+    writes it and returns a frame that reads it.  Scopes may be nested."""
+    if shared_dir(spark) == _below_warehouse(spark):
+        raise ValueError("a job needs spark.checkpoint.dir, a folder that all executors share")
+    folder = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+    def keep(df: DataFrame, path: str) -> DataFrame:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    before = _scope.set(folder)
+    try:
+        yield keep
+    finally:
+        _scope.reset(before)
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
