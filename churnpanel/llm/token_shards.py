@@ -10,9 +10,10 @@ token range can be decoded by walking only the rules it touches.
 File format: a Parquet folder written by Spark (a lost task leaves no half file),
 one row per shard: order columns and the shard as one binary value, little endian:
 
-    magic "RPS1" | u32 terminals | u32 rules | u32 symbols | u32 documents | u64 tokens
-    | u8 width | rules 2 x u32 each | expansion lengths u32 each
-    | symbols u<width> each | document ends u64 each (in tokens)
+    magic "RPS2" | u32 terminals | u32 rules | u32 symbols | u32 documents | u64 tokens
+    | u8 width | rules 2 x u<width> each | expansion lengths u32 each
+    | symbols u<width> each | positions u64 each (tokens before symbol 0, STRIDE, ...)
+    | document ends u64 each (in tokens)
 
 Pairs are taken in rounds.  A round replaces all pairs that are frequent enough at
 once; where chosen pairs overlap, the one further left wins, so a round equals one
@@ -20,6 +21,7 @@ pass of the classic algorithm for several of its most frequent pairs."""
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -32,13 +34,17 @@ from pyspark.sql import functions as F
 
 from churnpanel.llm.text import RangeHash, byte_values, expand, lower_ascii, pieces, words
 
-MAGIC = b"RPS1"
-#: Tokens after which a shard is closed (at the next document end), rounds, rules a
-#: round may add, and how often a pair must occur to be replaced.
-SHARD_TOKENS, ROUNDS, RULES_PER_ROUND, LEAST = 1 << 20, 6, 2688, 16
+MAGIC = b"RPS2"
+#: Tokens after which a shard is closed (at the next document end), rules a round may
+#: add, and symbols between two stored positions.
+SHARD_TOKENS, RULES_PER_ROUND, STRIDE = 1 << 20, 4096, 1 << 12
+#: A round has to remove one symbol in so many, or the grammar is finished.
+ROUND_GAIN = 2000
 #: Remembered words per task.
 MEMORY = 300_000
 _HASH_BITS = 20
+#: Slots of the table of recent words.
+_RECENT_BITS = 19
 
 
 # --- grammar -------------------------------------------------------------------
@@ -50,7 +56,8 @@ def _frequent(seq: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.nd
     # a hashed histogram leaves few pairs to count exactly
     slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
     rough = np.bincount(slot, minlength=1 << _HASH_BITS)
-    floor = max(least, int(np.partition(rough, -most)[-most]) if most < len(rough) else least)
+    able = rough[rough >= least]
+    floor = int(np.partition(able, -most)[-most]) if most < len(able) else least
     at = np.flatnonzero((rough >= floor)[slot])
     pairs, which, n = np.unique(key[at], return_inverse=True, return_counts=True)
     # ties go to the smaller pair; a pair that shared its slot may fall below the floor
@@ -73,22 +80,41 @@ def _leftmost(at: np.ndarray) -> np.ndarray:
     return rank % 2 == 0
 
 
-def compress(ids: np.ndarray, terminals: int, rounds: int = ROUNDS, per_round: int = RULES_PER_ROUND,
-             least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, rules, expansion lengths) of one id sequence."""
+def width_of(symbols: int) -> int:
+    """Bytes of a symbol when there are so many different ones."""
+    return 2 if symbols <= 1 << 16 else 4
+
+
+def price(width: int) -> int:
+    """Fewest occurrences at which a rule (two symbols and its length) saves bytes."""
+    return (2 * width + 4) // width + 1
+
+
+def compress(ids: np.ndarray, terminals: int, per_round: int = RULES_PER_ROUND,
+             least: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, rules, expansion lengths) of one id sequence.
+
+    Pairs found ``least`` times (default: as often as a rule pays) are replaced until a round
+    removes almost nothing, or until one more rule would widen every symbol."""
+    width = width_of(terminals)
+    least = least or price(width)
+    room = (1 << 8 * width) - terminals
     seq = ids.astype(np.uint32)
     rules, lengths = [np.zeros((0, 2), np.uint32)], [np.zeros(0, np.uint32)]
     n_rules = 0
     all_lengths = np.ones(terminals, np.uint32)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        pairs, at, number = _frequent(seq, least, per_round)
+    while len(seq) > 1 and n_rules < room:
+        pairs, at, number = _frequent(seq, least, min(per_round, room - n_rules))
         if not len(pairs):
             break
         keep = _leftmost(at)
-        at = at[keep]
-        used, number = np.unique(number[keep], return_inverse=True)
+        at, number = at[keep], number[keep]
+        # what overlaps took from a pair may leave it too rare to pay
+        pays = np.bincount(number, minlength=len(pairs)) >= least
+        at, number = at[pays[number]], number[pays[number]]
+        if len(at) * ROUND_GAIN < len(seq):
+            break
+        used, number = np.unique(number, return_inverse=True)
         rule = np.stack([(pairs[used] >> np.uint64(32)).astype(np.uint32), pairs[used].astype(np.uint32)], 1)
         seq = seq.copy()
         seq[at] = (terminals + n_rules + number).astype(np.uint32)
@@ -120,9 +146,17 @@ def expand_symbols(symbols: np.ndarray, rules: np.ndarray, terminals: int) -> np
 class Shard:
     """One shard: encoded to bytes, decoded whole or by token range."""
 
-    def __init__(self, terminals, rules, lengths, symbols, ends):
+    def __init__(self, terminals, rules, lengths, symbols, ends, marks=None):
         self.terminals, self.rules, self.lengths = terminals, rules, lengths
-        self.symbols, self.ends = symbols, ends
+        self.symbols, self.ends, self.marks = symbols, ends, marks
+
+    def _sizes(self, a: int, b: int) -> np.ndarray:
+        """Tokens of the symbols ``a:b``."""
+        some = self.symbols[a:b].astype(np.int64)
+        size = np.ones(len(some), np.int64)
+        inner = some >= self.terminals
+        size[inner] = self.lengths[some[inner] - self.terminals]
+        return size
 
     @classmethod
     def build(cls, ids: np.ndarray, ends: np.ndarray, terminals: int, **options) -> Shard:
@@ -130,11 +164,14 @@ class Shard:
         return cls(terminals, rules, lengths, symbols, np.asarray(ends, np.uint64))
 
     def to_bytes(self) -> bytes:
-        width = 2 if self.terminals + len(self.rules) <= 1 << 16 else 4
+        width = width_of(self.terminals + len(self.rules))
         tokens = int(self.ends[-1]) if len(self.ends) else 0
         head = struct.pack("<IIIIQB", self.terminals, len(self.rules), len(self.symbols), len(self.ends), tokens, width)
-        return b"".join([MAGIC, head, self.rules.astype("<u4").tobytes(), self.lengths.astype("<u4").tobytes(),
-                         self.symbols.astype(f"<u{width}").tobytes(), self.ends.astype("<u8").tobytes()])
+        before = np.cumsum(self._sizes(0, len(self.symbols)))
+        marks = np.concatenate([[0], before[STRIDE - 1: -1: STRIDE]]) if len(before) else before
+        return b"".join([MAGIC, head, self.rules.astype(f"<u{width}").tobytes(), self.lengths.astype("<u4").tobytes(),
+                         self.symbols.astype(f"<u{width}").tobytes(), marks.astype("<u8").tobytes(),
+                         self.ends.astype("<u8").tobytes()])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> Shard:
@@ -149,26 +186,37 @@ class Shard:
             at += out.nbytes
             return out
 
-        rules = take("<u4", 2 * n_rules).reshape(-1, 2)
+        rules = take(f"<u{width}", 2 * n_rules).reshape(-1, 2)
         lengths = take("<u4", n_rules)
         symbols = take(f"<u{width}", n_symbols)
+        marks = take("<u8", -(-n_symbols // STRIDE))
         ends = take("<u8", n_docs)
         if (int(ends[-1]) if n_docs else 0) != tokens or at != len(data):
             raise ValueError("damaged token shard")
-        return cls(terminals, rules, lengths, symbols, ends)
+        return cls(terminals, rules, lengths, symbols, ends, marks)
 
     def ids(self) -> np.ndarray:
         return expand_symbols(self.symbols, self.rules, self.terminals)
 
     def range(self, start: int, end: int) -> np.ndarray:
-        """Tokens ``start:end``; only symbols that reach into the range are opened."""
-        size = np.ones(len(self.symbols), np.int64)
-        inner = self.symbols >= self.terminals
-        size[inner] = self.lengths[self.symbols[inner] - self.terminals]
-        upto = np.cumsum(size)
+        """Tokens ``start:end``; the stored positions name the stretches of symbols to look
+        at, and only symbols that reach into the range are opened."""
+        if self.marks is None:
+            return Shard.from_bytes(self.to_bytes()).range(start, end)
+        if start >= end or not len(self.symbols):
+            return np.zeros(0, np.uint32)
+        marks = self.marks.astype(np.int64)
+        lo = max(int(np.searchsorted(marks, start, "right")) - 1, 0)
+        first, last = lo * STRIDE, int(np.searchsorted(marks, end, "left")) * STRIDE
+        size = self._sizes(first, last)
+        upto = np.cumsum(size) + marks[lo]
         a, b = int(np.searchsorted(upto, start, "right")), int(np.searchsorted(upto, end, "left")) + 1
         base = int(upto[a] - size[a]) if a < len(upto) else 0
-        return expand_symbols(self.symbols[a:b], self.rules, self.terminals)[start - base: end - base]
+        return expand_symbols(self.symbols[first + a: first + b], self.rules, self.terminals)[start - base: end - base]
+
+    def document(self, i: int) -> np.ndarray:
+        """Tokens of the ``i``-th document of the shard."""
+        return self.range(int(self.ends[i - 1]) if i else 0, int(self.ends[i]))
 
 
 # --- tokenising ----------------------------------------------------------------
@@ -192,6 +240,7 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.model = Tokenizer.from_file(path)
         self.terminals = max(self.model.get_vocab().values()) + 1
         special = {t.content: i for i, t in self.model.get_added_tokens_decoder().items() if t.special}
@@ -201,6 +250,7 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.index: dict[int, int] = {}
+        self.recent, self.recent_number = np.zeros(1 << _RECENT_BITS, np.uint64), np.full(1 << _RECENT_BITS, -1)
         self.flat, self.size = np.zeros(1 << 16, np.uint32), 0
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -244,16 +294,22 @@ class WordEncoder:
             buf = np.insert(buf, cut, 32)
             offs = offs + np.searchsorted(cut, offs)
         starts, ends, first = words(buf, offs)
-        keys, at, which = np.unique(RangeHash(byte_values(buf))(starts, ends) ^ np.uint64(plain),
-                                    return_index=True, return_inverse=True)
-        known = [self.index.get(k, -1) for k in keys.tolist()]
-        new = [i for i, x in enumerate(known) if x < 0]
-        if new:
+        every = RangeHash(byte_values(buf))(starts, ends) ^ np.uint64(plain)
+        # most words stand in the table of recent ones; the others are looked up once each
+        slot = (every >> np.uint64(64 - _RECENT_BITS)).astype(np.int64)
+        number = np.where(self.recent[slot] == every, self.recent_number[slot], -1)
+        rest = np.flatnonzero(number < 0)
+        keys, at, which = np.unique(every[rest], return_index=True, return_inverse=True)
+        known = np.array([self.index.get(k, -1) for k in keys.tolist()], np.int64)
+        new = np.flatnonzero(known < 0)
+        if len(new):
             data = buf.tobytes()
-            spans = zip(starts[at[new]].tolist(), ends[at[new]].tolist())
+            spans = zip(starts[rest[at[new]]].tolist(), ends[rest[at[new]]].tolist())
+            known[new] = len(self.index) + np.arange(len(new))
             self._learn(keys[new].tolist(), [data[a:b] for a, b in spans], plain)
-            known = [self.index[k] for k in keys.tolist()]
-        number = np.array(known, np.int64)[which]
+        if len(rest):
+            number[rest] = known[which]
+            self.recent[slot[rest]], self.recent_number[slot[rest]] = every[rest], number[rest]
         size = self.lengths[number]
         ids = self.flat[expand(self.starts[number], size)]
         upto = np.concatenate([[0], np.cumsum(size)])[first[1:]]
@@ -269,8 +325,8 @@ def _encoder(path: str) -> WordEncoder:
 
 def write_shards(
     docs: DataFrame, out: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-    shard_tokens: int = SHARD_TOKENS, partitions: int | None = None, rounds: int = ROUNDS,
-    per_round: int = RULES_PER_ROUND, least: int = LEAST,
+    shard_tokens: int = SHARD_TOKENS, partitions: int | None = None,
+    per_round: int = RULES_PER_ROUND, least: int | None = None,
 ) -> None:
     """Tokenise whole texts (null: empty) and write their shards to ``out``.
 
@@ -294,7 +350,7 @@ def write_shards(
             nonlocal ids, counts, keys, held, number
             each = np.concatenate(counts)
             shard = Shard.build(np.concatenate(ids), np.cumsum(each), encoder.terminals,
-                                rounds=rounds, per_round=per_round, least=least)
+                                per_round=per_round, least=least)
             row = pa.RecordBatch.from_arrays([
                 pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([held], pa.int64()),
                 pa.array([keys], pa.list_(pa.int64())), pa.array([shard.to_bytes()], pa.binary())],

@@ -68,7 +68,7 @@ def test_grammar_round_trip():
     r = np.random.default_rng(0)
     for ids in (r.integers(0, 5, 5000), np.zeros(1001), np.arange(10), np.zeros(0), r.integers(0, 50, 3)):
         ids = ids.astype(np.uint32)
-        seq, rules, lengths = compress(ids, 100, rounds=20, per_round=3, least=2)
+        seq, rules, lengths = compress(ids, 100, per_round=3, least=2)
         assert np.array_equal(expand_symbols(seq, rules, 100), ids)
         for rule, n in zip(np.arange(len(rules)) + 100, lengths):
             assert len(expand_symbols(np.array([rule]), rules, 100)) == n
@@ -82,10 +82,32 @@ def test_shard_random_access():
     assert np.array_equal(shard.ids(), ids) and shard.ends.tolist() == [10, 10, 3000]
     for a, b in ((0, 1), (5, 5), (17, 900), (2999, 3000), (0, 3000)):
         assert np.array_equal(shard.range(a, b), ids[a:b])
+    assert shard.document(0).tolist() == ids[:10].tolist() and not len(shard.document(1))
     with pytest.raises(ValueError):
         Shard.from_bytes(b"nothing at all")
 
 
+def test_shard_positions():
+    """Ranges across stored positions, in a sequence of many more symbols than one stride."""
+    ids = np.random.default_rng(2).integers(0, 40000, 30000).astype(np.uint32)
+    ids[5000:9000] = 7
+    shard = Shard.from_bytes(Shard.build(ids, np.array([30000]), 40000).to_bytes())
+    assert len(shard.marks) > 5
+    for a, b in ((0, 30000), (4095, 4097), (4990, 9010), (8192, 8193), (29999, 30000), (12288, 20480)):
+        assert np.array_equal(shard.range(a, b), ids[a:b])
+    assert np.array_equal(shard.document(0), ids)
+
+
+def test_shard_rules_pay():
+    """Without rules the shard is larger; a pair seen once less than the price stays."""
+    r = np.random.default_rng(3)
+    ids = r.integers(0, 300, 20000).astype(np.uint32)
+    plain = len(Shard.build(ids, np.array([20000]), 300, least=10 ** 6).to_bytes())
+    assert len(Shard.build(ids, np.array([20000]), 300).to_bytes()) <= plain
+    few = np.concatenate([np.arange(100, 300), np.tile([1, 2, 3, 4, 5], 1), np.arange(300, 400)])
+    assert not len(compress(few, 1000)[1])
+
+
 def test_shards_match_library(spark, docs, rows, tmp_path):
     from tokenizers import Tokenizer
 
