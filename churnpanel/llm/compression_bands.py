@@ -4,7 +4,12 @@ Text that a general compressor shrinks far more than prose is repetitive; text i
 hardly shrinks is noise.  The ratio (compressed over plain bytes, zstandard) is
 taken for the whole document and for chunks that cover all of it, and held against
 limits that depend on the length, because short texts compress less.  Before that, base
-rules reject documents that are too short or mostly repeated three-word windows."""
+rules reject documents that are too short or mostly repeated three-word windows.
+
+The limits are learnt from the corpus itself, without labels: of all different texts that
+pass the base rules, each length class (half octaves of bytes; documents and chunks apart)
+has a median ratio and an interquartile range, and what lies further than ``REACH`` ranges from
+the median is rejected.  A class with fewer than ``LEAST_TEXTS`` texts has fixed bands."""
 
 from __future__ import annotations
 
@@ -12,15 +17,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnpanel.functions.scale import materialize
 from churnpanel.llm.text import RangeHash, byte_values, mix, pieces, words
 
 LEVEL = 3
 #: Bytes of a chunk; a last part of under half of that belongs to the chunk before it.
 CHUNK = 512
-#: (at least so many bytes, least and greatest ratio of a kept document), by length.
+#: Interquartile ranges from the median to a limit, least range, texts a class needs, length classes.
+REACH, LEAST_RANGE, LEAST_TEXTS, CLASSES = 2.5, 0.015, 100, 64
+#: Steps of a ratio that are counted; larger ratios (tiny texts) count as the last one.
+STEPS, TOP = 1000, 4000
+#: Where nothing is learnt: (at least so many bytes, least and greatest ratio of a kept document).
 DOCUMENT_BANDS = ((0, 0.25, 1.20), (512, 0.22, 0.85), (2048, 0.20, 0.75), (8192, 0.16, 0.70), (32768, 0.12, 0.68))
 #: The same for a chunk.  At 4096 bytes 0.15 is 0.115 above repeated lines and 0.80 is 0.035
 #: below printable noise; shorter chunks have these distances to what such texts give there
@@ -32,8 +42,9 @@ CHUNK_SHARE = 0.25
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 
-SCHEMA = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-          "doc_ratio double, n_chunks long, n_chunks_low long, n_chunks_high long, base_failed boolean, kept boolean")
+MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, doc_ratio double, "
+            "n_chunks long, base_failed boolean, _q_bytes long, _q_print long, _q_chunks array<double>")
+VERDICT = ("n_chunks_low", "n_chunks_high", "kept")
 
 
 def _per_doc(marks: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -114,45 +125,119 @@ def ratios(data: bytes, compressor, chunk: int = CHUNK) -> tuple[float, np.ndarr
     return whole, np.array(each), np.diff([0, *ends])
 
 
-def with_quality(
-    docs: DataFrame, text_col: str = "text", level: int = LEVEL, chunk: int = CHUNK, bands=DOCUMENT_BANDS,
-    chunk_bands=CHUNK_BANDS, chunk_share: float = CHUNK_SHARE, min_words: int = MIN_WORDS, max_repeat: int = MAX_REPEAT_PERCENT,
+def measure(
+    docs: DataFrame, text_col: str = "text", level: int = LEVEL, chunk: int = CHUNK, min_words: int = MIN_WORDS,
+    max_repeat: int = MAX_REPEAT_PERCENT, keep_text: bool = True,
 ) -> DataFrame:
-    """``docs`` with the base counts, ratios and verdict of each whole text.
-
-    Output columns replace input columns of the same name.  Null and empty texts have
-    no words, so they fail the base rules; rows are judged one by one, hence repeated
-    rows, null keys and empty tables need no special case."""
+    """``docs`` with base counts, ratios, and ``_q_`` columns: bytes, print (hash) and chunk ratios."""
     from pyspark.sql.types import StructType
 
-    added = StructType.fromDDL(SCHEMA)
-    names = added.fieldNames()
+    added = StructType.fromDDL(MEASURES)
+    names = {*added.fieldNames(), *VERDICT}
     rest = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names])
-    schema = StructType(rest.schema.fields + added.fields)
-    columns = schema.fieldNames()
+    stay = [c for c in rest.columns if keep_text or c != text_col]
+    schema = StructType([rest.schema[c] for c in stay] + added.fields)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         compressor = zstandard.ZstdCompressor(level=level)
-        least, least_ratio, most_ratio = (np.array(x) for x in zip(*chunk_bands))
         for rows, buf, offs in pieces(batches, text_col):
             got = base_counts(buf, offs)
             data = buf.tobytes()
-            ratio, n, low, high, fits = [], [], [], [], []
-            for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                r, each, size = ratios(data[a:b], compressor, chunk)
-                lo, hi = band(b - a, bands)
-                own = np.searchsorted(least, size, "right") - 1
-                few, many = int((each < least_ratio[own]).sum()), int((each > most_ratio[own]).sum())
-                ratio.append(r)
-                n.append(len(each))
-                low.append(few)
-                high.append(many)
-                fits.append(lo <= r <= hi and few + many <= chunk_share * len(each))
+            found = [ratios(data[a:b], compressor, chunk)[:2] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
             failed = (got["n_words"] < min_words) | (100 * got["n_repeat_words"] > max_repeat * got["n_words"])
-            new = [*got.values(), ratio, n, low, high, failed, np.array(fits, bool) & ~failed]
+            prints = RangeHash(byte_values(buf))(offs[:-1], offs[1:])
+            new = [*got.values(), [r for r, _ in found], [len(x) for _, x in found], failed, np.diff(offs),
+                   prints.view(np.int64), [x for _, x in found]]
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns, *(pa.array(v) for v in new)], names=columns)
+                [*(rows.column(rows.schema.get_field_index(c)) for c in stay),
+                 *(pa.array(v) if i < len(new) - 1 else pa.array(v, pa.list_(pa.float64())) for i, v in enumerate(new))],
+                names=schema.fieldNames())
+
+    return rest.mapInArrow(emit, schema)
+
+
+def length_class(n_bytes: Column) -> Column:
+    """Half octaves; the last class holds all longer texts."""
+    return F.least(F.floor(2 * F.log2(F.greatest(n_bytes, F.lit(1)))), F.lit(CLASSES - 1)).cast("int")
+
+
+def _last_chunk(chunk: int) -> Column:
+    """Bytes of the last chunk of a document."""
+    return F.col("_q_bytes") - chunk * (F.col("n_chunks") - 1)
+
+
+def fit_limits(measured: DataFrame, chunk: int = CHUNK, reach: float = REACH, least_range: float = LEAST_RANGE,
+               least_texts: int = LEAST_TEXTS) -> DataFrame:
+    """kind ("document", "chunk"), cls, lo, hi of the length classes with enough texts.
+
+    Every different text that passes the base rules counts once, so copies decide nothing;
+    ratios are counted by steps (partial sums), and quartiles are read from the counts."""
+    texts = measured.where("not base_failed").groupBy("_q_print", "_q_bytes", "n_chunks").agg(
+        F.min("doc_ratio").alias("doc_ratio"), F.min("_q_chunks").alias("_q_chunks"))
+
+    def part(kind: str, size: Column, ratio: Column) -> Column:
+        step = F.least(F.floor(ratio * STEPS), F.lit(TOP)).cast("int")
+        return F.struct(F.lit(kind).alias("kind"), length_class(size).alias("cls"), step.alias("step"))
+
+    chunks = F.transform("_q_chunks", lambda r, i: part(
+        "chunk", F.when(i < F.col("n_chunks") - 1, F.lit(chunk).cast("long")).otherwise(_last_chunk(chunk)), r))
+    parts = texts.select(F.explode(F.concat(
+        F.array(part("document", F.col("_q_bytes"), F.col("doc_ratio"))), chunks)).alias("p")).select("p.*")
+    counts = parts.groupBy("kind", "cls", "step").agg(F.count(F.lit(1)).alias("n"))
+    # at most TOP + 1 rows in a class
+    by = Window.partitionBy("kind", "cls")
+    counts = counts.withColumns({"upto": F.sum("n").over(by.orderBy("step")), "n_all": F.sum("n").over(by)})
+    quartiles = counts.where(F.col("n_all") >= least_texts).groupBy("kind", "cls").agg(*[
+        (F.min(F.when(F.col("upto") * 4 >= F.col("n_all") * q, F.col("step"))) / STEPS).alias(f"q{q}") for q in (1, 2, 3)])
+    width = F.greatest(F.col("q3") - F.col("q1"), F.lit(least_range)) * reach
+    return quartiles.select("kind", "cls", (F.col("q2") - width).alias("lo"), (F.col("q2") + width).alias("hi"))
+
+
+def judge(measured: DataFrame, limits: DataFrame, chunk: int = CHUNK, bands=DOCUMENT_BANDS, chunk_bands=CHUNK_BANDS,
+          chunk_share: float = CHUNK_SHARE) -> DataFrame:
+    """``measured`` with n_chunks_low, n_chunks_high and kept, without the ``_q_`` columns."""
+    learnt = {(r.kind, r.cls): (r.lo, r.hi) for r in limits.collect()}  # at most 2 * CLASSES rows
+
+    def limit(kind: str, size: Column, side: int) -> Column:
+        fixed = bands if kind == "document" else chunk_bands
+        plain = F.lit(fixed[0][side + 1])
+        for row in fixed[1:]:
+            plain = F.when(size >= row[0], row[side + 1]).otherwise(plain)
+        own = F.array(*[F.lit(learnt[kind, c][side] if (kind, c) in learnt else None).cast("double") for c in range(CLASSES)])
+        return F.coalesce(F.get(own, length_class(size)), plain)
+
+    def outside(side: int) -> Column:
+        full, last = limit("chunk", F.lit(chunk).cast("long"), side), limit("chunk", _last_chunk(chunk), side)
+
+        def off(r: Column, i: Column) -> Column:
+            bound = F.when(i < F.col("n_chunks") - 1, F.col("_q_full")).otherwise(F.col("_q_last"))
+            return r < bound if side == 0 else r > bound
+
+        return F.size(F.filter("_q_chunks", off)).cast("long"), full, last
+
+    out = measured
+    for side, name in enumerate(VERDICT[:2]):
+        count, full, last = outside(side)
+        out = out.withColumns({"_q_full": full, "_q_last": last}).withColumn(name, count)
+    size, ratio = F.col("_q_bytes"), F.col("doc_ratio")
+    fits = ratio.between(limit("document", size, 0), limit("document", size, 1)) & (
+        F.col("n_chunks_low") + F.col("n_chunks_high") <= F.col("n_chunks") * chunk_share)
+    out = out.withColumn("kept", fits & ~F.col("base_failed"))
+    return out.drop("_q_bytes", "_q_print", "_q_chunks", "_q_full", "_q_last")
+
+
+def with_quality(
+    docs: DataFrame, text_col: str = "text", level: int = LEVEL, chunk: int = CHUNK, bands=DOCUMENT_BANDS,
+    chunk_bands=CHUNK_BANDS, chunk_share: float = CHUNK_SHARE, min_words: int = MIN_WORDS,
+    max_repeat: int = MAX_REPEAT_PERCENT, keep_text: bool = True, **fit,
+) -> DataFrame:
+    """``docs`` with the base counts, ratios and verdict of each whole text.
 
-    return rest.mapInArrow(judge, schema)
+    Output columns replace input columns of the same name, and columns called ``_q_...`` are
+    the operator's own.  Null and empty texts have no words, so they fail the base rules; rows
+    are judged one by one, hence repeated rows and null keys need no special case.  Where
+    no class has enough texts (small or empty tables) the fixed bands hold."""
+    measured = materialize(measure(docs, text_col, level, chunk, min_words, max_repeat, keep_text), "quality")
+    return judge(measured, fit_limits(measured, chunk, **fit), chunk, bands, chunk_bands, chunk_share)

@@ -85,7 +85,7 @@ def op7_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from churnpanel.llm.compression_bands import with_quality
 
-    return with_quality(_documents(spark, sf_dir).select("doc_id", "text")).drop("text")
+    return with_quality(_documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from churnpanel.llm import compression_bands as bands
 from churnpanel.llm import queries as llm
 from churnpanel.llm import repeats
 from churnpanel.llm.automaton_dedup import SuffixAutomaton, remove_repeated_windows
@@ -406,6 +407,57 @@ def test_every_part_is_judged(spark):
         assert size.sum() == n and (n < 512 or (256 <= size.min() and size.max() < 768))
 
 
+def test_learnt_limits_brute_force(spark):
+    """Ratios, limits and verdicts, computed again in plain Python."""
+    import math
+
+    import zstandard
+
+    r = random.Random(12)
+    words = [prose(i, 1) for i in range(500)]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(150, 420))) for _ in range(330)]
+    texts += [" ".join(f"{r.randint(0, 9)}{r.randint(0, 9)}{i % 7}" for i in range(420)) for _ in range(8)]  # far below the others
+    texts += [texts[0]] * 400 + ["", "short"]  # copies must not move the limits
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("_q_bytes", F.lit("clash"))
+    got = {x.doc_id: x for x in with_quality(df.repartition(5)).collect()}
+
+    pack = zstandard.ZstdCompressor(level=3)
+    cls = lambda n: min(math.floor(2 * (math.log(max(n, 1)) / math.log(2))), 63)
+    seen: dict = {}
+    measured = []
+    for i, text in enumerate(texts):
+        data = text.encode()
+        ends = [0, *chunk_ends(len(data))]
+        chunks = [(b - a, len(pack.compress(data[a:b])) / (b - a)) for a, b in zip(ends, ends[1:])]
+        ratio = len(pack.compress(data)) / len(data) if data else 1.0
+        measured.append((len(data), ratio, chunks))
+        if not got[i].base_failed and text not in texts[:i]:
+            seen.setdefault(("document", cls(len(data))), []).append(ratio)
+            for n, x in chunks:
+                seen.setdefault(("chunk", cls(n)), []).append(x)
+    limits = {}
+    for key, values in seen.items():
+        steps = sorted(min(math.floor(v * 1000), 4000) for v in values)
+        if len(steps) >= 100:
+            a, b, c = (steps[-(-len(steps) * q // 4) - 1] / 1000 for q in (1, 2, 3))
+            limits[key] = (b - 2.5 * max(c - a, 0.015), b + 2.5 * max(c - a, 0.015))
+    assert ("document", cls(1500)) in limits and ("chunk", cls(512)) in limits
+
+    def bounds(kind, n, fixed):
+        return limits.get((kind, cls(n))) or [(lo, hi) for least, lo, hi in fixed if n >= least][-1]
+
+    rejected = 0
+    for i, (n, ratio, chunks) in enumerate(measured):
+        lo, hi = bounds("document", n, bands.DOCUMENT_BANDS)
+        low = sum(x < bounds("chunk", m, bands.CHUNK_BANDS)[0] for m, x in chunks)
+        high = sum(x > bounds("chunk", m, bands.CHUNK_BANDS)[1] for m, x in chunks)
+        assert got[i].doc_ratio == ratio and (got[i].n_chunks, got[i].n_chunks_low, got[i].n_chunks_high) == (len(chunks), low, high)
+        fits = lo <= ratio <= hi and low + high <= 0.25 * len(chunks)
+        assert got[i].kept == (fits and not got[i].base_failed)
+        rejected += not fits and not got[i].base_failed
+    assert rejected >= 8
+
+
 # --- 9: token counts
 
 def test_token_counts(docs, rows, empty):
