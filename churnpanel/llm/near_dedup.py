@@ -173,7 +173,12 @@ class NearDuplicates:
         left = tagged.join(main, "band").withColumn("stray", F.col("component") != F.col("main"))
         pairs = materialize(self._met_in_bands(left, reps), "near-met").distinct()
         more = self._verified(pairs, reps)
-        component = materialize(connected_components(shared.select("id").distinct(), links.unionByName(more)), "near-components")
+        # new links join whole components, so only these meet again (ids of both kinds are least ids)
+        ends = more.join(component.withColumnsRenamed({"id": "a", "component": "ca"}), "a").join(
+            component.withColumnsRenamed({"id": "b", "component": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        joined = connected_components(component.select(F.col("component").alias("id")).distinct(), ends)
+        component = component.withColumnRenamed("component", "before").join(
+            joined.withColumnRenamed("id", "before"), "before").select("id", "component")
 
         known = sets.select("id", "n", "one", "two").join(classes, ["n", "one", "two"], "left").select(
             F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"))
@@ -254,19 +259,32 @@ class NearDuplicates:
 
         texts = self.docs.join(wanted, "id", "left_semi")
         sets = materialize(texts.mapInArrow(full, "id long, hashes binary"), "near-full-sets")
-        pairs = alive.join(sets.withColumnsRenamed({"id": "a", "hashes": "ha"}), "a").join(
-            sets.withColumnsRenamed({"id": "b", "hashes": "hb"}), "b")
+        # A full set travels once per row: the first document of a pair leads a block of bounded
+        # size, and the others of the block are streamed past it.
+        parts = alive.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("parts"))
+        lead = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("id"))
+        others = alive.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("id"))
+        dealt = lead.withColumn("leads", F.lit(True)).unionByName(others.withColumn("leads", F.lit(False))).join(sets, "id")
+        dealt = dealt.select("a", "part", "leads", "id", "hashes").repartition("a", "part").sortWithinPartitions(
+            "a", "part", F.col("leads").desc(), "id")
 
         def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in batches:
-                ok = []
-                for x, y in zip(part.column(2), part.column(3)):
-                    x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-        return materialize(pairs.select("a", "b", "ha", "hb").mapInArrow(exact, "a long, b long"), "near-links")
+            own = np.zeros(0, np.uint64)
+            for rows in batches:
+                a, leads, ids = (rows.column(i).to_pylist() for i in (0, 2, 3))
+                found = []
+                for i, raw in enumerate(rows.column(4)):
+                    other = np.frombuffer(raw.as_py(), np.uint64)
+                    if leads[i]:
+                        own = other
+                        continue
+                    shared = len(np.intersect1d(own, other, assume_unique=True))
+                    if 100 * shared >= percent * (len(own) + len(other) - shared):
+                        found.append((a[i], ids[i]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+        return materialize(dealt.mapInArrow(exact, "a long, b long"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:
