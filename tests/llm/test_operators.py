@@ -512,7 +512,7 @@ def test_lexicon_counts_all_labels(spark):
 
 def test_registered():
     names = list(llm.registry())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(llm.oracle_sql()) <= set(names)
 
 
