@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,34 +20,63 @@ def base_accounts(combat: DataFrame) -> DataFrame:
     return combat.select("acc_id").distinct()
 
 
+def _by_account(parts: list[DataFrame]) -> DataFrame:
+    """One row per (acc_id, day) with a struct column ``_k`` for the columns of part k (NULL
+    where it has no row).
+
+    The rows of all parts, packed, are dealt by account once.  Everything that follows on an
+    account (this grouping, windows, summaries) finds its rows in place: no join of the parts,
+    no second exchange.  An account has one calendar of rows at most in each part."""
+    packed = [part.select(*KEYS, F.struct(F.lit(True).alias("_there"), *feature_columns(part)).alias(f"_{k}"))
+              for k, part in enumerate(parts)]
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), packed)
+    # a key has one row in each part, so there is one value to take
+    return rows.repartition("acc_id").groupBy(*KEYS).agg(
+        *[F.first(f"_{k}", ignorenulls=True).alias(f"_{k}") for k in range(len(parts))])
+
+
 def panel_join(
     combat: DataFrame, pledge: DataFrame, trade: DataFrame, activity: DataFrame,
     payment: DataFrame, spine: str = "combat", stats_scope: str = "payment_days",
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
     """Join the five daily tables on (acc_id, day).
 
     ``spine="combat"`` keeps combat days only; ``"union"`` keeps every active
-    day.  All inputs have one row per key and are already partitioned on it by
-    their own aggregation.  ``stats_scope="all_days"`` repeats an account's
-    payment statistics on all of its days, not on payment days alone."""
-    how = {"combat": "left", "union": "full"}[spine]
-    panel = combat
-    for part in (pledge, trade, activity, payment):
-        panel = panel.join(part, KEYS, how)
+    day.  All inputs have one row per key; equal keys meet, null ones too.
+    ``stats_scope="all_days"`` repeats an account's payment statistics on all of its days,
+    not on payment days alone.  With a ``calendar`` (see ``account_calendar``) its keys are
+    returned instead, NULL on days that are not on the spine: the same as ``panel_fill`` of
+    the joined panel, without moving the panel again."""
+    if spine not in ("combat", "union"):
+        raise ValueError(f"unknown spine {spine!r}")
+    parts = [combat, pledge, trade, activity, payment]
+    rows = _by_account(parts + ([calendar] if calendar is not None else []))
+    known = F.col("_0").isNotNull() if spine == "combat" else F.coalesce(*[f"_{k}._there" for k in range(5)]).isNotNull()
+    if calendar is None:
+        rows = rows.where(known)
+    kinds = dict(combat.select(*KEYS).dtypes)
+    panel = rows.select(*[F.col(c).cast(kinds[c]).alias(c) for c in KEYS], known.alias("_known"),
+                        (F.lit(True) if calendar is None else F.col("_5").isNotNull()).alias("_asked"),
+                        *[F.when(known, F.col(f"_{k}.{c}")).alias(c)
+                          for k, part in enumerate(parts) for c in feature_columns(part)])
     if stats_scope == "all_days":
         account = Window.partitionBy("acc_id")
-        panel = panel.withColumns({c: F.max(c).over(account) for c in PAYMENT_STATS})
-    return panel
+        panel = panel.withColumns({c: F.when(F.col("_known"), F.max(c).over(account)) for c in PAYMENT_STATS})
+    return panel.where("_asked").drop("_known", "_asked")
+
+
+def account_calendar(accounts: DataFrame, days: int = DAYS) -> DataFrame:
+    """Every account on every day 1..days, generated in place (``explode``), not cross-joined."""
+    return accounts.select("acc_id", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day"))
 
 
 def panel_fill(panel: DataFrame, accounts: DataFrame | None = None, days: int = DAYS) -> DataFrame:
     """Every account on every day 1..days; days without a record are NULL.
 
-    The calendar is generated in place (``explode``), not cross-joined.  Pass the
-    ``accounts`` when a cheaper source than the panel itself has them."""
+    Pass the ``accounts`` when a cheaper source than the panel itself has them."""
     ids = accounts if accounts is not None else panel.select("acc_id").distinct()
-    calendar = ids.select("acc_id", F.explode(F.sequence(F.lit(1), F.lit(days))).alias("day"))
-    return calendar.join(panel, KEYS, "left")
+    return account_calendar(ids, days).join(panel, KEYS, "left")
 
 
 def rename_prefix(panel: DataFrame) -> DataFrame:

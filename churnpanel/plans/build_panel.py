@@ -8,7 +8,7 @@ from churnpanel.operators.activity import activity_daily
 from churnpanel.operators.combat import combat_daily
 from churnpanel.operators.evaluate import label_onehot
 from churnpanel.operators.panel import (
-    base_accounts, panel_fill, panel_impute, panel_join, rename_prefix,
+    account_calendar, base_accounts, panel_fill, panel_impute, panel_join, rename_prefix,
 )
 from churnpanel.operators.payment import payment_transform
 from churnpanel.operators.pledge import pledge_daily
@@ -18,8 +18,9 @@ from churnpanel.sources.tables import load_label, load_tables, write_labels, wri
 
 
 def joined_panel(raw: dict[str, DataFrame], money: str = MONEY_ITEM, spine: str = "combat",
-                 stats_scope: str = "payment_days") -> DataFrame:
-    """Roll up the five raw tables and join them, one row per active day."""
+                 stats_scope: str = "payment_days", on_calendar: bool = False) -> DataFrame:
+    """Roll up the five raw tables and join them, one row per active day, or per day of
+    the calendar of every combat account."""
     base = base_accounts(raw["combat"])
     return panel_join(
         combat_daily(raw["combat"]),
@@ -27,15 +28,15 @@ def joined_panel(raw: dict[str, DataFrame], money: str = MONEY_ITEM, spine: str
         trade_daily(raw["trade"], base, money),
         activity_daily(raw["activity"]),
         payment_transform(raw["payment"]),
-        spine, stats_scope,
+        spine, stats_scope, account_calendar(base) if on_calendar else None,
     )
 
 
 def filled_panel(raw: dict[str, DataFrame], money: str = MONEY_ITEM, **options) -> DataFrame:
     """The joined panel on the full calendar, NULL where nothing is known."""
-    spine = options.get("spine", "combat")
-    accounts = base_accounts(raw["combat"]) if spine == "combat" else None
-    return panel_fill(joined_panel(raw, money, **options), accounts)
+    if options.get("spine", "combat") == "combat":
+        return joined_panel(raw, money, on_calendar=True, **options)
+    return panel_fill(joined_panel(raw, money, **options))
 
 
 def imputed_panel(raw: dict[str, DataFrame], money: str = MONEY_ITEM, **options) -> DataFrame:
