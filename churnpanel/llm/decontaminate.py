@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnpanel.functions.scale import materialize
@@ -52,8 +52,24 @@ def _spelled(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[str]:
     return [b" ".join(buf[a:b].tobytes().split()).decode() for a, b in zip(begin.tolist(), end.tolist())]
 
 
+def _item(item_id: Column, text: Column) -> Column:
+    """One name for each (id, text): equal ids with several texts are items side by side."""
+    return F.concat(F.coalesce(item_id.cast("string"), F.lit("")), F.lit(":"), F.sha2(text.cast("binary"), 256))
+
+
+def _document(key: str) -> Column:
+    """One name for each document: its key, or its text where the key is null."""
+    text = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return F.coalesce(F.col(key).cast("long").cast("string"), F.concat(F.lit(":"), text))
+
+
+def _number(name: str) -> Column:
+    """The id at the front of a name, null where it has none."""
+    return F.expr(f"cast(nullif(substring_index({name}, ':', 1), '') as long)")
+
+
 def item_shingles(items: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """item_id, n (distinct shingles), hash, shingle, and whether it belongs to the sketch."""
+    """item (see ``_item``), n (distinct shingles), hash, shingle, and whether it belongs to the sketch."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, buf, offs in pieces(batches):
@@ -71,12 +87,11 @@ def item_shingles(items: DataFrame, size: int = SHINGLE, percent: int = PERCENT)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(doc)), pa.array(n[doc]), pa.array(hashes.view(np.int64)),
                  pa.array(_spelled(buf, begin, end), pa.string()), pa.array(rank <= may_miss)],
-                names=["item_id", "n", "hash", "shingle", "in_sketch"])
+                names=["item", "n", "hash", "shingle", "in_sketch"])
 
-    rows = items.where(F.col("item_id").isNotNull()).select(
-        F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    # an item is one row: equal ids with several texts are items side by side
-    return rows.distinct().mapInArrow(emit, "item_id long, n long, hash long, shingle string, in_sketch boolean")
+    text = F.coalesce("text", F.lit(""))
+    rows = items.select(_item(F.col("item_id").cast("long"), text).alias("item"), text.alias("text"))
+    return rows.distinct().mapInArrow(emit, "item string, n long, hash long, shingle string, in_sketch boolean")
 
 
 def shingle_filter(shingles: DataFrame) -> np.ndarray:
@@ -98,10 +113,20 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = SHINGLE, perc
     """doc_id, item_id, n_item (shingles of the item), n_shared, containment: one row for
     each item whose shingles lie in a document to ``percent`` or more.
 
-    Null keys and items without words are in no pair; null texts are empty; rows that
-    repeat a key count as one document (their shingles together), rows that repeat an
-    item as one item; an item of fewer than ``size`` words is one shingle and is found
-    only in a document of just those words.  Empty tables give an empty result."""
+    An item is an (item_id, text): rows that repeat both are one, equal ids (null ones too)
+    with several texts are items of their own, with a row each.  Items without words are in no pair.
+    Rows that repeat a document key count as one document (their shingles together); rows
+    without a key are documents by their text and have a null doc_id.  Null texts are empty; an
+    item of fewer than ``size`` words is one shingle and is found only in a document of
+    just those words.  Empty tables give an empty result."""
+    found = _contained(docs, items, size, percent, key)
+    return found.select(_number("document").alias("doc_id"), _number("item").alias("item_id"), "n_item", "n_shared",
+                        (F.col("n_shared") / F.col("n_item")).alias("containment"))
+
+
+def _contained(docs: DataFrame, items: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
+               key: str = "doc_id") -> DataFrame:
+    """document, item (names), n_item, n_shared of the pairs that reach ``percent``."""
     shingles = materialize(item_shingles(items, size, percent), "item-shingles")
     bits = docs.sparkSession.sparkContext.broadcast(np.packbits(shingle_filter(shingles)))
 
@@ -119,23 +144,26 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = SHINGLE, perc
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(doc[hit])), pa.array(hashes[hit].view(np.int64)),
                  pa.array(_spelled(buf, begin[hit], end[hit]), pa.string())],
-                names=["doc_id", "hash", "shingle"])
+                names=["document", "hash", "shingle"])
 
-    rows = docs.where(F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = rows.mapInArrow(emit, "doc_id long, hash long, shingle string")
+    rows = docs.select(_document(key).alias("document"), F.coalesce("text", F.lit("")).alias("text"))
+    found = rows.mapInArrow(emit, "document string, hash long, shingle string")
     # what passed the filter by chance goes; the rest is few rows per document
     found = materialize(found.join(shingles.select("hash").distinct(), "hash", "left_semi"), "item-hits")
 
-    candidates = found.join(shingles.where("in_sketch").select("item_id", "hash"), "hash").select("doc_id", "item_id").distinct()
-    exact = found.select("doc_id", "shingle").distinct().join(
-        shingles.select("item_id", "n", "shingle").distinct(), "shingle").join(candidates, ["doc_id", "item_id"])
-    exact = exact.groupBy("doc_id", "item_id").agg(F.max("n").alias("n_item"), F.countDistinct("shingle").alias("n_shared"))
-    return exact.where(F.col("n_shared") * 100 >= F.col("n_item") * percent).withColumn(
-        "containment", F.col("n_shared") / F.col("n_item"))
-
-
-def drop_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that contain an item; rows with a null key stay."""
-    hit = contained_items(docs, items, **options).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    candidates = found.join(shingles.where("in_sketch").select("item", "hash"), "hash").select("document", "item").distinct()
+    exact = found.select("document", "shingle").distinct().join(
+        shingles.select("item", "n", "shingle").distinct(), "shingle").join(candidates, ["document", "item"])
+    exact = exact.groupBy("document", "item").agg(F.max("n").alias("n_item"), F.countDistinct("shingle").alias("n_shared"))
+    return exact.where(F.col("n_shared") * 100 >= F.col("n_item") * percent)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
+                      key: str = "doc_id") -> DataFrame:
+    """``docs`` without the documents that contain an item; all rows of such a key go, and
+    rows without a key go by their own text."""
+    hit = _contained(docs, items, size, percent, key).select(F.col("document").alias("_hit")).distinct()
+    name = _document(key)
+    # names of the documents' own columns cannot clash with a packed row
+    packed = docs.select(name.alias("_hit"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    return packed.join(hit, "_hit", "left_anti").select("_row.*")
