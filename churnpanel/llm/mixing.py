@@ -119,12 +119,18 @@ def mix_sources(
     A row is returned once per epoch it is selected in.  Null level values form a node
     of their own; a null token count counts as 0; rows with the same key and leaf share a
     place, so the prefix takes or leaves them together; an empty table gives an
-    empty result.  ``docs`` must have no columns called epoch or beginning with ``_``."""
-    docs = docs.withColumn(tokens, F.coalesce(tokens, F.lit(0)).cast("long"))
+    empty result.  Columns of ``docs`` may have any names; one called epoch is replaced."""
+    docs = docs.withColumn(tokens, F.coalesce(F.col(f"`{tokens}`"), F.lit(0)).cast("long"))
+    names = [c for c in docs.columns if c != "epoch"]
+    # rows travel packed, so that no name of theirs meets one of these
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row"), F.col(f"`{key}`").alias("_key"),
+                         F.col(f"`{tokens}`").alias("_tokens"), *[F.col(f"`{c}`").alias(f"l{k}") for k, c in enumerate(levels)])
     # token counts are taken once; texts stay where they are until the last join
-    keys = list(dict.fromkeys([*levels, key, tokens]))
-    small = materialize(docs.select(*keys), "mixing")
-    docs = small.select(*docs.columns) if set(docs.columns) == set(keys) else docs
+    bare = set(names) <= {*levels, key, tokens}
+    columns = [*(["_row"] if bare else []), "_key", "_tokens", *[f"l{k}" for k in range(len(levels))]]
+    small = materialize(packed.select(*columns), "mixing")
+    docs = small if bare else packed
+    levels, tokens, key = [f"l{k}" for k in range(len(levels))], "_tokens", "_key"
     leaves = leaf_budgets(small, levels, tokens, total, weights, epochs)
     plan = leaves.select(
         *[F.col(c).alias(f"_{c}") for c in levels],
@@ -164,4 +170,4 @@ def mix_sources(
     partial = (F.col("_rest") > 0) & (F.col("_stop").isNull() | (place(seed, last, F.col(key)) < F.col("_stop")))
     copies = F.col("_full") + F.when(partial, 1).otherwise(0)
     out = out.where(copies > 0).withColumn("epoch", F.explode(F.sequence(F.lit(1), copies)))
-    return out.drop(*leaf, "_full", "_rest", "_stop")
+    return out.select("_row.*", "epoch")

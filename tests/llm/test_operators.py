@@ -286,7 +286,7 @@ def test_containment(spark, docs, rows, empty):
     for key, text in texts_of(rows):
         shingles = lambda t: (lambda w: {tuple(w[k: k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set())(
             re.findall(WORD, t.translate({c: c + 32 for c in range(65, 91)})))
-        for i in items.where("item_id is not null").distinct().collect():
+        for i in items.distinct().collect():
             s = shingles(i.text or "")
             if s and 100 * len(s & shingles(text)) >= 80 * len(s):
                 want[key, i.item_id] = (len(s), len(s & shingles(text)))
@@ -295,6 +295,19 @@ def test_containment(spark, docs, rows, empty):
     assert contained_items(empty, items).count() == 0 and contained_items(docs, items.limit(0)).count() == 0
 
 
+def test_containment_without_keys(spark):
+    """Items of one id are judged by their own sizes; rows without a key by their own text."""
+    short, long, other = prose(3, 20), prose(4, 90), prose(5, 30)
+    items = spark.createDataFrame([(1, short), (1, long), (None, other)], "item_id long, text string")
+    rows = [(1, f"{prose(6, 40)} {short}"), (2, long), (None, f"{other} {prose(7, 40)}"), (None, prose(8, 40)), (None, None), (4, other)]
+    df = spark.createDataFrame([(k, t, "a", "b") for k, t in rows], "doc_id long, text string, _hit string, document string")
+    got = sorted(((r.doc_id, r.item_id, r.n_item) for r in contained_items(df, items).collect()), key=str)
+    assert got == sorted([(1, 1, 16), (2, 1, 86), (None, None, 26), (4, None, 26)], key=str)
+    left = drop_contaminated(df, items)
+    assert left.columns == df.columns
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(None, prose(8, 40), "a", "b"), (None, None, "a", "b")], key=str)
+
+
 # --- 5: line templates
 
 def test_line_templates(spark, empty):
@@ -359,6 +372,18 @@ def test_mixing_prefixes(spark):
     assert mix_sources(df.limit(0), ["d", "s"], "n", 10).count() == 0
 
 
+def test_mixing_with_clashing_names(spark):
+    rows = [(i, "ab"[i % 2], i % 9 + 1, i, "t", -1) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, d string, n long, _full long, `_stop` string, epoch int")
+    got = mix_sources(df, ["d"], "n", 150, epochs=2, seed=4)
+    assert got.columns == ["doc_id", "d", "n", "_full", "_stop", "epoch"]
+    plain = mix_sources(df.select("doc_id", "d", "n"), ["d"], "n", 150, epochs=2, seed=4)
+    assert sorted((r.doc_id, r.epoch) for r in got.collect()) == sorted((r.doc_id, r.epoch) for r in plain.collect())
+    assert all(r._full == r.doc_id and r._stop == "t" and r.epoch == 1 for r in got.collect())
+    named = mix_sources(df.withColumnsRenamed({"d": "capacity", "n": "budget"}), ["capacity"], "budget", 150, epochs=2, seed=4)
+    assert sorted((r.doc_id, r.epoch) for r in named.collect()) == sorted((r.doc_id, r.epoch) for r in plain.collect())
+
+
 # --- 8: quality
 
 def test_quality(docs, rows, empty):
