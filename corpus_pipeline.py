@@ -41,10 +41,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One epoch at most, so no document is repeated."""
-    tree = with_domain(docs).withColumnRenamed("domain", "_domain").withColumn("_tokens", word_count("text"))
-    mixed = mix_sources(tree, ["_domain", "lang", "source"], "_tokens", F.floor(F.col("all_tokens") * MIX_SHARE),
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    tree = with_domain(docs.select("doc_id", "lang", "source", word_count("text").alias("tokens"), row))
+    mixed = mix_sources(tree, ["domain", "lang", "source"], "tokens", F.floor(F.col("all_tokens") * MIX_SHARE),
                         WEIGHTS, epochs=1, seed=17)
-    return mixed.select(*docs.columns)
+    return mixed.select("row.*")
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
