@@ -12,7 +12,7 @@ from churnpanel.functions.scale import materialize, stage_path
 from churnpanel.operators import (
     activity, cohorts, combat, correlation, evaluate, graph, models, neighbours, panel,
     payment, pledge, preparation, profile, routing, scaling, sequence,
-    trade,
+    support, trade,
 )
 from churnpanel.plans.build_panel import filled_panel, imputed_panel, joined_panel
 from churnpanel.plans.contract import shape_frame
@@ -794,6 +794,13 @@ def poly_spend(i):
     return models.predict(fitted, rows, "amount_spent")
 
 
+@query
+def poly_svr(i):
+    """Support vector regression on the monomials of all account features."""
+    rows, cols = _model_rows(i)
+    return support.fit_poly_svr(_train(rows), cols).predict(rows, "amount_spent")
+
+
 def _sequence_rows(i: Inputs) -> DataFrame:
     """Flattened, scaled 28-step sequences of all panel columns but the day's spend, with labels."""
     cols = SEQUENCE

@@ -174,6 +174,7 @@ SPECS: dict[str, str] = {
     "rf_grid": "l acc_id; d sur_group",
     "svm_linear": "l acc_id; d amo_group",
     "poly_spend": "l acc_id; d amount_spent",
+    "poly_svr": "l acc_id; d amount_spent",
     "gbt_survival": "l acc_id; d survival_time",
     "group_classifier": "l acc_id; d sur_group amo_group",
     "pca_codes": "l acc_id; " + _d(*[f"code_{n}" for n in range(20)]),
