@@ -519,6 +519,7 @@ Q["point_lookup"] = f"select * from fx_combat where acc_id = {LOOKUP_ACCOUNT}"
 _chars = """(select acc_id, char_id from fx_combat union all select acc_id, char_id from fx_pledge
   union all select acc_id, char_id from fx_activity)"""
 Q["char_count"] = f"select acc_id, count(distinct char_id) as char_count from {_chars} group by acc_id"
+Q["char_count_sketch"] = Q["char_count"]
 Q["char_rows"] = f"select char_id, count(*) as n_rows from {_chars} group by char_id"
 Q["char_totals"] = f"""
   select count(distinct acc_id) as n_accounts, count(distinct char_id) as n_chars from {_chars}"""

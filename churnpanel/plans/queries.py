@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from churnpanel.functions.exprs import evening_flag, time_bin
 from churnpanel.functions.scale import materialize, stage_path
 from churnpanel.operators import (
-    activity, cohorts, combat, correlation, evaluate, graph, models, neighbours, panel,
+    activity, cohorts, combat, correlation, distinct, evaluate, graph, models, neighbours, panel,
     payment, pledge, preparation, profile, routing, scaling, sequence,
     support, trade,
 )
@@ -469,6 +469,13 @@ def char_count(i):
     return profile.char_count(i.combat, i.pledge, i.activity)
 
 
+@query
+def char_count_sketch(i):
+    """The same counts from stored sketches by day."""
+    days = distinct.daily_sketches(i.combat, i.pledge, i.activity)
+    return distinct.merged_counts(distinct.read_days(i.spark, distinct.write_days(days, stage_path(i.spark, "sketches"))))
+
+
 @query
 def char_rows(i):
     return profile.char_rows(i.combat, i.pledge, i.activity)

@@ -130,6 +130,7 @@ SPECS: dict[str, str] = {
     "labelled_only": "l day type source_acc_id target_acc_id; s time item_type; d item_amount item_price",
     "point_lookup": "l day acc_id char_id class level row_seq; s server",
     "char_count": "l acc_id char_count",
+    "char_count_sketch": "l acc_id char_count",
     "char_rows": "l char_id n_rows",
     "char_totals": "l n_accounts n_chars",
     "server_list": "s server",
