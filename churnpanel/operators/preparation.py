@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -29,20 +30,24 @@ class _Preparation(HasInputCols, HasLabelCol, HasOutputCol):
     scale = Param(Params._dummy(), "scale", "minmax: to [0, 1]; standard: to mean 0 and deviation 1",
                   TypeConverters.toString)
     keyCol = Param(Params._dummy(), "keyCol", "column that names an account", TypeConverters.toString)
+    allowNone = Param(Params._dummy(), "allowNone", "whether a preparation that keeps no column is a result, not an error",
+                      TypeConverters.toBoolean)
 
     def __init__(self):
         super().__init__()
-        self._setDefault(minimum=0.0, scale="minmax", keyCol="acc_id", outputCol="features", labelCol="label")
+        self._setDefault(minimum=0.0, scale="minmax", keyCol="acc_id", outputCol="features", labelCol="label", allowNone=False)
 
 
 class FeaturePreparation(Estimator, _Preparation, DefaultParamsReadable, DefaultParamsWritable):
     """Estimator.  Missing values count as 0, the panel's own fill.
 
     Two aggregations over the training rows: rank correlations (only if ``minimum`` > 0) and
-    the ranges.  A column whose correlation is undefined (it is constant) counts as 0."""
+    the ranges.  A column whose correlation is undefined (it is constant) counts as 0.  If no
+    column reaches ``minimum``, fitting fails, or with ``allowNone`` keeps none."""
 
     @keyword_only
-    def __init__(self, *, inputCols=None, labelCol=None, outputCol=None, minimum=None, scale=None, keyCol=None):
+    def __init__(self, *, inputCols=None, labelCol=None, outputCol=None, minimum=None, scale=None, keyCol=None,
+                 allowNone=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
         if self.getOrDefault(self.scale) not in SCALES:
@@ -60,11 +65,11 @@ class FeaturePreparation(Estimator, _Preparation, DefaultParamsReadable, Default
             rho = {r.feature: r.rho or 0.0 for r in corr_spearman(known, columns, ["_label"]).collect()}
             strengths = [round(rho.get(c, 0.0), 9) for c in columns]
             kept = [c for c, r in zip(columns, strengths) if abs(r) >= least]
-            if not kept:
+            if not kept and not self.getOrDefault(self.allowNone):
                 raise ValueError(f"no column is correlated with {label} by {least} or more")
-        one = rows.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(kept) for n, f in (
+        one = rows.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{n}{i}") for i, c in enumerate(kept) for n, f in (
             ("lo", F.min), ("hi", F.max), ("mean", F.avg), ("std", F.stddev_pop))]).first()
-        if one["lo0"] is None:
+        if not one["n"]:
             raise ValueError("no rows to fit on")
         model = FeaturePreparationModel()
         self._copyValues(model)
@@ -99,6 +104,8 @@ class FeaturePreparationModel(Model, _Preparation, DefaultParamsReadable, Defaul
         else:
             scaled = {c: f"coalesce((`{c}` - {mean!r}D) / nullif({std!r}D, 0D), 0D)" for c, _, _, mean, std in constants}
         rows = rows.selectExpr(*[f"{scaled[c]} as `{c}`" if c in scaled else f"`{c}`" for c in rows.columns])
+        if not kept:
+            return rows.withColumn(out, array_to_vector(F.array().cast("array<double>")))
         return VectorAssembler(inputCols=kept, outputCol=out, handleInvalid="error").transform(rows)
 
     def table(self, spark: SparkSession) -> DataFrame:

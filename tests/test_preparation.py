@@ -15,6 +15,7 @@ from churnpanel.functions.scale import materialize, stage_path
 from churnpanel.operators.panel import account_squeeze
 from churnpanel.operators.preparation import FeaturePreparation, FeaturePreparationModel
 from churnpanel.plans.build_panel import imputed_panel
+from churnpanel.plans.specs import IMPUTED
 from churnpanel.plans.train_predict import fit_saved_forests, predict_and_score, predict_saved
 from churnpanel.schema import RAW_TABLES
 from churnpanel.sources import tables
@@ -74,6 +75,32 @@ def test_refuses_what_it_cannot_learn(accounts):
         FeaturePreparation(inputCols=["flat"], scale="other")
 
 
+def test_no_correlated_column_is_a_result_where_allowed(spark, accounts):
+    model = fitted(accounts.withColumn("label", F.lit(1.0)), minimum=0.5, allowNone=True)
+    path = stage_path(spark, "none-kept")
+    model.write().save(path)
+    model = FeaturePreparationModel.load(path)
+    assert model.columns() == []
+    table = model.table(spark).collect()
+    assert len(table) == 4 and all(r.kept == 0 and r.low is None for r in table)
+    rows = model.transform(accounts).collect()
+    assert len(rows) == 200 and all(len(r.features) == 0 for r in rows) and "good" not in rows[0]
+    with pytest.raises(ValueError, match="no rows"):
+        fitted(accounts.limit(0), minimum=0.5, allowNone=True)
+
+
+def test_prepared_queries_keep_nothing(spark, monkeypatch):
+    """Many accounts whose labels do not depend on the panel: no column reaches the limit."""
+    from churnpanel.plans import queries
+
+    monkeypatch.setattr(queries, "PREPARED_MIN_CORR", 1.0)
+    found = queries.registry()
+    ranges = found["prepared_ranges"](spark, "/root/testdata/sf0.001").collect()
+    assert len(ranges) == len(IMPUTED) - 1 and all(r.kept == 0 and r.rho is not None for r in ranges)
+    features = found["prepared_features"](spark, "/root/testdata/sf0.001")
+    assert features.columns == ["acc_id", "feature", "value"] and features.count() == 0
+
+
 def test_stored_pipeline_in_a_new_session(spark, accounts):
     """Another process, with no training row at hand, predicts the same."""
     line = Pipeline(stages=[FeaturePreparation(inputCols=["good", "noise", "falls"], labelCol="label", minimum=0.5),
