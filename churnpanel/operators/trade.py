@@ -120,6 +120,22 @@ def trade_item_pivot(ledger: DataFrame, items: list[str] = ITEM_TYPES) -> DataFr
     )
 
 
+def _narrow(ledger: DataFrame, base: DataFrame, by: list[str], values: list[str]) -> DataFrame:
+    """Ledger rows of the base accounts, summed by day, side and ``by``, with their number ``n``.
+
+    Wide daily tables are built from these: a partial row of theirs is far larger than the few
+    ledger rows of an account's day, which would be shuffled and spilled in that form.  However
+    many trades an account has, its rows are bounded by the calendar and the combinations of
+    ``by``, so dealing them by key is safe and the wide rows are made in place."""
+    sums = ledger.groupBy(*KEYS, "side", *by).agg(*[F.sum(c).alias(c) for c in values], F.count(F.lit(1)).alias("n"))
+    return _base_only(sums, base).repartition(*KEYS)
+
+
+def _count_if(cond: str) -> Column:
+    """``count_if`` over the rows that ``_narrow`` has counted."""
+    return F.expr(f"coalesce(sum(case when {cond} then n end), 0L)")
+
+
 def _base_only(daily: DataFrame, base: DataFrame) -> DataFrame:
     """Restrict to base accounts after aggregation: a calendar of rows per account."""
     return daily.join(base.select("acc_id").distinct(), "acc_id", "left_semi")
@@ -162,6 +178,7 @@ def trade_daily_v1(
         time_bins(trade_gross(trade, money, items), 24), money, swap_money=False,
         carry=("type", "item_type", "item_amount", "item_price", "total_item_price", "time_bin"),
     )
+    rows = _narrow(ledger, base, ["type", "item_type", "time_bin"], ["item_amount", "item_price", "total_item_price"])
     names = [t.lower() for t in items]
     aggs: list[Column] = []
     for s in SIDES:
@@ -169,12 +186,12 @@ def trade_daily_v1(
                  sum_if(_on(s), "item_price").alias(f"{s}_item_price"),
                  sum_if(_on(s), "total_item_price").alias(f"total_{s}_item_price")]
         aggs += _item_columns(s, items, "total_item_price")
-        aggs += [count_if(f"{_on(s)} and item_type = '{t}'").alias(f"{s}_item_type_{i}")
+        aggs += [_count_if(f"{_on(s)} and item_type = '{t}'").alias(f"{s}_item_type_{i}")
                  for i, t in enumerate(items)]
-        aggs += [count_if(f"{_on(s)} and time_bin = {b}").alias(f"{s}_time_bin_{b}")
+        aggs += [_count_if(f"{_on(s)} and time_bin = {b}").alias(f"{s}_time_bin_{b}")
                  for b in range(24)]
-        aggs += [count_if(f"{_on(s)} and type = {v}").alias(f"{s}_type_{v}") for v in (0, 1)]
-    daily = _base_only(ledger.groupBy(*KEYS).agg(*aggs), base)
+        aggs += [_count_if(f"{_on(s)} and type = {v}").alias(f"{s}_type_{v}") for v in (0, 1)]
+    daily = rows.groupBy(*KEYS).agg(*aggs)
 
     def net(name: str) -> str:
         first, second = ("sell", "get") if sign == "sell_minus_get" else ("get", "sell")

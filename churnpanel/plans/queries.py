@@ -48,8 +48,14 @@ def query(fn):
     return fn
 
 
+def _trades(i: Inputs) -> DataFrame:
+    """The trades as a written stage: the three tables they come from are joined once, although
+    global values (least amount, mean or median price) are read before the rows."""
+    return materialize(i.trade.drop("source_char_id", "target_char_id"), "trades")
+
+
 def _raw(i: Inputs) -> dict[str, DataFrame]:
-    return {name: i.table(f"fx_{name}") for name in RAW_TABLES}
+    return {name: i.table(f"fx_{name}") for name in RAW_TABLES if name != "trade"} | {"trade": _trades(i)}
 
 
 def _joined(i: Inputs, **options) -> DataFrame:
@@ -234,22 +240,22 @@ def trade_item_pivot(i):
 
 @query
 def trade_daily(i):
-    return trade.trade_daily(i.trade, _base(i), MONEY)
+    return trade.trade_daily(_trades(i), _base(i), MONEY)
 
 
 @query
 def trade_daily_v1(i):
-    return trade.trade_daily_v1(i.trade, _base(i), MONEY, ITEMS)
+    return trade.trade_daily_v1(_trades(i), _base(i), MONEY, ITEMS)
 
 
 @query
 def trade_daily_v0(i):
-    return trade.trade_daily_v0(i.trade, _base(i))
+    return trade.trade_daily_v0(_trades(i), _base(i))
 
 
 @query
 def trade_type_mean(i):
-    return trade.trade_type_mean(i.trade)
+    return trade.trade_type_mean(_trades(i))
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from churnpanel.functions.ranks import exact_median, exact_quantiles, value_ranks
 from churnpanel.functions.scale import hot_keys, materialize, salted_join, skew_join, with_scalars
 from churnpanel.operators import correlation, neighbours, panel, trade
+from churnpanel.plans import queries
 from churnpanel.plans.build_panel import filled_panel
 from churnpanel.schema import RAW_TABLES
 from churnpanel.sources.adapters import MONEY
@@ -256,3 +257,15 @@ def test_neighbour_bounds_hold():
     for c in range(9):
         if (own == c).any():
             assert (least[:, c] <= real[:, own == c].min(axis=1) + 1e-9).all()
+
+
+def test_wide_trade_rows_do_not_travel(spark, inputs):
+    """v1 builds its wide rows where the narrow sums of a day were dealt to."""
+    plan = queries.trade_daily_v1(inputs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [acc_id" in plan
+
+
+@pytest.mark.parametrize("name", ["trade_daily", "trade_daily_v1", "trade_daily_v0", "trade_type_mean", "panel_join"])
+def test_trades_are_joined_once(inputs, name):
+    """Global values and rows read a written stage, not the three tables again."""
+    assert not [f for f in queries.BUILDERS[name](inputs).inputFiles() if "lineitem" in f]
