@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from churnpanel.functions.scale import SALTS, hot_keys, materialize, salted_join
+from churnpanel.functions.scale import SALTS, hot_keys, materialize, salted_join, skew_join
 
 
 def trade_edges(trade: DataFrame) -> DataFrame:
@@ -76,14 +76,16 @@ def _spread(hot: list[int], account: str, by: Column) -> Column:
     return F.when(F.xxhash64(account).isin(*hot), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)
 
 
-def page_rank(trade: DataFrame, steps: int = 10, damping: float = 0.85, write_every: int = 5) -> DataFrame:
+def page_rank(trade: DataFrame, steps: int = 10, damping: float = 0.85, write_every: int = 5,
+              pairs: DataFrame | None = None) -> DataFrame:
     """(acc_id, pagerank) in the undirected trade graph, after ``steps`` rounds; ranks sum to 1.
 
     In each round an account hands its rank in equal shares to its partners.  The edges are
     written once with the share they carry; edges of a hub are spread over several tasks
     (only the hub's rank is copied for that), and what an account receives is summed on the
-    map side.  Ranks are written every few rounds, so that plans stay short."""
-    pairs = undirected_edges(trade)
+    map side.  Ranks are written every few rounds, so that plans stay short.  ``pairs`` are the
+    undirected edges where they are at hand."""
+    pairs = undirected_edges(trade) if pairs is None else pairs
     ways = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
         F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))).alias("w")).select("w.*")
@@ -108,30 +110,38 @@ def page_rank(trade: DataFrame, steps: int = 10, damping: float = 0.85, write_ev
     return ranks.select("acc_id", "pagerank")
 
 
-def triangles(trade: DataFrame) -> DataFrame:
+def triangles(trade: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """(acc_id, partners, triangles): pairs of an account's partners that trade with each other.
 
     Edges point from the account with fewer partners to the one with more (ties by id), so
-    no account has more than about sqrt(2 * edges) of them going out, hubs next to none;
-    two edges out of one account are closed by an edge or not.  Every triangle is found
-    once, at its least connected account."""
-    pairs = materialize(undirected_edges(trade), "pairs")
+    no account has more than about sqrt(2 * edges) of them going out, hubs next to none.  Each
+    edge u to x carries u's partners beyond x as one array, which is intersected with x's own
+    outgoing partners: every triangle is found once, and pairs of edges never become rows."""
+    pairs = materialize(undirected_edges(trade), "pairs") if pairs is None else pairs
     degree = pairs.select(F.explode(F.array("a", "b")).alias("acc_id")).groupBy("acc_id").agg(F.count(F.lit(1)).alias("partners"))
     known = degree.select(F.col("acc_id").alias("a"), F.col("partners").alias("na"))
     both = salted_join(salted_join(pairs, known, ["a"]), known.withColumnsRenamed({"a": "b", "na": "nb"}), ["b"], spread=["a"])
     first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     low, high = F.when(first, F.col("a")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("a"))
-    directed = materialize(both.select(low.alias("u"), high.alias("v")), "directed")
-    wedges = directed.withColumnRenamed("v", "x").join(directed.withColumnRenamed("v", "y"), "u").where("x < y")
-    closed = wedges.join(pairs.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"])
-    found = closed.select(F.explode(F.array("u", "x", "y")).alias("acc_id")).groupBy("acc_id").agg(F.count(F.lit(1)).alias("triangles"))
+    directed = both.select(low.alias("u"), F.struct(F.greatest("na", "nb").alias("n"), high.alias("v")).alias("to"))
+    ahead = directed.groupBy("u").agg(F.sort_array(F.collect_list("to")).alias("to")).select("u", F.col("to.v").alias("out"))
+    ahead = materialize(ahead, "directed")
+    sent = ahead.select("u", "out", F.posexplode("out").alias("i", "x")).where(F.col("i") + 1 < F.size("out")).select(
+        "u", "x", F.slice("out", F.col("i") + 2, F.size("out")).alias("rest"))
+    met = skew_join(sent, ahead.withColumnRenamed("u", "x"), ["x"], spread=["u"])
+    closed = met.select("u", "x", F.array_intersect("rest", "out").alias("y")).where(F.size("y") > 0)
+    n = F.size("y").cast("long")
+    ends = F.concat(F.array(F.struct(F.col("u").alias("acc_id"), n.alias("n")), F.struct(F.col("x").alias("acc_id"), n.alias("n"))),
+                    F.transform("y", lambda y: F.struct(y.alias("acc_id"), F.lit(1).cast("long").alias("n"))))
+    found = closed.select(F.explode(ends).alias("e")).select("e.*").groupBy("acc_id").agg(F.sum("n").alias("triangles"))
     return degree.join(found, "acc_id", "left").select("acc_id", "partners", F.coalesce("triangles", F.lit(0)).alias("triangles"))
 
 
 def network_measures(trade: DataFrame, steps: int = 10) -> DataFrame:
     """acc_id, partners, triangles, clustering (share of closed pairs of partners, 0 for
     fewer than two), pagerank of every account that traded with another."""
+    edges = materialize(undirected_edges(trade), "pairs")
     pairs = F.col("partners") * (F.col("partners") - 1) / 2
-    return triangles(trade).join(page_rank(trade, steps), "acc_id").select(
+    return triangles(trade, edges).join(page_rank(trade, steps, pairs=edges), "acc_id").select(
         "acc_id", "partners", "triangles",
         F.coalesce(F.col("triangles") / F.nullif(pairs, F.lit(0.0)), F.lit(0.0)).alias("clustering"), "pagerank")

@@ -45,6 +45,15 @@ def test_no_trades(spark):
     assert graph.network_measures(spark.createDataFrame([(1, 1)], TRADE), 3).count() == 0
 
 
+def test_pairs_of_edges_never_become_rows(spark):
+    """A complete graph: the plan intersects arrays, one row for each edge, and joins by one account."""
+    n = 12
+    rows = [(a, b) for a in range(n) for b in range(a)]
+    found = graph.triangles(spark.createDataFrame(rows, TRADE))
+    assert {(r.partners, r.triangles) for r in found.collect()} == {(n - 1, (n - 1) * (n - 2) // 2)}
+    assert "array_intersect" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_edges_leave_the_less_connected_account(spark):
     """A star with a closed rim: the centre has no edge going out, so no pairs are formed at it."""
     rim = 60
