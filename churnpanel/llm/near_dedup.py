@@ -10,7 +10,9 @@
    falls below the chosen miss probability; the survivors are verified on full sets.
 4. Confirmed links form components.  Classes of one band that are still in different
    components are compared too, so that no link between different texts depends on who
-   leads a band; pairs already in one component are never formed.
+   leads a band.  Such pairs never become rows: signatures tell which members have a partner
+   at all, and the full sets of those are streamed past each other; a task gives at most one
+   link for each component that it joins, and leaves out pairs that its links have joined.
 
 The work of step 4 shrinks with every link found: a large group of copies is one
 component after step 3 and forms no pairs at all."""
@@ -34,6 +36,8 @@ BANDS, ROWS = 32, 6
 BATCH, MISS = 32, 1e-5
 #: Strays of a band that meet its members at once.
 BLOCK = 1024
+#: Bits of the filter by which texts that are not in question stay out of a shuffle.
+FILTER_BITS = 24
 
 
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, size: int):
@@ -171,11 +175,8 @@ class NearDuplicates:
             F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts")
         ).where("parts > 1").select("band", "main")
         left = tagged.join(main, "band").withColumn("stray", F.col("component") != F.col("main"))
-        pairs = materialize(self._met_in_bands(left, reps), "near-met").distinct()
-        more = self._verified(pairs, reps)
         # new links join whole components, so only these meet again (ids of both kinds are least ids)
-        ends = more.join(component.withColumnsRenamed({"id": "a", "component": "ca"}), "a").join(
-            component.withColumnsRenamed({"id": "b", "component": "cb"}), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        ends = materialize(self._linked_in_bands(left, sets), "near-ends").distinct()
         joined = connected_components(component.select(F.col("component").alias("id")).distinct(), ends)
         component = component.withColumnRenamed("component", "before").join(
             joined.withColumnRenamed("id", "before"), "before").select("id", "component")
@@ -185,51 +186,125 @@ class NearDuplicates:
         return known.join(component.withColumnRenamed("id", "class_id"), "class_id", "left").select(
             "doc_id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
 
-    def _met_in_bands(self, rows: DataFrame, reps: DataFrame) -> DataFrame:
-        """Pairs of a band, in different components, that pass the sequential test.
+    def _linked_in_bands(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
+        """(a, b): components joined by a link between members of a band.
 
-        Strays are dealt into blocks of bounded size and each block meets a stream of the
-        band's members, so pairs that fail the test never become rows."""
+        Strays are dealt into blocks of bounded size and each block meets a stream of the band's
+        members: once by signatures, for the members that have a partner, then these by full sets.
+        A pair is compared in the first band it has in common."""
         limits, batch, percent = self.limits, self.batch, self.percent
         sizes = rows.where("stray").groupBy("band").agg(F.count(F.lit(1)).alias("strays"))
         parts = F.ceil(F.col("strays") / F.lit(BLOCK)).cast("int")
-        rows = rows.join(sizes.select("band", parts.alias("parts")), "band").join(reps, "id")
+        # 32 bits of each band tell the first common one (a chance of 2**-27 to take a wrong one)
+        short = F.transform("bands", lambda b: b.bitwiseAND(F.lit((1 << 32) - 1)))
+        known = sets.select("id", "n", "sig", F.unhex(F.array_join(F.transform(short, lambda b: F.lpad(F.hex(b), 8, "0")), "")).alias("bands"))
+        rows = rows.select("id", "band", "component", "stray").join(sizes.select("band", parts.alias("parts")), "band")
         own = rows.where("stray").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
         every = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("stray", F.lit(False))
-        columns = ["band", "part", "stray", "id", "component", "n", "sig"]
-        dealt = own.select(*columns).unionByName(every.select(*columns)).repartition("band", "part").sortWithinPartitions(
-            "band", "part", F.col("stray").desc(), "id")
+        place = ["band", "part", "stray", "id", "component"]
+        members = own.select(*place).unionByName(every.select(*place))
 
-        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def dealt(placed: DataFrame, *more: str) -> DataFrame:
+            return placed.select(*place, "n", "sig", "bands", *more).repartition("band", "part").sortWithinPartitions(
+                "band", "part", F.col("stray").desc(), "id")
+
+        def meet(batches: Iterator[pa.RecordBatch]):
+            """Each batch, and for every stretch of one block: the block and pairs (place in it, row)."""
             now, block = None, []
             for rows in batches:
                 if not rows.num_rows:
                     continue
                 band, part, stray, ids, comp, n = (rows.column(i).to_numpy(zero_copy_only=False) for i in range(6))
                 sig = np.frombuffer(b"".join(rows.column(6).to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+                near = np.frombuffer(b"".join(rows.column(7).to_pylist()), ">u4").reshape(rows.num_rows, -1)
+                full = rows.column(8).to_pylist() if rows.num_columns > 8 else None
                 cut = np.flatnonzero((band[1:] != band[:-1]) | (part[1:] != part[:-1])) + 1
-                found: list[tuple[int, int]] = []
                 for lo, hi in zip([0, *cut.tolist()], [*cut.tolist(), rows.num_rows]):
                     if now != (band[lo], part[lo]):
                         now, block = (band[lo], part[lo]), []
                     mid = lo + int(stray[lo:hi].sum())
-                    block += [(ids[i], comp[i], n[i], sig[i].copy()) for i in range(lo, mid)]
-                    members = np.arange(mid, hi)
-                    for i, c, size, s in block:
+                    block += [(ids[i], comp[i], n[i], sig[i].copy(), near[i].copy(), full and full[i]) for i in range(lo, mid)]
+                    here, members = int(band[lo]) & 0xFFFFFFFF, np.arange(mid, hi)
+                    pairs = []
+                    for i, (_, c, size, s, b, _) in enumerate(block):
                         # the smaller set bounds the similarity
                         small, large = np.minimum(n[members], size), np.maximum(n[members], size)
-                        near = members[(comp[members] != c) & (small * 100 >= large * percent)]
-                        if len(near):
-                            near = near[survives(sig[near], np.broadcast_to(s, (len(near), len(s))), limits, batch)]
-                            found += [(min(i, x), max(i, x)) for x in ids[near].tolist()]
+                        some = members[(comp[members] != c) & (small * 100 >= large * percent)]
+                        if len(some):
+                            some = some[b[(near[some] == b).argmax(1)] == here]
+                        if len(some):
+                            some = some[survives(sig[some], np.broadcast_to(s, (len(some), len(s))), limits, batch)]
+                        pairs.append((i, some))
+                    yield now, block, pairs, ids, comp, full
+
+        def question(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            before, told = None, set()
+            for now, block, pairs, ids, comp, _ in meet(batches):
+                if now != before:
+                    before, told = now, set()
+                out = [(True, block[i][0], block[i][1]) for i, some in pairs if len(some) and i not in told]
+                told.update(i for i, some in pairs if len(some))
+                out += [(False, ids[x], comp[x]) for x in np.unique(np.concatenate([some for _, some in pairs] or [np.zeros(0, np.int64)])).astype(int)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([now[0]] * len(out), pa.int64()), pa.array([now[1]] * len(out), pa.int32()), pa.array([o[0] for o in out], pa.bool_()),
+                     pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.int64())], names=place)
+
+        def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            before, root = None, {}
+
+            def top(c: int) -> int:
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+
+            for now, block, pairs, _, comp, full in meet(batches):
+                if now != before:
+                    before, root = now, {}
+                found = []
+                for i, some in pairs:
+                    own = np.frombuffer(block[i][5], np.uint64)
+                    for x in some.tolist():
+                        a, b = top(int(block[i][1])), top(int(comp[x]))
+                        if a == b:
+                            continue
+                        other = np.frombuffer(full[x], np.uint64)
+                        shared = len(np.intersect1d(own, other, assume_unique=True))
+                        if 100 * shared >= percent * (len(own) + len(other) - shared):
+                            found.append((a, b))
+                            root[max(a, b)] = min(a, b)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-        return dealt.mapInArrow(meet, "a long, b long")
+        asked = materialize(dealt(members.join(known, "id")).mapInArrow(
+            question, "band long, part int, stray boolean, id long, component long"), "near-asked")
+        full = self._full_sets(asked.select("id").distinct())
+        return dealt(asked.join(known, "id").join(full, "id"), "hashes").mapInArrow(link, "a long, b long")
+
+    def _full_sets(self, wanted: DataFrame) -> DataFrame:
+        """id, hashes: the sets of the wanted ids, made from their texts."""
+        size = self.shingle
+
+        def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, buf, offs in pieces(batches):
+                hashes, bounds = shingle_sets(buf, offs, size)
+                raw = hashes.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array([raw[8 * a: 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())],
+                    names=["id", "hashes"])
+
+        # a filter of fixed size (2**FILTER_BITS bits) keeps most other texts out of the shuffle
+        slot = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+        bits = wanted.select(F.bitmap_bucket_number(slot).alias("bucket"), F.bitmap_bit_position(slot).alias("bit")).groupBy(
+            "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+        docs = self.docs.withColumns({"bucket": F.bitmap_bucket_number(slot), "bit": F.bitmap_bit_position(slot)})
+        asked = docs.join(F.broadcast(bits), "bucket").where(
+            "getbit(cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int), cast(bit % 8 as int)) = 1")
+        texts = asked.select("id", "text").join(wanted.hint("merge"), "id", "left_semi")
+        return materialize(texts.mapInArrow(full, "id long, hashes binary"), "near-full-sets")
 
     def _verified(self, pairs: DataFrame, reps: DataFrame) -> DataFrame:
         """The pairs that survive the sequential test and whose full sets reach the threshold."""
-        limits, batch, percent, size = self.limits, self.batch, self.percent, self.shingle
+        limits, batch, percent = self.limits, self.batch, self.percent
         sig = reps.select("id", "sig", "n")
         both = pairs.join(sig.withColumnsRenamed({"id": "a", "sig": "sa", "n": "na"}), "a").join(
             sig.withColumnsRenamed({"id": "b", "sig": "sb", "n": "nb"}), "b")
@@ -247,18 +322,7 @@ class NearDuplicates:
         alive = materialize(both.select("a", "b", "sa", "sb").mapInArrow(test, "a long, b long"), "near-alive")
 
         # full sets are made from the texts of the documents that are still in question
-        wanted = alive.select(F.col("a").alias("id")).union(alive.select("b")).distinct()
-
-        def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part, buf, offs in pieces(batches):
-                hashes, bounds = shingle_sets(buf, offs, size)
-                raw = hashes.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([raw[8 * a: 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())],
-                    names=["id", "hashes"])
-
-        texts = self.docs.join(wanted, "id", "left_semi")
-        sets = materialize(texts.mapInArrow(full, "id long, hashes binary"), "near-full-sets")
+        sets = self._full_sets(alive.select(F.col("a").alias("id")).union(alive.select("b")).distinct())
         # A full set travels once per row: the first document of a pair leads a block of bounded
         # size, and the others of the block are streamed past it.
         parts = alive.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("parts"))
