@@ -269,3 +269,27 @@ def test_wide_trade_rows_do_not_travel(spark, inputs):
 def test_trades_are_joined_once(inputs, name):
     """Global values and rows read a written stage, not the three tables again."""
     assert not [f for f in queries.BUILDERS[name](inputs).inputFiles() if "lineitem" in f]
+
+
+def test_queries_travel_once_to_each_region(spark):
+    """Cells of one region are visited together, however many a query must see."""
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(size=(300, 16)), columns=[f"x{i}" for i in range(16)]).assign(acc_id=np.arange(300), label=0)
+    df, feats = spark.createDataFrame(pdf), [f"x{i}" for i in range(16)]
+    search = neighbours.cell_search(df, df, feats, "label", 5, cells=12)
+    visits = neighbours._nearest_in_cells(search, feats, "label", 5, True, 20_000)[1]
+    assert visits.count() <= 300
+    seen = neighbours.visited_cells(df, df, feats, "label", 5, cells=12).toPandas()
+    assert seen.n_visited.mean() > 6  # without clusters the radius reaches most cells
+
+
+@pytest.mark.parametrize("include_self", [True, False])
+def test_neighbours_far_from_the_origin(spark, include_self):
+    """Screened distances lose digits here; the neighbours do not change."""
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"acc_id": np.arange(120), "u": 1e7 + rng.integers(0, 9, 120) / 1e4, "v": rng.integers(0, 9, 120) / 1e4,
+                        "label": rng.integers(0, 3, 120)})
+    pdf.loc[:30, "u"] = -1e7
+    df = spark.createDataFrame(pdf)
+    got = neighbours.knn_vote(df, df, ["u", "v"], "label", 5, include_self, 30)
+    assert {r.acc_id: r.prediction for r in got.collect()} == brute(pdf, pdf, ["u", "v"], 5, include_self)
