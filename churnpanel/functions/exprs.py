@@ -77,6 +77,18 @@ def key_hash(key, seed: int = 0, modulus: int = 1000003) -> Column:
     return F.pmod(reduced * 7919 + seed, F.lit(modulus))
 
 
+def rounded(x: str, digits: int) -> str:
+    """``round(x, digits)`` of a double as SQL text, the same to the last bit.
+
+    Spark rounds by a decimal number made from the value's text.  Where the scaled value is
+    below 1e12 and not near the middle of two whole numbers, plain arithmetic finds the same
+    whole number; its quotient is the double nearest to the decimal.  Other values (near
+    ties, large ones, NaN, NULL) are left to ``round``.  A result of 0 may be -0."""
+    scaled = f"({x} * 1e{digits}D)"
+    return (f"if(abs({scaled}) < 1e12D and abs({scaled} - rint({scaled})) < 0.499D, "
+            f"rint({scaled}) / 1e{digits}D, round({x}, {digits}))")
+
+
 def unit_scale(x: str, lo: str, hi: str) -> str:
     """(x - lo) / (hi - lo) as SQL text; a constant column gives 0."""
     return f"coalesce(cast({x} - {lo} as double) / nullif(cast({hi} - {lo} as double), 0D), 0D)"

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from churnpanel.functions.exprs import rounded
+
 # Decimal places kept: general doubles, large sums of price ratios (whose sixth
 # decimal is at the edge of double precision), and small exact decimals.
 DIGITS = {"d": 6, "m": 3, "e": 10}
@@ -26,7 +28,7 @@ def shape_frame(df: DataFrame, spec: str) -> DataFrame:
     kinds = {
         "l": "cast({c} as bigint) as {c}",
         "s": "cast({c} as string) as {c}",
-        **{k: f"round(cast({{c}} as double), {n}) + 0D as {{c}}" for k, n in DIGITS.items()},
+        **{k: f"{rounded('cast({c} as double)', n)} + 0D as {{c}}" for k, n in DIGITS.items()},
     }
     return df.selectExpr(*[kinds[k].format(c=c) for c, k in columns(spec)])
 

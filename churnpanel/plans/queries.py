@@ -21,6 +21,7 @@ from churnpanel.plans.specs import (
 )
 from churnpanel.plans.train_predict import account_features
 from churnpanel.schema import RAW_TABLES, SPEND_MIN_CORR, SURVIVAL_MIN_CORR
+from churnpanel.session import prefer_compiled
 from churnpanel.sources import tables
 from churnpanel.sources.adapters import ITEMS, MONEY, Inputs
 
@@ -929,6 +930,7 @@ def nontemp_combat(i):
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def runner(name: str):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prefer_compiled(spark)
             return shape_frame(BUILDERS[name](Inputs(spark, sf_dir)), SPECS[name])
         return run
 

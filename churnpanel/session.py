@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+#: The JVM never compiles a method of more bytes than this.  Wide plans whose generated method is longer
+#: run as separate operators, whose code is cut into small methods; as one method it is interpreted.
+METHOD_BYTES = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -17,9 +21,16 @@ SETTINGS = {
     # call-site capture for every column expression is costly on wide plans
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
+    METHOD_BYTES[0]: METHOD_BYTES[1],
 }
 
 
+def prefer_compiled(spark: SparkSession) -> None:
+    """Set ``METHOD_BYTES`` in a session that was built elsewhere and does not set it."""
+    if spark.conf.get(METHOD_BYTES[0], None) is None:
+        spark.conf.set(*METHOD_BYTES)
+
+
 def build_session(master: str | None = None, app: str = "churnpanel", **extra) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -6,12 +6,14 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from churnpanel.functions.exprs import sum0, week_of
+from churnpanel.functions.exprs import rounded, sum0, week_of
 from churnpanel.operators import (
     activity, cohorts, combat, correlation, evaluate, graph, panel, payment, pledge, profile,
     scaling, sequence, trade,
 )
+from churnpanel.plans import queries
 from churnpanel.schema import ACTIVITY_MEASURES, COMBAT_MEASURES, PLEDGE_MEASURES
+from churnpanel.session import METHOD_BYTES
 
 TRADE = ("day int, time string, type int, server string, source_acc_id long, source_char_id long, "
          "target_acc_id long, target_char_id long, item_type string, item_amount double, item_price double")
@@ -286,3 +288,29 @@ def test_co_trade_needs_two_members(spark):
     ledger = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, 1)], "acc_id long, day int, time_bin int")
     got = {r.acc_id: r.co_trade for r in cohorts.pledge_co_trade(members, ledger).collect()}
     assert got == {1: 1, 2: 1, 3: 0}
+
+
+def test_rounded_equals_round(spark):
+    """Ties, values near them, large ones, NaN, infinities and NULL give what Spark's round gives."""
+    given = [0.0000005, 1.0000015, 2.5e-6, -2.5e-6, 1.0049999999999, 0.1 + 0.2, 1e300, float("nan"), float("inf"), None,
+             123456789.1234565, 9007199254740993.0, 8.6e9 + 0.3333333, -1e-9, 2.675, 1.005]
+    given += [k / 7919 * 10 ** (k % 13 - 4) * (-1) ** k for k in range(3000)] + [k / 2e6 for k in range(1, 2000, 2)]
+    rows = spark.createDataFrame([(v,) for v in given], "x double")
+    for n in (3, 6, 10):
+        both = rows.selectExpr(f"{rounded('x', n)} + 0D as mine", f"round(x, {n}) + 0D as theirs")
+        assert both.where("not (mine <=> theirs)").count() == 0
+
+
+def test_queries_keep_generated_methods_compiled(spark, sf_dir):
+    """Also in a session that was built elsewhere; a limit of the caller's own stays."""
+    key, n = METHOD_BYTES
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        queries.registry()["sliding7"](spark, sf_dir)
+        assert spark.conf.get(key) == n
+        spark.conf.set(key, "9000")
+        queries.registry()["label_totals"](spark, sf_dir)
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.set(key, before)
