@@ -12,7 +12,6 @@ memory; ``repeats`` bounds the shard."""
 
 from __future__ import annotations
 
-import heapq
 import tempfile
 from array import array
 from bisect import bisect_right
@@ -26,77 +25,91 @@ MEMORY, CAP = 1 << 18, 127
 
 class DiskQueue:
     """First-in-first-out entries (64-bit numbers), read forwards while it grows or, once
-    complete, backwards.  Full parts go to a temporary file of the task."""
+    complete, backwards, in lists.  Full parts go to a temporary file of the task."""
 
     __slots__ = ("tail", "memory", "file", "parts")
 
-    def __init__(self, memory: int):
-        self.tail: list[int] = []
-        self.memory, self.file, self.parts = memory, None, 0
+    def __init__(self, entries: list[int], memory: int):
+        self.memory, self.parts = memory, 0
+        self.file = tempfile.TemporaryFile()
+        self._spill(entries)
+
+    def __len__(self) -> int:
+        """Entries that are still to be moved to a file by the passes: none."""
+        return 0
+
+    def __bool__(self) -> bool:
+        return True
 
     def append(self, x: int) -> None:
         self.tail.append(x)
         if len(self.tail) >= self.memory:
-            self._spill()
+            self._spill(self.tail)
 
-    def _spill(self) -> None:
-        if self.file is None:
-            self.file = tempfile.TemporaryFile()
+    def _spill(self, entries: list[int]) -> None:
         self.file.seek(0, 2)
-        self.file.write(array("q", self.tail).tobytes())
+        self.file.write(array("q", entries).tobytes())
         self.parts += 1
         self.tail = []
 
-    def _part(self, i: int) -> array:
+    def _part(self, i: int) -> list[int]:
         self.file.seek(i * self.memory * 8)
-        out = array("q")
-        out.frombytes(self.file.read(self.memory * 8))
-        return out
+        return array("q", self.file.read(self.memory * 8)).tolist()
 
-    def __iter__(self) -> Iterator[int]:
-        part, at = 0, 0
-        while True:
+    def forwards(self, part: int) -> Iterator[list[int]]:
+        """Entries from a part on, each list with what has come since the one before."""
+        at = 0
+        while part < self.parts or at < len(self.tail):
             if part < self.parts:
-                values = self._part(part)
-                yield from values[at:]
-                part, at = part + 1, 0
-            elif at < len(self.tail):
-                tail = self.tail
-                while at < len(tail):
-                    at += 1
-                    yield tail[at - 1]
+                entries, part, at = self._part(part)[at:], part + 1, 0
             else:
-                return
+                entries, at = self.tail[at:], len(self.tail)
+            if entries:
+                yield entries
 
-    def __reversed__(self) -> Iterator[int]:
-        yield from reversed(self.tail)
+    def backwards(self) -> Iterator[list[int]]:
+        if self.tail:
+            yield self.tail[::-1]
         for i in range(self.parts - 1, -1, -1):
-            yield from reversed(self._part(i))
+            yield self._part(i)[::-1]
 
     def close(self) -> None:
-        if self.file is not None:
-            self.file.close()
-        self.tail, self.parts = [], 0
+        self.file.close()
+
+
+#: Queues of all symbols: lists, and those that have outgrown the memory.
+Queues = list[list[int] | DiskQueue]
+
 
+def forwards(queues: Queues, c: int) -> Iterator[list[int]]:
+    """The entries of a queue while they are served, which may add to it: a list grows in the hands of the reader."""
+    own = queues[c]
+    if type(own) is list and own:
+        yield own
+    if queues[c] is not own or type(own) is DiskQueue:
+        yield from queues[c].forwards(int(type(own) is list))
 
-class SymbolQueues:
-    """A queue per symbol, served in order of the symbols (``sign`` -1: falling)."""
 
-    def __init__(self, memory: int, sign: int = 1):
-        self.memory, self.sign = memory, sign
-        self.queues: dict[int, DiskQueue] = {}
-        self.heap: list[int] = []
+def backwards(queues: Queues, c: int) -> Iterator[list[int]]:
+    """The entries of a complete queue, the last first.  The queue is given up."""
+    own, queues[c] = queues[c], []
+    if type(own) is DiskQueue:
+        yield from own.backwards()
+        own.close()
+    elif own:
+        yield own[::-1]
 
-    def push(self, symbol: int, entry: int) -> None:
-        q = self.queues.get(symbol)
-        if q is None:
-            q = self.queues[symbol] = DiskQueue(self.memory)
-            heapq.heappush(self.heap, self.sign * symbol)
-        q.append(entry)
 
-    def symbols(self) -> Iterator[int]:
-        while self.heap:
-            yield self.sign * heapq.heappop(self.heap)
+def close(queues: Queues, c: int) -> None:
+    if type(queues[c]) is DiskQueue:
+        queues[c].close()
+    queues[c] = []
+
+
+def symbols_before(text: np.ndarray, small: np.ndarray) -> tuple[list[int], list[int]]:
+    """The symbol before each position where that one's type is L, and where it is S; else -1."""
+    symbol, rise = np.concatenate([[-1], text[:-1].astype(np.int64)]), np.concatenate([[False], small[:-1]])
+    return np.where(rise, -1, symbol).tolist(), np.where(rise, symbol, -1).tolist()
 
 
 def types(text: np.ndarray) -> np.ndarray:
@@ -133,73 +146,80 @@ def sort_seeds(text: np.ndarray, small: np.ndarray, memory: int) -> np.ndarray:
     return seeds[sort_suffixes(names, memory)]
 
 
+def _follow(entries: list[int], back: list[int], queues: Queues, memory: int) -> None:
+    """Serve suffixes: put those that start a symbol earlier into their queues."""
+    for p in entries:
+        d = back[p]
+        if d >= 0:
+            queue = queues[d]
+            queue.append(p - 1)
+            if len(queue) == memory:
+                queues[d] = DiskQueue(queue, memory)
+
+
 def sort_suffixes(text: np.ndarray, memory: int = MEMORY) -> np.ndarray:
     """Suffix array by induction (no common prefixes), for the recursive levels.
 
-    The last symbol must be smaller than all others."""
+    The last symbol must be smaller than all others, and none below 0."""
     n = len(text)
     if n == 1:
         return np.zeros(1, np.int64)
     small = types(text)
     seeds = sort_seeds(text, small, memory)
-    t = text.tolist()
-    at: dict[int, list[int]] = {}
-    for p in seeds.tolist():
-        at.setdefault(t[p], []).append(p)
-
-    large = SymbolQueues(memory)
-    for c in at:
-        large.queues[c] = DiskQueue(memory)
-        large.heap.append(c)
-    heapq.heapify(large.heap)
-    for c in large.symbols():
-        for p in large.queues[c]:
-            if p and t[p - 1] >= c:
-                large.push(t[p - 1], p - 1)
-        for p in at.get(c, ()):
-            large.push(t[p - 1], p - 1)
-
-    out: list[int] = []
-    rest = SymbolQueues(memory, -1)
-    for c in large.queues:
-        rest.queues[c] = DiskQueue(memory)
-        rest.heap.append(-c)
-    heapq.heapify(rest.heap)
-    for c in rest.symbols():
-        for p in rest.queues[c]:
-            out.append(p)
-            if p and t[p - 1] <= c:
-                rest.push(t[p - 1], p - 1)
-        if c in large.queues:
-            for p in reversed(large.queues[c]):
-                out.append(p)
-                if p and t[p - 1] < c:
-                    rest.push(t[p - 1], p - 1)
-            large.queues[c].close()
-        rest.queues[c].close()
+    back, back_small = symbols_before(text, small)
+    top = int(text.max()) + 1
+    upto = np.searchsorted(text[seeds], np.arange(top + 1)).tolist()  # seeds by first symbol
+    seeds = seeds.tolist()
+
+    large: Queues = [[] for _ in range(top)]
+    for c in range(top):
+        if large[c]:
+            for part in forwards(large, c):
+                _follow(part, back, large, memory)
+        if upto[c] < upto[c + 1]:
+            _follow(seeds[upto[c]:upto[c + 1]], back, large, memory)
+
+    out = array("q")
+    rest: Queues = [[] for _ in range(top)]
+    for c in range(top - 1, -1, -1):
+        if rest[c]:
+            for part in forwards(rest, c):
+                _follow(part, back_small, rest, memory)
+                out.extend(part)
+            close(rest, c)
+        if large[c]:
+            for part in backwards(large, c):
+                _follow(part, back_small, rest, memory)
+                out.extend(part)
     out.append(n - 1)
-    return np.array(out[::-1], np.int64)
-
-
-class _Least:
-    """Least value served since a given time (a rising stack of values)."""
-
-    __slots__ = ("times", "values", "now")
-
-    def __init__(self):
-        self.times, self.values, self.now = [], [], 0
-
-    def serve(self, value: int) -> None:
-        times, values = self.times, self.values
-        while values and values[-1] >= value:
-            values.pop()
-            times.pop()
-        self.now += 1
-        times.append(self.now)
-        values.append(value)
-
-    def since(self, time: int) -> int:
-        return self.values[bisect_right(self.times, time)]
+    return np.frombuffer(out, np.int64)[::-1]
+
+
+def _serve(entries: list[int], now: int, stack: list[int], last: list[int], back: list[int], queues: Queues,
+           memory: int) -> int:
+    """Serve entries (position * 256 + common prefix): put the suffixes that start a symbol earlier
+    into their queues, with their common prefix.  Returns the time, which goes up by 256 for each.
+
+    ``stack`` has time + common prefix + 1 of the entries served that no later one is below of, on top
+    of a 0: the least since a given time is the first one after it.  ``last`` has the time at which a
+    symbol's queue got its last entry, or 0."""
+    for entry in entries:
+        h = entry & 255
+        while stack[-1] & 255 > h:
+            stack.pop()
+        now += 256
+        stack.append(now + h + 1)
+        p = entry >> 8
+        d = back[p]
+        if d >= 0:
+            then = last[d]
+            last[d] = now
+            h = stack[bisect_right(stack, then + 255)] & 255 if then else 0
+            queue = queues[d]
+            queue.append(p - 1 << 8 | (h if h < CAP else CAP))
+            if len(queue) == memory:
+                queues[d] = DiskQueue(queue, memory)
+    return now
 
 
 def sorted_suffixes(text: np.ndarray, memory: int = MEMORY) -> Iterator[tuple[int, int]]:
@@ -207,16 +227,23 @@ def sorted_suffixes(text: np.ndarray, memory: int = MEMORY) -> Iterator[tuple[in
 
     The last symbol of ``text`` must be smaller than all others.  Common prefixes above
     ``CAP`` are given as ``CAP``."""
+    for part in sorted_entries(text, memory):
+        for entry in part:
+            yield entry >> 8, entry & 255
+
+
+def sorted_entries(text: np.ndarray, memory: int = MEMORY) -> Iterator[list[int]]:
+    """The same as entries (position * 256 + common prefix), a list at a time."""
     n = len(text)
     if n == 1:
-        yield 0, 0
+        yield [0]
         return
     small = types(text)
     seeds = sort_seeds(text, small, memory)
-    t, s = text.tolist(), small.tolist()
+    back, back_small = symbols_before(text, small)
     # length of the run of equal symbols from each position
     ends = np.append(np.flatnonzero(text[1:] != text[:-1]), n - 1)
-    run = np.minimum(ends[np.searchsorted(ends, np.arange(n))] - np.arange(n) + 1, CAP).tolist()
+    run = np.minimum(np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(n) + 1, CAP).tolist()
 
     common = np.zeros(len(seeds), np.int64)  # of neighbours among the seeds
     padded = np.concatenate([text, np.zeros(CAP, text.dtype)])
@@ -225,70 +252,45 @@ def sorted_suffixes(text: np.ndarray, memory: int = MEMORY) -> Iterator[tuple[in
         b = min(a + (1 << 14), len(seeds))
         differ = windows[seeds[a - 1: b - 1]] != windows[seeds[a:b]]
         common[a:b] = np.where(differ.any(1), differ.argmax(1), CAP)
-    at: dict[int, list[tuple[int, int]]] = {}
-    for p, h in zip(seeds.tolist(), common.tolist()):
-        at.setdefault(t[p], []).append((p, h))
-
-    large = SymbolQueues(memory)
-    for c in at:
-        large.queues[c] = DiskQueue(memory)
-        large.heap.append(c)
-    heapq.heapify(large.heap)
-    last: dict[int, int] = {}  # when a symbol's queue got its last entry
-    least = _Least()
-    for c in large.symbols():
+    top = int(text.max()) + 1
+    upto = np.searchsorted(text[seeds], np.arange(top + 1)).tolist()  # seeds by first symbol
+    seeds = (seeds << 8 | common).tolist()
+
+    large: Queues = [[] for _ in range(top)]
+    now, stack, last = 0, [0], [0] * top
+    for c in range(top):
         before = -1
-        for entry in large.queues[c]:
-            p = entry >> 8
-            least.serve(entry & 255 if before >= 0 else 0)
-            before = p
-            if p and (d := t[p - 1]) >= c:
-                h = min(least.since(last[d]) + 1, CAP) if d in last else 0
-                last[d] = least.now
-                large.push(d, (p - 1) << 8 | h)
-        first = True
-        for p, h in at.get(c, ()):
-            if first:
-                h = min(run[before], run[p]) if before >= 0 else 0
-                first = False
-            least.serve(h)
-            d = t[p - 1]
-            h = min(least.since(last[d]) + 1, CAP) if d in last else 0
-            last[d] = least.now
-            large.push(d, (p - 1) << 8 | h)
-
-    rest = SymbolQueues(memory, -1)
-    for c in large.queues:
-        rest.queues[c] = DiskQueue(memory)
-        rest.heap.append(-c)
-    heapq.heapify(rest.heap)
-    last, least = {}, _Least()
-
-    def follow(p: int, h: int) -> None:
-        least.serve(h)
-        if p and s[p - 1]:
-            d = t[p - 1]
-            g = min(least.since(last[d]) + 1, CAP) if d in last else 0
-            last[d] = least.now
-            rest.push(d, (p - 1) << 8 | g)
-
-    for c in rest.symbols():
+        for part in forwards(large, c):
+            if before < 0:
+                part[0] &= ~255
+            now = _serve(part, now, stack, last, back, large, memory)
+            before = part[-1] >> 8
+        part = seeds[upto[c]:upto[c + 1]]
+        if part:
+            p = part[0] >> 8
+            part[0] = p << 8 | (min(run[before], run[p]) if before >= 0 else 0)
+            now = _serve(part, now, stack, last, back, large, memory)
+
+    rest: Queues = [[] for _ in range(top)]
+    now, stack, last = 0, [0], [0] * top
+    for c in range(top - 1, -1, -1):
         before = -1
-        for entry in rest.queues[c]:
-            p, h = entry >> 8, entry & 255
-            h = h if before >= 0 else 0
-            yield p, h
-            follow(p, h)
-            before = p
-        if c in large.queues:
-            above = 0
-            for k, entry in enumerate(reversed(large.queues[c])):
-                p = entry >> 8
-                h = above if k else (min(run[before], run[p]) if before >= 0 else 0)
-                above = entry & 255
-                yield p, h
-                follow(p, h)
-                before = p
-            large.queues[c].close()
-        rest.queues[c].close()
-    yield n - 1, 0
+        for part in forwards(rest, c):
+            if before < 0:
+                part[0] &= ~255
+            now = _serve(part, now, stack, last, back_small, rest, memory)
+            yield part
+            before = part[-1] >> 8
+        close(rest, c)
+        above = -1
+        for part in backwards(large, c):
+            if above < 0:
+                p = part[0] >> 8
+                above = min(run[before], run[p]) if before >= 0 else 0
+            # read backwards, a common prefix belongs to the entry that follows
+            held = [above, *[entry & 255 for entry in part]]
+            above = held.pop()
+            part = [entry & ~255 | h for entry, h in zip(part, held)]
+            now = _serve(part, now, stack, last, back_small, rest, memory)
+            yield part
+    yield [n - 1 << 8]

@@ -24,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -237,7 +238,7 @@ def _shards(batches, size: int, unit: str):
 
 def _split(table: pa.Table, size: int, flush):
     cores = table.column(0).to_numpy()
-    length = np.array([0 if x is None else len(x) for x in table.column(4).to_pylist()], np.int64)
+    length = pc.fill_null(pc.binary_length(table.column(4)), 0).to_numpy().astype(np.int64)
     upto, at = np.cumsum(length), 0
     while at < len(cores):
         to = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size)) + 1

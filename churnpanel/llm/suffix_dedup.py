@@ -6,6 +6,7 @@ equal strings.  All but the first string of a class are removed."""
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnpanel.llm.induced_sort import sorted_suffixes
+from churnpanel.llm.induced_sort import sorted_entries
 from churnpanel.llm.keys import one_text_per_key
 from churnpanel.llm.repeats import RepeatedWindows, cover
 from churnpanel.llm.text import expand, pieces
@@ -25,35 +26,29 @@ def solve_shard(ids: np.ndarray, lo: np.ndarray, n: np.ndarray, bodies, length:
     """(row, window) of every window whose bytes also start earlier in the shard."""
     buf, offs = bodies
     # symbols: end 0, separator 1, bytes from 2
-    size = np.diff(offs)
-    text = np.ones(len(buf) + len(size) + 1, np.uint16)
-    begin = offs[:-1] + np.arange(len(size))
-    place = np.arange(len(buf)) + np.repeat(np.arange(len(size)), size)
+    count = np.diff(offs)
+    text = np.ones(len(buf) + len(count) + 1, np.uint16)
+    begin = offs[:-1] + np.arange(len(count))
+    place = np.arange(len(buf)) + np.repeat(np.arange(len(count)), count)
     text[place] = buf.astype(np.uint16) + 2
     text[-1] = 0
-    removed: list[int] = []
-    owner = np.repeat(np.arange(len(size) + 1), np.append(size + 1, 1)).tolist()
-    doc, first, start = ids.tolist(), lo.tolist(), begin.tolist()
-
-    def close(same: list[int]) -> None:
-        least = min(same, key=lambda p: (doc[owner[p]], first[owner[p]] + p - start[owner[p]]))
-        removed.extend(p for p in same if p != least)
-
     # a string that holds a separator is no window; equal strings agree in that
     window = np.zeros(len(text), bool)
     window[expand(begin, n.astype(np.int64))] = True
-    is_window = window.tolist()
-    same: list[int] = []
-    for p, common in sorted_suffixes(text):
-        if common >= length:
-            same.append(p)
-        else:
-            if len(same) > 1 and is_window[same[0]]:
-                close(same)
-            same = [p]
-    if len(same) > 1 and is_window[same[0]]:
-        close(same)
-    at = np.sort(np.array(removed, np.int64))
+    entries = array("q")
+    for part in sorted_entries(text):
+        entries.extend(part)
+    entries = np.frombuffer(entries, np.int64)
+    opens = np.flatnonzero((entries & 255) < length)  # the first of each class
+    size = np.diff(np.append(opens, len(entries)))
+    many = (size > 1) & window[entries[opens] >> 8]
+    where = entries[np.repeat(many, size)] >> 8
+    group = np.repeat(np.arange(many.sum()), size[many])
+    # the least by document and place of each class stays
+    row = np.searchsorted(begin, where, "right") - 1
+    order = np.lexsort((lo[row] + where - begin[row], ids[row], group))
+    again = group[order][1:] == group[order][:-1]
+    at = np.sort(where[order[1:][again]])
     row = np.searchsorted(begin, at, "right") - 1
     return row, at - begin[row]
 
