@@ -1,17 +1,19 @@
-"""Polynomial support vector regression on account features.
+"""Polynomial regression on account features: support vectors, and ridge.
 
 The loss of a row is 0 while its error stays within ``epsilon`` and grows linearly beyond
 (the corner is rounded over ``ROUNDING``, so that the loss has a gradient everywhere).  The model is
 linear in the monomials of the scaled columns up to ``degree``.  A step of the fit is one
 pass over the rows: each task adds up the loss and the gradient of its rows in blocks, and Spark
 adds the sums of the tasks.  Only vectors as long as the number of monomials, which the columns
-and the degree fix, reach the driver; rows never do."""
+and the degree fix, reach the driver; rows never do.
+
+The ridge on the same monomials is one pass: each task multiplies blocks of its rows into one matrix of
+products, the triangles of the tasks are added in pieces, and the sum is solved on the driver."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 from math import comb
 
 import numpy as np
@@ -29,15 +31,25 @@ ROUNDING = 0.05
 CELLS, MONOMIALS = 1 << 22, 1 << 17
 #: Steps of the fit that shape the next direction.
 MEMORY = 10
+#: Monomials of a ridge (their square is solved on the driver), and numbers in a piece of a triangle.
+RIDGE_MONOMIALS, PIECE = 1 << 12, 1 << 16
 
 
 def monomials(x: np.ndarray, degree: int) -> np.ndarray:
-    """All products of up to ``degree`` columns, a constant first."""
-    out = [np.ones((len(x), 1))]
-    for d in range(1, degree + 1):
-        picked = np.array(list(combinations_with_replacement(range(x.shape[1]), d)), dtype=np.int64)
-        out.append(np.prod(x[:, picked], axis=2) if len(picked) else np.empty((len(x), 0)))
-    return np.hstack(out)
+    """All products of up to ``degree`` columns, a constant first.
+
+    The products of one degree are those of the degree below, from a column on, times that column."""
+    width = x.shape[1]
+    out = np.ones((len(x), comb(width + degree, degree)))
+    begins, end = [0] * width, 1
+    for _ in range(degree):
+        at, begun = end, []
+        for i, begin in enumerate(begins):
+            begun.append(at)
+            np.multiply(out[:, begin:end], x[:, i:i + 1], out=out[:, at:at + end - begin])
+            at += end - begin
+        begins, end = begun, at
+    return out
 
 
 def insensitive_loss(error: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +70,7 @@ def _rows(batches: Iterator[pa.RecordBatch], width: int, size: int) -> Iterator[
 
 
 @dataclass
-class PolynomialSVR:
+class PolynomialModel:
     """A fitted model: scaling of columns and label, and one weight for each monomial."""
 
     columns: list[str]
@@ -124,7 +136,7 @@ def _minimise(value: Callable[[np.ndarray], tuple[float, np.ndarray]], start: np
 
 
 def fit_poly_svr(train: DataFrame, columns: list[str], label: str = "amount_spent", degree: int = 2, epsilon: float = 0.1,
-                 reg: float = 0.01, steps: int = 60, tolerance: float = 1e-5) -> PolynomialSVR:
+                 reg: float = 0.01, steps: int = 60, tolerance: float = 1e-5) -> PolynomialModel:
     """Minimise mean loss + ``reg`` / 2 * |weights|^2 (the constant is not penalised).
 
     ``epsilon`` is in standard deviations of the label.  Columns that are constant count as
@@ -139,7 +151,7 @@ def fit_poly_svr(train: DataFrame, columns: list[str], label: str = "amount_spen
     mean = np.array([one[f"m{i}"] or 0.0 for i in range(len(every))])
     spread = np.array([one[f"s{i}"] or 0.0 for i in range(len(every))])
     scale = np.where(spread > 1e-12, spread, 1.0)
-    model = PolynomialSVR(columns, degree, mean[:-1], scale[:-1], float(mean[-1]), float(scale[-1]), np.zeros(size))
+    model = PolynomialModel(columns, degree, mean[:-1], scale[:-1], float(mean[-1]), float(scale[-1]), np.zeros(size))
     if not one["n"]:
         return model
     y = (F.col(f"`{label}`") - F.lit(float(mean[-1]))) / F.lit(float(scale[-1]))
@@ -164,3 +176,49 @@ def fit_poly_svr(train: DataFrame, columns: list[str], label: str = "amount_spen
 
     model.weights = _minimise(value, model.weights, steps, tolerance)
     return model
+
+
+def fit_poly_ridge(train: DataFrame, columns: list[str], label: str, degree: int = 2, reg: float = 0.1) -> PolynomialModel:
+    """Least squares on the monomials of the columns as they are, with ``reg`` / 2 * |weights|^2 on the
+    scale where label and monomials have deviation 1 (as Spark's linear regression has it): exact, in one pass.
+
+    Monomials that are constant get no weight; rows without a label are left out."""
+    width, size = len(columns), comb(len(columns) + degree, degree)
+    if size > RIDGE_MONOMIALS:
+        raise ValueError(f"{size} monomials of {width} columns exceed {RIDGE_MONOMIALS}; lower the degree or select columns")
+    model = PolynomialModel(columns, degree, np.zeros(width), np.ones(width), 0.0, 1.0, np.zeros(size))
+    rows = train.where(F.col(f"`{label}`").isNotNull()).select(F.col(f"`{label}`").cast("double").alias("y"), model.scaled())
+    corner = np.triu_indices(size + 1)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((size + 1, size + 1))
+        for part, x in _rows(batches, width, size):
+            z = np.hstack([monomials(x, degree), part.column(0).to_numpy(zero_copy_only=False)[:, None]])
+            total += z.T @ z
+        flat = total[corner]
+        for at in range(0, len(flat), PIECE):
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([flat[at:at + PIECE]], pa.list_(pa.float64()))], names=["at", "total"])
+
+    # a task sends its whole triangle, so there are as many tasks as cores, whatever the number of rows
+    sums = rows.coalesce(train.sparkSession.sparkContext.defaultParallelism).mapInArrow(add, "at long, total array<double>")
+    pieces = sums.groupBy("at").agg(vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")).collect()
+    products = np.zeros((size + 1, size + 1))
+    products[corner] = np.concatenate([p.total for p in sorted(pieces)]) if pieces else 0.0
+    n = products[0, 0]
+    if not n:
+        return model
+    mean = products[0] / n
+    spread = products / n - np.outer(mean, mean)
+    spread = np.triu(spread) + np.triu(spread, 1).T
+    # a deviation below the rounding of the sums is none
+    deviation = np.sqrt(np.maximum(np.diag(spread), 0.0))
+    used = np.flatnonzero(deviation[:-1] > 1e-7 * np.abs(mean[:-1]))
+    used = used[used > 0]
+    weights = np.zeros(size)
+    if deviation[-1] > 1e-7 * abs(mean[-1]) and len(used):
+        own = deviation[used]
+        like = spread[np.ix_(used, used)] / np.outer(own, own) + np.eye(len(used)) * (reg / deviation[-1])
+        weights[used] = np.linalg.solve(like, spread[used, -1] / own) / own
+    weights[0] = mean[-1] - mean[1:-1] @ weights[1:]
+    model.weights = weights
+    return model
