@@ -62,16 +62,18 @@ def hot_keys(df: DataFrame, key: Column, share: int = SHARE) -> list[int]:
 def skew_join(
     big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
     spread: list[str] | None = None, salts: int = SALTS, share: int = SHARE,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """``salted_join`` that copies only what must be copied: the keys that are measured to
     hold one in ``share`` rows of ``big`` are spread over ``salts`` tasks and have their row
     of ``small`` copied; all other rows of either side are joined as they are.
 
-    ``big`` is read once more for the measurement, its key columns only."""
+    ``big`` is read once more for the measurement, its key columns only; where that means work, a
+    stored frame that holds all its rows can be given as ``measure``."""
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"skew_join does not support {how!r}")
     key = F.xxhash64(*on)
-    hot = hot_keys(big.select(*on).where(" and ".join(f"`{c}` is not null" for c in on)), key, share)
+    hot = hot_keys((big if measure is None else measure).select(*on).where(" and ".join(f"`{c}` is not null" for c in on)), key, share)
     if not hot:
         return big.join(small, on, how)
     spread = spread or [c for c in big.columns if c not in on]

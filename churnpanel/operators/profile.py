@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from churnpanel.functions.exprs import count_if, fixed_bin, sum_if
 from churnpanel.functions.ranks import exact_quantiles
-from churnpanel.functions.scale import skew_join, with_scalars
+from churnpanel.functions.scale import materialize, skew_join, with_scalars
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -22,11 +22,14 @@ def _rows(structs: list[Column]) -> Column:
 
 def labelled_only(trade: DataFrame, label: DataFrame) -> DataFrame:
     """Trades whose two sides both have a label.  Either side may be a hot account:
-    only accounts measured to be hot are spread, with their label."""
+    only accounts measured to be hot are spread, with their label.
+
+    The trades are stored once, as both sides are measured before the rows are joined."""
     known = label.select("acc_id")
+    kept = stored = materialize(trade, "trades")
     for side in ("source_acc_id", "target_acc_id"):
-        trade = skew_join(trade, known.withColumnRenamed("acc_id", side), [side], "left_semi")
-    return trade
+        kept = skew_join(kept, known.withColumnRenamed("acc_id", side), [side], "left_semi", measure=stored)
+    return kept
 
 
 def label_restricted(df: DataFrame, label: DataFrame) -> DataFrame:
