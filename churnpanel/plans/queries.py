@@ -88,6 +88,12 @@ def _ledger(i: Inputs) -> DataFrame:
     return trade.trade_ledger(trade.time_bins(_normal(i)), MONEY)
 
 
+def _priced_ledger(i: Inputs) -> DataFrame:
+    """The ledger for queries that read amounts and prices: their least values come before the rows."""
+    rows = materialize(i.trade.drop("server", "source_char_id", "target_char_id"), "trades")
+    return trade.trade_ledger(trade.time_bins(trade.trade_normalize(rows, MONEY)), MONEY)
+
+
 # --- sources and sinks -----------------------------------------------------
 
 @query
@@ -221,7 +227,7 @@ def trade_gross(i):
 
 @query
 def trade_ledger(i):
-    return _ledger(i)
+    return _priced_ledger(i)
 
 
 @query
@@ -236,7 +242,7 @@ def trade_counts_legacy(i):
 
 @query
 def trade_item_pivot(i):
-    return trade.trade_item_pivot(_ledger(i), ITEMS)
+    return trade.trade_item_pivot(_priced_ledger(i), ITEMS)
 
 
 @query
