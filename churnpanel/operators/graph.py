@@ -76,59 +76,73 @@ def _spread(hot: list[int], account: str, by: Column) -> Column:
     return F.when(F.xxhash64(account).isin(*hot), F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).otherwise(0)
 
 
-def page_rank(trade: DataFrame, steps: int = 10, damping: float = 0.85, write_every: int = 5,
-              pairs: DataFrame | None = None) -> DataFrame:
-    """(acc_id, pagerank) in the undirected trade graph, after ``steps`` rounds; ranks sum to 1.
-
-    In each round an account hands its rank in equal shares to its partners.  The edges are
-    written once with the share they carry; edges of a hub are spread over several tasks
-    (only the hub's rank is copied for that), and what an account receives is summed on the
-    map side.  Ranks are written every few rounds, so that plans stay short.  ``pairs`` are the
-    undirected edges where they are at hand."""
-    pairs = undirected_edges(trade) if pairs is None else pairs
+def neighbour_lists(pairs: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(src, _salt, near, partners): every account's partners in the undirected graph as an array, written
+    once, and the hashes of the hubs.  A hub has up to ``SALTS`` rows, each with a part of its partners."""
     ways = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("src"), F.col("b").alias("dst")),
         F.struct(F.col("b").alias("src"), F.col("a").alias("dst")))).alias("w")).select("w.*")
-    ways = materialize(ways, "edges")
     hot = hot_keys(ways, F.xxhash64("src"))
-    out = ways.groupBy("src").agg((1 / F.count(F.lit(1))).alias("share"))
-    edges = materialize(salted_join(ways, out, ["src"], spread=["dst"]).withColumn("_salt", _spread(hot, "src", F.col("dst"))), "shares")
-    accounts = out.select(F.col("src").alias("acc_id"))
-    count = accounts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    ranks = materialize(accounts.withColumn("pagerank", 1 / count).withColumn("rest", (1 - F.lit(damping)) / count), "ranks")
+    near = ways.groupBy("src", _spread(hot, "src", F.col("dst")).alias("_salt")).agg(F.collect_list("dst").alias("near"))
+    near = materialize(near, "near")
+    partners = near.groupBy("src").agg(F.sum(F.size("near")).alias("partners"))
+    # of a size with the accounts: never through the driver
+    return materialize(near.join(partners.hint("merge"), "src"), "neighbours"), hot
+
+
+def _copied(df: DataFrame, account: str, hot: list[int]) -> DataFrame:
+    """``df`` with ``_salt``: a row for each part of a hub, one for any other account."""
+    one = F.array(F.lit(0))
+    copies = F.when(F.xxhash64(account).isin(*hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(one) if hot else one
+    return df.withColumn("_salt", F.explode(copies))
+
+
+def page_rank(trade: DataFrame, steps: int = 10, damping: float = 0.85, write_every: int = 5,
+              lists: tuple[DataFrame, list[int]] | None = None) -> DataFrame:
+    """(acc_id, pagerank) in the undirected trade graph, after ``steps`` rounds; ranks sum to 1.
+
+    In each round an account hands its rank in equal shares to its partners.  What travels is an
+    account's array of partners; only the rank of a hub is copied, for the tasks its partners are
+    spread over, and what an account receives is summed on the map side.  A round reads the ranks
+    before it in one place, so plans grow by one join a round, and no join of ranks goes through the
+    driver.  Ranks are written every few rounds.  ``lists`` are the ``neighbour_lists`` where they are at hand."""
+    near, hot = neighbour_lists(undirected_edges(trade)) if lists is None else lists
+    accounts = near.groupBy(F.col("src").alias("acc_id")).agg(F.count(F.lit(1)))
+    count = max(1, accounts.count())
+    rest = F.lit((1 - damping) / count)
+    ranks = accounts.select("acc_id", F.lit(1 / count).alias("pagerank"))
     for step in range(1, steps + 1):
-        copies = F.when(F.xxhash64("acc_id").isin(*hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))) \
-            if hot else F.array(F.lit(0))
-        given = ranks.select(F.col("acc_id").alias("src"), "pagerank", F.explode(copies).alias("_salt"))
-        got = edges.join(given, ["src", "_salt"]).groupBy(F.col("dst").alias("acc_id")).agg(
-            F.sum(F.col("pagerank") * F.col("share")).alias("got"))
+        given = _copied(ranks.withColumnRenamed("acc_id", "src"), "src", hot)
+        sent = near.join(given.hint("merge"), ["src", "_salt"]).select(
+            (F.col("pagerank") * (1 / F.col("partners"))).alias("got"), F.explode("near").alias("acc_id"))
         # everyone has a partner, so everyone is given something
-        ranks = ranks.select("acc_id", "rest").join(got, "acc_id").select(
-            "acc_id", (F.col("rest") + damping * F.col("got")).alias("pagerank"), "rest")
+        ranks = sent.groupBy("acc_id").agg((rest + damping * F.sum("got")).alias("pagerank"))
         if step % write_every == 0 and step < steps:
             ranks = materialize(ranks, "ranks")
-    return ranks.select("acc_id", "pagerank")
+    return ranks
 
 
-def triangles(trade: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def triangles(trade: DataFrame, lists: tuple[DataFrame, list[int]] | None = None) -> DataFrame:
     """(acc_id, partners, triangles): pairs of an account's partners that trade with each other.
 
     Edges point from the account with fewer partners to the one with more (ties by id), so
     no account has more than about sqrt(2 * edges) of them going out, hubs next to none.  Each
     edge u to x carries u's partners beyond x as one array, which is intersected with x's own
     outgoing partners: every triangle is found once, and pairs of edges never become rows."""
-    pairs = materialize(undirected_edges(trade), "pairs") if pairs is None else pairs
-    degree = pairs.select(F.explode(F.array("a", "b")).alias("acc_id")).groupBy("acc_id").agg(F.count(F.lit(1)).alias("partners"))
-    known = degree.select(F.col("acc_id").alias("a"), F.col("partners").alias("na"))
-    both = salted_join(salted_join(pairs, known, ["a"]), known.withColumnsRenamed({"a": "b", "na": "nb"}), ["b"], spread=["a"])
-    first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
-    low, high = F.when(first, F.col("a")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("a"))
-    directed = both.select(low.alias("u"), F.struct(F.greatest("na", "nb").alias("n"), high.alias("v")).alias("to"))
+    near, hot = neighbour_lists(undirected_edges(trade)) if lists is None else lists
+    degree = near.groupBy(F.col("src").alias("acc_id")).agg(F.max("partners").alias("partners"))
+    ways = near.select(F.col("src").alias("u"), F.col("partners").alias("nu"), F.explode("near").alias("v")).withColumn(
+        "_salt", _spread(hot, "v", F.col("u")))
+    known = _copied(degree.select(F.col("acc_id").alias("v"), F.col("partners").alias("nv")), "v", hot)
+    first = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
+    directed = ways.join(known.hint("merge"), ["v", "_salt"]).where(first).select(
+        "u", F.struct(F.col("nv").alias("n"), "v").alias("to"))
     ahead = directed.groupBy("u").agg(F.sort_array(F.collect_list("to")).alias("to")).select("u", F.col("to.v").alias("out"))
     ahead = materialize(ahead, "directed")
     sent = ahead.select("u", "out", F.posexplode("out").alias("i", "x")).where(F.col("i") + 1 < F.size("out")).select(
         "u", "x", F.slice("out", F.col("i") + 2, F.size("out")).alias("rest"))
-    met = skew_join(sent, ahead.withColumnRenamed("u", "x"), ["x"], spread=["u"])
+    # the size of ``sent`` cannot be told from the file it is made of: a size check would send it through the driver
+    met = skew_join(sent, ahead.withColumnRenamed("u", "x").hint("merge"), ["x"], spread=["u"])
     closed = met.select("u", "x", F.array_intersect("rest", "out").alias("y")).where(F.size("y") > 0)
     n = F.size("y").cast("long")
     ends = F.concat(F.array(F.struct(F.col("u").alias("acc_id"), n.alias("n")), F.struct(F.col("x").alias("acc_id"), n.alias("n"))),
@@ -140,8 +154,8 @@ def triangles(trade: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
 def network_measures(trade: DataFrame, steps: int = 10) -> DataFrame:
     """acc_id, partners, triangles, clustering (share of closed pairs of partners, 0 for
     fewer than two), pagerank of every account that traded with another."""
-    edges = materialize(undirected_edges(trade), "pairs")
+    lists = neighbour_lists(materialize(undirected_edges(trade), "pairs"))
     pairs = F.col("partners") * (F.col("partners") - 1) / 2
-    return triangles(trade, edges).join(page_rank(trade, steps, pairs=edges), "acc_id").select(
+    return triangles(trade, lists).join(page_rank(trade, steps, lists=lists), "acc_id").select(
         "acc_id", "partners", "triangles",
         F.coalesce(F.col("triangles") / F.nullif(pairs, F.lit(0.0)), F.lit(0.0)).alias("clustering"), "pagerank")
